@@ -149,11 +149,16 @@ def newest_open_checks(spark, d):
 # ---- panels ---------------------------------------------------------------------
 
 
-def _mart(spark, d):
-    return {
-        "metrics": metric_history(spark, d), "runs": runs(spark, d), "checks": check_history(spark, d),
-        "alerts": alerts(spark, d), "resources": resources(spark, d),
-    }
+class Mart:
+    """The mart's tables, each built when a panel asks for it."""
+
+    TABLES = {"metrics": metric_history, "runs": runs, "checks": check_history, "alerts": alerts, "resources": resources}
+
+    def __init__(self, spark, sf_dir):
+        self.source = (spark, sf_dir)
+
+    def __getitem__(self, name):
+        return self.TABLES[name](*self.source)
 
 
 def _newest(name: str) -> str:
@@ -162,22 +167,22 @@ def _newest(name: str) -> str:
 
 @query(_newest("pipeline.events.total"), M)
 def panel_events_total(spark, d):
-    return mart.panel("events_total", _mart(spark, d), AS_OF)
+    return mart.panel("events_total", Mart(spark, d), AS_OF)
 
 
 @query(_newest("pipeline.events.rate"), M)
 def panel_event_rate(spark, d):
-    return mart.panel("event_rate", _mart(spark, d), AS_OF)
+    return mart.panel("event_rate", Mart(spark, d), AS_OF)
 
 
 @query(_newest("business.conversion.overall"), M)
 def panel_conversion(spark, d):
-    return mart.panel("conversion", _mart(spark, d), AS_OF)
+    return mart.panel("conversion", Mart(spark, d), AS_OF)
 
 
 @query("SELECT count(*) AS count FROM alerts WHERE status = 'firing'", (SILVER, CHECKS, ALERTS))
 def panel_alert_count(spark, d):
-    return mart.panel("alert_count", _mart(spark, d), AS_OF)
+    return mart.panel("alert_count", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -186,7 +191,7 @@ def panel_alert_count(spark, d):
     M,
 )
 def panel_events_over_time(spark, d):
-    return mart.panel("events_over_time", _mart(spark, d), AS_OF)
+    return mart.panel("events_over_time", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -195,7 +200,7 @@ def panel_events_over_time(spark, d):
     M,
 )
 def panel_events_by_type(spark, d):
-    return mart.panel("events_by_type", _mart(spark, d), AS_OF)
+    return mart.panel("events_by_type", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -204,7 +209,7 @@ def panel_events_by_type(spark, d):
     M,
 )
 def panel_funnel(spark, d):
-    return mart.panel("funnel", _mart(spark, d), AS_OF)
+    return mart.panel("funnel", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -213,7 +218,7 @@ def panel_funnel(spark, d):
     (RUNS,),
 )
 def panel_success_rate(spark, d):
-    return mart.panel("success_rate", _mart(spark, d), AS_OF)
+    return mart.panel("success_rate", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -221,7 +226,7 @@ def panel_success_rate(spark, d):
     (RUNS,),
 )
 def panel_mean_duration(spark, d):
-    return mart.panel("mean_duration", _mart(spark, d), AS_OF)
+    return mart.panel("mean_duration", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -231,7 +236,7 @@ def panel_mean_duration(spark, d):
 )
 def panel_recent_checks(spark, d):
     """Last checks of the day; six fall into the window, so the panel's ten rows hold them all."""
-    rows = mart.panel("recent_checks", _mart(spark, d), AS_OF)
+    rows = mart.panel("recent_checks", Mart(spark, d), AS_OF)
     return rows.groupBy("check_name").agg(F.count("*").alias("n"), F.sum("records_failed").alias("failed"))
 
 
@@ -242,12 +247,12 @@ def _series(kind: str) -> str:
 
 @query(_series("cpu"), (SILVER, RESOURCES))
 def panel_cpu(spark, d):
-    return mart.panel("cpu", _mart(spark, d), AS_OF)
+    return mart.panel("cpu", Mart(spark, d), AS_OF)
 
 
 @query(_series("memory"), (SILVER, RESOURCES))
 def panel_memory(spark, d):
-    return mart.panel("memory", _mart(spark, d), AS_OF)
+    return mart.panel("memory", Mart(spark, d), AS_OF)
 
 
 @query(
@@ -256,7 +261,7 @@ def panel_memory(spark, d):
     (RUNS,),
 )
 def panel_recent_runs(spark, d):
-    return mart.panel("recent_runs", _mart(spark, d), AS_OF)
+    return mart.panel("recent_runs", Mart(spark, d), AS_OF)
 
 
 # ---- bands, alert rules, targets ---------------------------------------------------

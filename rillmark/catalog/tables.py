@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from rillmark.functions.columns import cents, json_tag
 from rillmark.functions.lookup import lookup_join
 from rillmark.functions.ordered import with_running
 from rillmark.operators.aggregates import hourly_metrics, kpis
+from rillmark.schemas import DEVICE_TYPES
 from rillmark.operators.warehouse import dim_product, open_versions, scd2_upsert
 
 STAGE_OF = {
@@ -31,24 +32,24 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def silver_of(events: DataFrame) -> DataFrame:
     """Events as conformed clickstream rows (also for streams)."""
-    k = json_tag(F.col("props"), "k").cast("int")
-    day = F.date_format("ts", "yyyy-MM-dd")
-    stage = F.col("event_type")
+    tagged = events.withColumn("k", json_tag(F.col("props"), "k").cast("int"))
+    kind = F.col("event_type")
+    stage = F.when(F.lit(False), kind)
     for native, name in STAGE_OF.items():
-        stage = F.when(F.col("event_type") == native, name).otherwise(stage)
-    device = F.when(k % 3 == 0, "mobile").when(k % 3 == 1, "desktop").when(k % 3 == 2, "tablet")
-    return events.select(
+        stage = stage.when(kind == native, name)
+    device = F.try_element_at(F.array(*[F.lit(name) for name in DEVICE_TYPES]), F.col("k") % 3 + 1)
+    return tagged.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), day).alias("session_id"),
-        stage.alias("event_type"),
-        F.col("event_type").alias("native_type"),
-        F.concat(F.lit("prod_"), k.cast("string")).alias("product_id"),
+        F.concat_ws("-", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("session_id"),
+        stage.otherwise(kind).alias("event_type"),
+        kind.alias("native_type"),
+        F.concat(F.lit("prod_"), F.col("k").cast("string")).alias("product_id"),
         F.col("value").alias("price"),
         device.alias("device_type"),
         F.col("ts").alias("timestamp"),
         F.to_date("ts").alias("event_date"),
-        k.alias("k"),
+        "k",
     )
 
 
@@ -344,7 +345,3 @@ def product_dim(spark, sf_dir) -> DataFrame:
 PRODUCT_ROWS = """product_rows AS (SELECT 'prod_' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
     p_brand AS brand, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
     CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 0.60 AS DECIMAL(10,2)) AS cost FROM part)"""
-
-
-def moment(text: str) -> datetime:
-    return datetime.fromisoformat(text)

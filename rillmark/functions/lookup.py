@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -16,11 +16,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(df: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
-    """Keys with more than 1/(4*salts) of the rows: at most 4*salts of them."""
+def hot_keys(df: DataFrame, keys: list[str], salts: int = SALTS) -> list[Row]:
+    """Keys with more than 1/(4*salts) of the rows each.
+
+    There can be fewer than 4*salts of them, so the list is small whatever the
+    size of the table. Rows are counted before the shuffle; only keys are read.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * (4 * salts) > total).select(*keys)
+    return counts.where(F.col("_n") * (4 * salts) > total).select(*keys).collect()
 
 
 def lookup_join(
@@ -36,20 +40,28 @@ def lookup_join(
 
     ``valid`` keeps the dimension version with ``from <= moment < to`` (an open
     ``to`` never ends). A dimension whose estimate is below ``broadcast_bytes``
-    is broadcast. Beyond that the rows of hot keys are spread over ``salts``
-    partitions, and only the dimension rows of those few keys are replicated.
+    is broadcast. Beyond that the keys are counted first: rows of hot keys are
+    spread over ``salts`` partitions and the dimension rows of those few keys
+    are replicated; without hot keys it is an ordinary shuffled join.
     """
     if estimated_bytes(dim) <= broadcast_bytes:
         return _join(fact, F.broadcast(dim), on, how, valid)
+    hot = [] if fact.isStreaming else hot_keys(fact, on, salts)
+    if not hot:
+        return _join(fact, dim, on, how, valid)
 
-    hot = F.broadcast(hot_keys(fact, on, salts).withColumn("_hot", F.lit(True)))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_fact = fact.join(hot, on, "left").withColumn("_salt", spread).drop("_hot")
-    salted_dim = dim.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    is_hot = reduce(lambda a, b: a | b, [_same_key(on, key) for key in hot])
+    spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_fact = fact.withColumn("_salt", spread)
+    salted_dim = dim.withColumn("_salt", F.explode(copies))
     return _join(salted_fact, salted_dim, [*on, "_salt"], how, valid).drop("_salt")
 
 
+def _same_key(on: list[str], key: Row) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(key[name])) for name in on])
+
+
 def _join(fact: DataFrame, dim: DataFrame, on: list[str], how: str, valid) -> DataFrame:
     if valid is None:
         return fact.join(dim, on, how)

@@ -55,9 +55,13 @@ def distinct_per_group(df: DataFrame, by: list[str], column: str) -> DataFrame:
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value with their share of all rows, most frequent first."""
+    """Rows per value with their share of all rows, most frequent first.
+
+    The total is a scalar subquery: a window over all groups would put a column
+    with very many values into one task.
+    """
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    share = percent(F.col("n"), F.sum("n").over(Window.partitionBy()))
+    share = percent(F.col("n"), df.agg(F.count("*")).scalar())
     return counts.select(column, "n", share.alias("share_pct")).orderBy(F.desc("n"), column)
 
 

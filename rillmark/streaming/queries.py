@@ -111,7 +111,7 @@ def session_counts(events: DataFrame, gap: str, ts: str = "event_ts", watermark:
     )
 
 
-def route(df: DataFrame, routes: dict[str, tuple[Column, str]]) -> Callable[[DataFrame, int], None]:
+def route(routes: dict[str, tuple[Column, str]]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that sends rows to tables by predicate.
 
     A batch that is tried again replaces its own folder, so nothing is written twice.
@@ -125,7 +125,7 @@ def route(df: DataFrame, routes: dict[str, tuple[Column, str]]) -> Callable[[Dat
 
 
 def start_router(df: DataFrame, routes: dict[str, tuple[Column, str]], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(route(df, routes)).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.foreachBatch(route(routes)).option("checkpointLocation", checkpoint)
     return writer.queryName("router").trigger(**(trigger or EVERY_10_SECONDS)).start()
 
 
