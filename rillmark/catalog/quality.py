@@ -59,9 +59,7 @@ COMPLETE_SQL = [
          f"CAST({FILLED} AS DOUBLE) / (count(*) * {len(COLUMNS)}) * 100 >= 95")
 ]
 SCHEMA_SQL = [
-    f"SELECT '{q.SCHEMA}' AS suite, 'column_{c}_exists_with_type_{kind}' AS name, count(*) > 0 AS passed, "
-    f"CAST(1 AS BIGINT) AS tested, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS failed "
-    f"FROM (SELECT typeof(\"{c}\") AS t FROM silver LIMIT 1) s WHERE t = '{duck}'"
+    _row(q.SCHEMA, f"column_{c}_exists_with_type_{kind}", _bad(f"typeof(\"{c}\") <> '{duck}'"))
     for c, kind, duck in (
         ("user_id", "text", "VARCHAR"), ("event_type", "text", "VARCHAR"), ("timestamp", "time", "TIMESTAMP"),
         ("session_id", "text", "VARCHAR"), ("device_type", "text", "VARCHAR"),

@@ -50,7 +50,7 @@ def lookup_join(
     if not hot:
         return _join(fact, dim, on, how, valid)
 
-    is_hot = reduce(lambda a, b: a | b, [_same_key(on, key) for key in hot])
+    is_hot = is_one_of(on, hot)
     spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")).otherwise(0)
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_fact = fact.withColumn("_salt", spread)
@@ -58,8 +58,10 @@ def lookup_join(
     return _join(salted_fact, salted_dim, [*on, "_salt"], how, valid).drop("_salt")
 
 
-def _same_key(on: list[str], key: Row) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(key[name])) for name in on])
+def is_one_of(names: list[str], keys: list[Row]) -> Column:
+    """True for rows whose key is in a short list; null equals null."""
+    same = [reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(key[n])) for n in names]) for key in keys]
+    return reduce(lambda a, b: a | b, same)
 
 
 def _join(fact: DataFrame, dim: DataFrame, on: list[str], how: str, valid) -> DataFrame:

@@ -1,10 +1,11 @@
 """Ordered computations over long series, without one task per series.
 
 A plain window puts a whole series into one task. Here every series is cut into
-chunks (by default calendar hours): rows are windowed inside their chunk, each
-chunk is reduced to one row, and only those rows are windowed along the series.
-A series that holds a third of the table is thus spread over as many tasks as it
-has chunks. Rows whose key is null belong to no series and get nulls.
+chunks: rows are windowed inside their chunk, each chunk is reduced to one row,
+and only those rows are windowed along the series. Chunks are calendar hours,
+and minutes for the few series that hold a large share of the table, so a series
+with a third of all rows is spread over as many tasks as it has minutes. Rows
+whose key is null belong to no series and get nulls.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillmark.functions.lookup import hot_keys, is_one_of
+
 _CHUNK = "_chunk"
 
 
@@ -23,16 +26,17 @@ def with_previous(
     ts: str,
     tie: list[str],
     columns: dict[str, str],
-    chunk: Column | str = "hour",
+    chunk: Column | str | None = None,
 ) -> DataFrame:
     """Add values of the preceding row of the series: ``columns`` maps new name to source."""
     sources = list(dict.fromkeys(columns.values()))
-    chunked = df.withColumn(_CHUNK, _chunk_of(chunk, ts))
+    chunked = df.withColumn(_CHUNK, chunk_of(df, by, ts, chunk))
     inside = Window.partitionBy(*by, _CHUNK).orderBy(ts, *tie)
     here = chunked.withColumn("_before", F.lag(F.struct(*sources)).over(inside))
 
-    order = F.struct(ts, *tie)
-    ends = chunked.groupBy(*by, _CHUNK).agg(F.max_by(F.struct(*sources), order).alias("_last"))
+    # the time alone is a plain maximum, which aggregates by hash; other columns need the whole last row
+    last = F.struct(F.max(ts).alias(ts)) if sources == [ts] else F.max_by(F.struct(*sources), F.struct(ts, *tie))
+    ends = chunked.groupBy(*by, _CHUNK).agg(last.alias("_last"))
     along = Window.partitionBy(*by).orderBy(_CHUNK)
     carried = ends.select(*by, _CHUNK, F.lag("_last").over(along).alias("_carried"))
 
@@ -49,14 +53,14 @@ def with_running(
     ts: str,
     tie: list[str],
     columns: dict[str, tuple[str, str]],
-    chunk: Column | str = "hour",
+    chunk: Column | str | None = None,
 ) -> DataFrame:
     """Add running aggregates up to and including each row.
 
     ``columns`` maps a new name to ``(kind, source)`` with kind ``sum``, ``max``,
     ``min`` or ``last`` (last value that is not null).
     """
-    chunked = df.withColumn(_CHUNK, _chunk_of(chunk, ts))
+    chunked = df.withColumn(_CHUNK, chunk_of(df, by, ts, chunk))
     inside = (
         Window.partitionBy(*by, _CHUNK).orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -82,8 +86,15 @@ def with_running(
     return joined.select(*[F.col(c) for c in df.columns], *added)
 
 
-def _chunk_of(chunk: Column | str, ts: str) -> Column:
-    return F.date_trunc(chunk, F.col(ts)) if isinstance(chunk, str) else chunk
+def chunk_of(df: DataFrame, by: list[str], ts: str, chunk: Column | str | None = None) -> Column:
+    """The chunk of a row: the given expression or time unit, else hours or minutes by size of the series."""
+    if isinstance(chunk, str):
+        return F.date_trunc(chunk, F.col(ts))
+    if chunk is not None:
+        return chunk
+    hot = hot_keys(df, by)
+    hours = F.date_trunc("hour", F.col(ts))
+    return F.when(is_one_of(by, hot), F.date_trunc("minute", F.col(ts))).otherwise(hours) if hot else hours
 
 
 def _known(by: list[str]) -> Column:

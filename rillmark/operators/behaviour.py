@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import cents, money_sum, percent
-from rillmark.functions.ordered import with_previous, with_running
+from rillmark.functions.ordered import chunk_of, with_previous, with_running
 from rillmark.functions.ranking import quartile
 from rillmark.schemas import FUNNEL_STAGES
 
@@ -119,44 +119,40 @@ def journeys(df: DataFrame, max_steps: int = 5, min_steps: int = 3, limit: int |
 
 def sessionize(
     df: DataFrame, gap: timedelta, end_on: str | None = None, by: str = "user_id", ts: str = "timestamp", tie: str = "event_id",
-    chunk: str = "hour",
+    chunk: str | None = None,
 ) -> DataFrame:
     """Add the session number and start of every event of a user.
 
     A session ends after a pause longer than ``gap`` or, with ``end_on``, after
-    an event of that type. Users are worked on hour by hour (see
-    ``functions.ordered``): inside an hour only an hour's first event needs to
-    know what came before, and that is one row per user and hour.
+    an event of that type. Users are worked on chunk by chunk (see
+    ``functions.ordered``): only a chunk's first event needs to know what came
+    before, and that is one row per user and chunk.
     """
-    chunked = df.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
+    ends = F.lit(False) if end_on is None else F.coalesce(F.col("event_type") == end_on, F.lit(False))
+    chunked = df.withColumns({"_chunk": chunk_of(df, [by], ts, chunk), "_ends": ends})
     inside = Window.partitionBy(by, "_chunk").orderBy(ts, tie)
-    before = F.lag(F.struct(ts, "event_type")).over(inside)
-    local = (
-        chunked.withColumn("_before", before)
-        .withColumn("_opens", F.when(F.col("_before").isNull(), 0).otherwise(_breaks(F.col("_before"), F.col(ts), gap, end_on, ts)))
-        .withColumns(
-            {
-                "_number": F.sum("_opens").over(inside),
-                "_start": F.max(F.when(F.col("_opens") == 1, F.col(ts))).over(inside),
-            }
-        )
-    )
-    order = F.struct(ts, tie)
+    upto_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = chunked.withColumns(
+        {"_prev": F.lag(ts).over(inside), "_prev_ends": F.lag("_ends").over(inside), "_next": F.lead(ts).over(inside)}
+    ).withColumn("_opens", F.when(F.col("_prev").isNotNull(), _breaks(F.col("_prev"), F.col("_prev_ends"), F.col(ts), gap)).otherwise(0))
+
+    opened_at = F.when(F.col("_opens") == 1, F.col(ts))
     heads = local.groupBy(by, "_chunk").agg(
-        F.min(ts).alias("_first_ts"),
-        F.max_by(F.struct(ts, "event_type"), order).alias("_end"),
+        F.min(ts).alias("_first"),
+        F.max(ts).alias("_last"),
+        F.max(F.when(F.col("_next").isNull(), F.col("_ends"))).alias("_last_ends"),
         F.sum("_opens").alias("_opened"),
-        F.max("_start").alias("_last_start"),
+        F.max(opened_at).alias("_last_start"),
     )
     along = Window.partitionBy(by).orderBy("_chunk")
     upto, earlier = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        heads.withColumn("_prior", F.lag("_end").over(along))
+        heads.withColumns({"_prior": F.lag("_last").over(along), "_prior_ends": F.lag("_last_ends").over(along)})
         .withColumn(
             "_head_opens",
-            F.when(F.col("_prior").isNull(), 1).otherwise(_breaks(F.col("_prior"), F.col("_first_ts"), gap, end_on, ts)),
+            F.when(F.col("_prior").isNull(), 1).otherwise(_breaks(F.col("_prior"), F.col("_prior_ends"), F.col("_first"), gap)),
         )
-        .withColumn("_head_start", F.when(F.col("_head_opens") == 1, F.col("_first_ts")))
+        .withColumn("_head_start", F.when(F.col("_head_opens") == 1, F.col("_first")))
         .select(
             by,
             "_chunk",
@@ -164,18 +160,16 @@ def sessionize(
             F.greatest(F.max("_head_start").over(upto), F.max("_last_start").over(earlier)).alias("_carried_start"),
         )
     )
-    return local.join(carried, [by, "_chunk"], "left").select(
+    here = local.withColumns({"_number": F.sum("_opens").over(upto_here), "_start": F.max(opened_at).over(upto_here)})
+    return here.join(carried, [by, "_chunk"], "left").select(
         *[F.col(c) for c in df.columns],
         F.when(F.col(by).isNotNull(), F.col("_skip") + F.col("_number")).alias("session_number"),
         F.when(F.col(by).isNotNull(), F.coalesce("_start", "_carried_start")).alias("session_start"),
     )
 
 
-def _breaks(before: Column, moment: Column, gap: timedelta, end_on: str | None, ts: str) -> Column:
-    broken = moment > before[ts] + F.lit(gap)
-    if end_on is not None:
-        broken = broken | (before["event_type"] == end_on)
-    return F.when(broken, 1).otherwise(0)
+def _breaks(before: Column, before_ends: Column, moment: Column, gap: timedelta) -> Column:
+    return F.when((moment > before + F.lit(gap)) | before_ends, 1).otherwise(0)
 
 
 def session_stats(sessions: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
@@ -191,7 +185,7 @@ def session_stats(sessions: DataFrame, keys: list[str], ts: str = "timestamp") -
     )
 
 
-def gaps(df: DataFrame, ts: str, by: list[str], tie: list[str], threshold: timedelta, chunk: str = "hour") -> DataFrame:
+def gaps(df: DataFrame, ts: str, by: list[str], tie: list[str], threshold: timedelta, chunk: str | None = None) -> DataFrame:
     """Holes in a series: consecutive rows further apart than the threshold."""
     paired = with_previous(df.select(*by, ts, *tie), by, ts, tie, {"gap_start": ts}, chunk)
     hole = F.col(ts) > F.col("gap_start") + F.lit(threshold)

@@ -136,8 +136,9 @@ def explode_items(orders: DataFrame, keys: list[str]) -> DataFrame:
 
 def categorise_queries(df: DataFrame, query: str, categories: dict[str, tuple[str, ...]]) -> DataFrame:
     """Category of a search text: the first category whose name occurs in it, else the first by subcategory."""
-    text = F.lower(F.col(query))
+    text = F.col("_text")  # lowered once per row, not once per word
     tries = [(name, name) for name in categories]
     tries += [(sub, name) for name, subs in categories.items() for sub in subs]
     found = [F.when(F.contains(text, F.lit(word.lower())), F.lit(name)) for word, name in tries]
-    return df.withColumn("search_category", F.coalesce(*found))
+    lowered = df.withColumn("_text", F.lower(F.col(query)))
+    return lowered.withColumn("search_category", F.coalesce(*found)).drop("_text")

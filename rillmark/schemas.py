@@ -6,7 +6,6 @@ from pyspark.sql.types import (
     ArrayType,
     BinaryType,
     BooleanType,
-    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -51,8 +50,6 @@ ORDER = _struct(
     order_created_at=_S, payment_completed_at=_S,
 )
 
-CHECK = _struct(suite=_S, name=_S, passed=BooleanType(), tested=_L, failed=_L, details=_S)
-
 REPORT = _struct(
     timestamp=_S,
     total_suites=_I,
@@ -73,8 +70,6 @@ RUN = _struct(
 
 PROGRESS = _struct(query_name=_S, batch_id=_L, input_rows=_L, trigger_ms=_L, recorded_at=_T)
 
-SCD2_COLUMNS = _struct(effective_date=DateType(), expiration_date=DateType(), is_current=BooleanType())
-
 # --- fixed values: the contract's domains -------------------------------------
 EVENT_TYPES = (
     "search", "page_view", "add_to_cart", "remove_from_cart", "checkout_started",

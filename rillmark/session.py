@@ -24,6 +24,15 @@ def build_session(app: str = "rillmark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shuffle_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle width for a job that shuffles about ``shuffle_bytes``.
+
+    Adaptive execution merges partitions that turn out small but does not add
+    any, so a large job must start wide enough for its partitions to fit.
+    """
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-shuffle_bytes // partition_bytes)))}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and scratch tables that all executors can reach.
 
