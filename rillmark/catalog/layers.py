@@ -33,7 +33,7 @@ SENT = """sent AS (SELECT silver.*, CAST(event_id AS BIGINT) AS number FROM silv
 def bronze_lineage(spark, d):
     rows = layers.with_lineage(messages(spark, d))
     dated = F.col("ingestion_date") == F.date_format("ingestion_timestamp", "yyyy-MM-dd")
-    return rows.select("source_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", dated.alias("dated"))
+    return rows.select("source_topic", "kafka_partition", "kafka_offset", F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp"), dated.alias("dated"))
 
 
 @query("SELECT length(event_id) > 0 AS has_text, count(*) AS n FROM sent GROUP BY 1", (SILVER, SENT))
@@ -54,7 +54,7 @@ EVENT_COLUMNS = [
 @query(f"SELECT {EVENT_SQL} FROM sent WHERE number % 97 <> 0", (SILVER, SENT))
 def parsed_events(spark, d):
     good, _ = layers.split_malformed(layers.parse_events(messages(spark, d)))
-    return good.select(*EVENT_COLUMNS)
+    return good.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")).select(*EVENT_COLUMNS)
 
 
 @query("SELECT count(*) AS n FROM sent WHERE number % 97 = 0", (SILVER, SENT))
@@ -66,7 +66,8 @@ def malformed_messages(spark, d):
 @query(f"SELECT {EVENT_SQL} FROM good", (SILVER, GOOD))
 def conformed_events(spark, d):
     """Parsed, valid, and each event once."""
-    return conform(layers.with_lineage(messages(spark, d))).select(*EVENT_COLUMNS)
+    events = conform(layers.with_lineage(messages(spark, d)))
+    return events.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")).select(*EVENT_COLUMNS)
 
 
 @query("SELECT 'malformed,missing_required,bad_time,unknown_event_type,unknown_device_type' AS reasons, count(*) AS n FROM sent WHERE number % 97 = 0", (SILVER, SENT))

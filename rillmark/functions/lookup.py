@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 16 * 1024 * 1024
 SALTS = 32
 
 
@@ -16,6 +15,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes; -1 when broadcasting is off."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def hot_keys(df: DataFrame, keys: list[str], salts: int = SALTS) -> list[Row]:
     """Keys with more than 1/(4*salts) of the rows each.
 
@@ -33,19 +37,21 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     valid: tuple[str, str, str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join on equal keys, optionally with ``valid = (moment, from, to)``.
 
     ``valid`` keeps the dimension version with ``from <= moment < to`` (an open
-    ``to`` never ends). A dimension whose estimate is below ``broadcast_bytes``
-    is broadcast. Beyond that the keys are counted first: rows of hot keys are
-    spread over ``salts`` partitions and the dimension rows of those few keys
+    ``to`` never ends). A dimension whose size estimate is within
+    ``broadcast_bytes`` (by default the session's threshold) is left to Catalyst,
+    which broadcasts it. Beyond that the keys are counted first: rows of hot keys
+    are spread over ``salts`` partitions and the dimension rows of those few keys
     are replicated; without hot keys it is an ordinary shuffled join.
     """
-    if estimated_bytes(dim) <= broadcast_bytes:
-        return _join(fact, F.broadcast(dim), on, how, valid)
+    limit = broadcast_limit(dim) if broadcast_bytes is None else broadcast_bytes
+    if estimated_bytes(dim) <= limit:
+        return _join(fact, dim, on, how, valid)
     hot = [] if fact.isStreaming else hot_keys(fact, on, salts)
     if not hot:
         return _join(fact, dim, on, how, valid)

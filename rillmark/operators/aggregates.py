@@ -166,7 +166,7 @@ def kpis(gold: DataFrame, by: list[str] | None = None) -> DataFrame:
     """All exported figures of the hourly table as metric rows, in one pass.
 
     One aggregation per (event type, device) shrinks the table to a few dozen
-    rows per group; totals, tagged rows and funnel rows are all cut from it.
+    rows per group; totals and tagged rows are grouping sets of those.
     """
     by = by or []
     hour_start = F.to_timestamp(F.col("event_date")) + F.make_dt_interval(hours=F.col("event_hour"))
@@ -186,46 +186,44 @@ def kpis(gold: DataFrame, by: list[str] | None = None) -> DataFrame:
     of_type = {s: F.sum(F.when(F.col("event_type") == s, F.col("events"))) for s in KPI_STAGES}
     revenue = F.sum("value_cents").cast("double") / 100
     span = F.timestamp_diff("SECOND", F.min("first_hour"), F.max("last_hour")) + 3600
-    totals = cells.groupBy(*by).agg(
-        F.array(
-            _metric("pipeline.revenue.total", revenue, "USD"),
-            _metric("pipeline.events.total", F.sum("events"), "count"),
-            _metric("pipeline.users.unique", F.sum("user_events"), "count"),
-            _metric("pipeline.order.avg_value", F.try_divide(F.sum("avg_sum").cast("double"), F.sum("avg_rows")), "USD"),
-            _metric("pipeline.order.avg_value_weighted", F.try_divide(revenue, F.sum("priced")), "USD"),
-            _metric("pipeline.events.rate", F.try_divide(F.sum("events"), span), "events/sec"),
-            _metric(
-                "business.conversion.overall",
-                F.coalesce(
-                    percent(F.coalesce(of_type["checkout_completed"], F.lit(0)), of_type["page_view"]), F.lit(0.0)
-                ),
-                "percent",
-            ),
-            _metric("pipeline.quality.score", F.coalesce(percent(F.sum("complete_rows"), F.sum("rows")), F.lit(100.0)), "percent"),
-            *[_metric(f"business.funnel.{stage}", counted, "count") for stage, counted in of_type.items()],
-        ).alias("metrics")
+    plain = F.array(
+        _metric("pipeline.revenue.total", revenue, "USD"),
+        _metric("pipeline.events.total", F.sum("events"), "count"),
+        _metric("pipeline.users.unique", F.sum("user_events"), "count"),
+        _metric("pipeline.order.avg_value", F.try_divide(F.sum("avg_sum").cast("double"), F.sum("avg_rows")), "USD"),
+        _metric("pipeline.order.avg_value_weighted", F.try_divide(revenue, F.sum("priced")), "USD"),
+        _metric("pipeline.events.rate", F.try_divide(F.sum("events"), span), "events/sec"),
+        _metric(
+            "business.conversion.overall",
+            F.coalesce(percent(F.coalesce(of_type["checkout_completed"], F.lit(0)), of_type["page_view"]), F.lit(0.0)),
+            "percent",
+        ),
+        _metric("pipeline.quality.score", percent(F.sum("complete_rows"), F.sum("rows")), "percent"),
+        *[_metric(f"business.funnel.{stage}", counted, "count") for stage, counted in of_type.items()],
     )
-    plain = totals.select(*by, F.inline("metrics")).where(F.col("metric_value").isNotNull())
-    return (
-        plain.unionByName(_tagged(cells, by, "event_type", "pipeline.events.by_type"))
-        .unionByName(_tagged(cells, by, "device_type", "pipeline.events.by_device"))
+    sets = [[F.col(c) for c in keys] for keys in (by, [*by, "event_type"], [*by, "device_type"])]
+    rolled = cells.groupingSets(sets, *by, "event_type", "device_type").agg(
+        plain.alias("_plain"),
+        F.sum("events").alias("_events"),
+        F.grouping("event_type").alias("_all_types"),
+        F.grouping("device_type").alias("_all_devices"),
+    )
+    metrics = (
+        F.when((F.col("_all_types") == 1) & (F.col("_all_devices") == 1), F.col("_plain"))
+        .when(F.col("_all_devices") == 1, _tagged("event_type", "pipeline.events.by_type"))
+        .otherwise(_tagged("device_type", "pipeline.events.by_device"))
     )
+    return rolled.select(*by, F.inline(metrics)).where(F.col("metric_value").isNotNull())
 
 
-def _metric(name: str, value: Column, unit: str) -> Column:
+def _metric(name: str, value: Column, unit: str, tags: Column | None = None) -> Column:
     return F.struct(
         F.lit(name).alias("metric_name"),
         value.cast("double").alias("metric_value"),
         F.lit(unit).alias("metric_unit"),
-        F.lit(None).cast("map<string,string>").alias("tags"),
+        (F.lit(None) if tags is None else tags).cast("map<string,string>").alias("tags"),
     )
 
 
-def _tagged(cells: DataFrame, by: list[str], column: str, name: str) -> DataFrame:
-    return cells.groupBy(*by, column).agg(F.sum("events").cast("double").alias("metric_value")).select(
-        *by,
-        F.lit(name).alias("metric_name"),
-        "metric_value",
-        F.lit("count").alias("metric_unit"),
-        F.create_map(F.lit(column), F.col(column)).alias("tags"),
-    )
+def _tagged(column: str, name: str) -> Column:
+    return F.array(_metric(name, F.col("_events"), "count", F.create_map(F.lit(column), F.col(column))))
