@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 SALTS = 32
+COUNTED_BYTES = 1024**3
+LEAST_SHARE = 0.001
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -24,9 +26,15 @@ def hot_keys(df: DataFrame, keys: list[str], salts: int = SALTS) -> list[Row]:
     """Keys with more than 1/(4*salts) of the rows each.
 
     There can be fewer than 4*salts of them, so the list is small whatever the
-    size of the table. Rows are counted before the shuffle; only keys are read.
+    size of the table. Only key columns are read, and rows are counted before
+    the shuffle. Above ``COUNTED_BYTES`` a sample is counted: the list decides
+    how work is split, never what comes out.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    rows = df.select(*keys)
+    share = COUNTED_BYTES / max(estimated_bytes(rows), 1)
+    if share < 1:
+        rows = rows.sample(max(share, LEAST_SHARE), seed=0)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") * (4 * salts) > total).select(*keys).collect()
 

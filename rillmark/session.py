@@ -16,6 +16,8 @@ def build_session(app: str = "rillmark", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        # session windows of a busy user are merged before the shuffle
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         # recording the Python line of every column call makes building wide plans several times slower
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -55,8 +55,11 @@ def start_silver(raw: DataFrame, lake: Lake, watermark: str = "1 hour", trigger:
     ]
 
 
-def hourly_stream(events: DataFrame, ts: str = "event_ts", watermark: str = "1 hour") -> DataFrame:
-    """Hourly metrics of a stream; users are approximate, as streams have no distinct count."""
+def hourly_stream(events: DataFrame, ts: str = "event_ts", watermark: str = "1 hour", rsd: float = 0.05) -> DataFrame:
+    """Hourly metrics of a stream; users are approximate, as streams have no distinct count.
+
+    Each open group keeps its user sketch in state: about 0.4 KB at 5 %, 12 KB at 1 %.
+    """
     hour = F.window(ts, "1 hour")
     return (
         events.withWatermark(ts, watermark)
@@ -64,7 +67,7 @@ def hourly_stream(events: DataFrame, ts: str = "event_ts", watermark: str = "1 h
         .agg(
             F.count("*").alias("event_count"),
             F.count("user_id").alias("user_events"),
-            F.approx_count_distinct("user_id", 0.01).alias("unique_users"),
+            F.approx_count_distinct("user_id", rsd).alias("unique_users"),
             F.count("price").alias("priced_count"),
             F.sum(cents(F.col("price"))).alias("value_cents"),
         )

@@ -150,3 +150,14 @@ def test_time_zone_offsets_are_one_instant(spark):
     df = spark.createDataFrame([("2024-01-31T23:30:45Z",), ("2024-01-31T18:30:45-05:00",)], "t string")
     out = df.select(F.to_date(c.event_time(F.col("t"))).alias("d"), F.hour(c.event_time(F.col("t"))).alias("h")).distinct().collect()
     assert [(str(r["d"]), r["h"]) for r in out] == [("2024-01-31", 23)]
+
+
+def test_hot_keys_of_a_large_table_come_from_a_sample(spark, series, monkeypatch):
+    from rillmark.functions import lookup
+
+    monkeypatch.setattr(lookup, "COUNTED_BYTES", 1)
+    monkeypatch.setattr(lookup, "LEAST_SHARE", 0.2)
+    assert "hot" in {r["key"] for r in hot_keys(series, ["key"], 4)}
+    dim = spark.createDataFrame([("hot", "a"), ("k1", "c")], "key string, name string")
+    salted = lookup_join(series, dim, ["key"], "left", broadcast_bytes=-1, salts=4)
+    assert rows(salted) == rows(series.join(dim, "key", "left"))
