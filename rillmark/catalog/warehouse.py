@@ -10,6 +10,7 @@ from rillmark.catalog.registry import query
 from rillmark.catalog.tables import (
     CUSTOMER_DIM, LINES, PRODUCT_ROWS, SILVER, customer_dim, customer_rows, given, lines, product_dim, product_rows, silver,
 )
+from rillmark.functions.lookup import lookup_join
 from rillmark.operators import links, orders
 from rillmark.operators import warehouse as wh
 
@@ -123,7 +124,7 @@ def sales_fact(spark, d):
     fact = _sales(spark, d)
     tiers = customer_dim(spark, d).select("customer_key", "customer_tier")
     keyed = F.col("product_key").isNotNull() & F.col("customer_key").isNotNull()
-    return fact.join(tiers, "customer_key", "left").withColumn("keyed", keyed).drop("product_key", "customer_key")
+    return lookup_join(fact, tiers, ["customer_key"]).withColumn("keyed", keyed).drop("product_key", "customer_key")
 
 
 @query(

@@ -47,6 +47,7 @@ def lookup_join(
     valid: tuple[str, str, str] | None = None,
     broadcast_bytes: int | None = None,
     salts: int = SALTS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal keys, optionally with ``valid = (moment, from, to)``.
 
@@ -55,12 +56,14 @@ def lookup_join(
     ``broadcast_bytes`` (by default the session's threshold) is left to Catalyst,
     which broadcasts it. Beyond that the keys are counted first: rows of hot keys
     are spread over ``salts`` partitions and the dimension rows of those few keys
-    are replicated; without hot keys it is an ordinary shuffled join.
+    are replicated; without hot keys it is an ordinary shuffled join. In a chain
+    of joins give the first table as ``keys_from``, so that counting keys does
+    not run the joins before.
     """
     limit = broadcast_limit(dim) if broadcast_bytes is None else broadcast_bytes
     if estimated_bytes(dim) <= limit:
         return _join(fact, dim, on, how, valid)
-    hot = [] if fact.isStreaming else hot_keys(fact, on, salts)
+    hot = [] if fact.isStreaming else hot_keys(fact if keys_from is None else keys_from, on, salts)
     if not hot:
         return _join(fact, dim, on, how, valid)
 

@@ -174,7 +174,7 @@ def panel(name: str, mart: dict[str, DataFrame], as_of: datetime) -> DataFrame:
 
 # ---- bands, alert rules, targets ------------------------------------------------
 
-# Metric -> (critical below, warning below); a negative pair reads "above" instead.
+# --- fixed values: metric -> (critical below, warning below); a negative pair reads "above" instead.
 THRESHOLDS = {
     "pipeline.events.rate": (10.0, 40.0),
     "business.conversion.overall": (2.0, 4.0),
@@ -206,6 +206,7 @@ class AlertRule:
     hold: timedelta
 
 
+# --- fixed values: the alert rules.
 ALERT_RULES = (
     AlertRule("low_event_rate", "warning", "pipeline.events.rate", "below", 10, timedelta(minutes=5)),
     AlertRule("failed_run", "warning", "pipeline.runs.failed", "above", 0, timedelta(hours=1)),
@@ -238,7 +239,7 @@ def evaluate_alerts(metrics: DataFrame, rules: tuple[AlertRule, ...], as_of: dat
     return recent.agg(F.array(*verdicts).alias("v")).select(F.inline("v"))
 
 
-# Metric -> (direction, target, length of the window it is judged over)
+# --- fixed values: metric -> (direction, target, length of the window it is judged over)
 SLO_TARGETS = {
     "availability_pct": ("at_least", 99.5, "day"),
     "latency_p95": ("at_most", 15.0, "day"),

@@ -10,6 +10,7 @@ from rillmark.functions.lookup import lookup_join
 from rillmark.functions.ordered import with_running
 from rillmark.schemas import TIER_MULTIPLIERS
 
+# --- fixed values: tax rate, free-shipping limit and shipping rates in cents.
 TAX_PER_MILLE = 70
 FREE_SHIPPING_CENTS = 10000
 DOMESTIC_COUNTRY, DOMESTIC_CENTS, FOREIGN_CENTS = "US", 500, 1500
@@ -39,7 +40,7 @@ def assemble_orders(events: DataFrame) -> DataFrame:
     )
     numbered = with_running(adds, ["session_id"], "timestamp", ["event_id"], {"line_no": ("sum", "quantity")})
     header = completed_carts(events)
-    return lookup_join(numbered, header, ["session_id"], "inner")
+    return lookup_join(numbered, header, ["session_id"], "inner", keys_from=adds)
 
 
 def nest_items(lines: DataFrame, key: str, line_no: str, item: list[str], max_items: int = 100) -> DataFrame:

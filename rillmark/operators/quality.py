@@ -30,6 +30,7 @@ SCHEMA, NULLS, RANGE, DOMAIN = "schema_validation", "null_checks", "range_constr
 UNIQUE, REFERENCE, COMPLETE = "uniqueness_checks", "referential_integrity", "completeness_freshness"
 SUITES = (SCHEMA, NULLS, RANGE, DOMAIN, UNIQUE, REFERENCE, COMPLETE)
 
+# --- fixed values: required columns, ranges and domains of the suites.
 REQUIRED_TYPES = {
     "user_id": "text", "event_type": "text", "timestamp": "time", "session_id": "text", "device_type": "text",
 }
@@ -38,11 +39,11 @@ RANGES = {"price": (0, 10000), "quantity": (1, 1000)}
 DOMAINS = {"event_type": EVENT_TYPES, "device_type": DEVICE_TYPES}
 UNIQUE_COLUMNS = ("user_id", "session_id")
 
-# Which suites block publication: at validation time, and again when aggregates are written.
+# --- fixed values: which suites block publication: at validation time, and again when aggregates are written.
 VALIDATION_POLICY = frozenset({SCHEMA, NULLS, RANGE, DOMAIN, REFERENCE})
 WRITE_POLICY = frozenset({SCHEMA, NULLS, DOMAIN, REFERENCE, COMPLETE})
 
-# Suite -> (alert, recommended action) for failed suites.
+# --- fixed values: suite -> (alert, recommended action) for failed suites.
 ALERT_ACTIONS = {
     SCHEMA: ("New/removed columns", "Update downstream schemas"),
     NULLS: ("Null counts exceed threshold", "Investigate upstream pipeline"),

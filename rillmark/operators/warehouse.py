@@ -105,7 +105,7 @@ def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> D
     """Sales fact: order lines with dimension keys of their day and the line total."""
     versions = customers.select("customer_id", "customer_key", "effective_date", "expiration_date")
     placed = with_dim_as_of(lines, versions, "customer_id", "sold_at").drop("effective_date", "expiration_date")
-    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left")
+    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=lines)
     return keyed.select(
         "transaction_id",
         date_key(F.col("sold_at")).alias("date_key"),
@@ -127,7 +127,7 @@ def fact_clicks(events: DataFrame, customers: DataFrame, products: DataFrame) ->
     current = customers.select("customer_id", "customer_key", "is_current")
     rows = events.withColumnRenamed("user_id", "customer_id")
     placed = with_dim_current(rows, current, "customer_id")
-    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left")
+    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=events)
     return keyed.select(
         "event_id",
         "session_id",
