@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.operators.aggregates import gold_rollup, hourly_metrics, kpis, valid_rate
 from rillmark.operators.behaviour import cohort_retention, daily_active, journeys, rfm, session_funnel, step_conversion
+from rillmark.operators.layers import dedupe
 from rillmark.operators.quality import (
     VALIDATION_POLICY, WRITE_POLICY, check_gold, checks_of_reports, gate, report, run_suites,
 )
@@ -43,16 +44,34 @@ def bronze_job(
     return queries
 
 
-def silver_job(spark: SparkSession, lake: Lake) -> int:
-    """Raw messages to events by date. Rows written are counted while they are written."""
+def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | None = None) -> int:
+    """Raw messages to events by date; returns the rows written, counted while they are written.
+
+    With ``ingestion_dates`` only those raw partitions are read, and only the
+    event dates they touch are rewritten: stored events of those dates and new
+    ones go through the same deduplication, so a repeated run changes nothing.
+    Copies of an event are taken to carry the same event time.
+    """
     raw = read_table(spark, lake, "bronze_clickstream")
+    if ingestion_dates is not None:
+        raw = raw.where(F.col("ingestion_date").cast("string").isin(*ingestion_dates))
+    events = conform(raw)
+    if ingestion_dates is not None and exists(spark, lake, "silver_clickstream"):
+        stored = read_table(spark, lake, "silver_clickstream").where(F.col("event_date").isin(*event_dates(events)))
+        events = dedupe(stored.unionByName(events), ["session_id", "event_id"], ["event_ts", "kafka_offset"])
     written = Observation("silver")
-    events = conform(raw).observe(written, F.count("*").alias("rows"))
-    write_partitions(events, lake.path("silver_clickstream"), ["event_date"], lake.file_format)
-    rejected(raw).write.mode("overwrite").parquet(lake.path("silver_rejected"))
+    counted = events.observe(written, F.count("*").alias("rows"))
+    write_partitions(counted, lake.path("silver_clickstream"), ["event_date"], lake.file_format)
+    bad = rejected(raw).withColumn("ingested_on", F.to_date("ingestion_timestamp"))
+    write_partitions(bad, lake.path("silver_rejected"), ["ingested_on"], lake.file_format)
     return written.get["rows"]
 
 
+def event_dates(events: DataFrame) -> list[date]:
+    """The days that events fall on: one value per day."""
+    return [row["event_date"] for row in events.select("event_date").distinct().collect()]
+
+
 def typed_events(spark: SparkSession, lake: Lake) -> DataFrame:
     """Silver with ``timestamp`` as the typed event time, as all operators expect it."""
     silver = read_table(spark, lake, "silver_clickstream")
@@ -75,12 +94,15 @@ def approved(spark: SparkSession, lake: Lake, policy: frozenset[str] = WRITE_POL
     return gate(checks_of_reports(stored), policy).first()["approved"]
 
 
-def gold_job(spark: SparkSession, lake: Lake) -> int:
-    """Hourly table, after the gate. A blocked gate raises and leaves the table as it was."""
+def gold_job(spark: SparkSession, lake: Lake, days: list[date] | None = None) -> int:
+    """Hourly table, of all days or of some, after the gate. A blocked gate raises and leaves the table as it was."""
     if not approved(spark, lake, WRITE_POLICY):
         raise PublicationBlocked("newest quality report is missing or has blocking failures")
+    events = typed_events(spark, lake)
+    if days is not None:
+        events = events.where(F.col("event_date").isin(*days))
     written = Observation("gold")
-    gold = hourly_metrics(typed_events(spark, lake)).observe(written, F.count("*").alias("rows"))
+    gold = hourly_metrics(events).observe(written, F.count("*").alias("rows"))
     write_partitions(gold, lake.path("gold_hourly"), ["event_date"], lake.file_format)
     return written.get["rows"]
 

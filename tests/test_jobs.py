@@ -88,3 +88,29 @@ def test_missing_sources(spark, tmp_path):
     assert latest_report(spark, str(tmp_path / "no")) is None
     with pytest.raises(FileNotFoundError):
         first_readable(spark, [("parquet", str(tmp_path / "no"))])
+
+
+def test_day_by_day_equals_one_run(spark, tmp_path):
+    from rillmark.operators.layers import with_lineage
+
+    raw = with_lineage(messages(spark, D)).drop("ingestion_date", "ingestion_timestamp").withColumn("key", F.lit(None).cast("binary"))
+    day = F.when(F.col("kafka_offset") % 3 == 0, "2024-02-01").otherwise("2024-02-02")
+    dated = raw.withColumn("ingestion_date", day).withColumn("ingestion_timestamp", F.col("ingestion_date").cast("timestamp"))
+    whole, parts = Lake(str(tmp_path / "whole")), Lake(str(tmp_path / "parts"))
+    for lake in (whole, parts):
+        dated.write.partitionBy("ingestion_date").parquet(lake.path("bronze_clickstream"))
+    jobs.silver_job(spark, whole)
+    for days in (["2024-02-01"], ["2024-02-02"], ["2024-02-02"]):
+        jobs.silver_job(spark, parts, days)
+    tables = [read_table(spark, lake, "silver_clickstream").drop("processed_at") for lake in (whole, parts)]
+    assert rows(tables[0]) == rows(tables[1].select(*tables[0].columns))
+    bad = [read_table(spark, lake, "silver_rejected").count() for lake in (whole, parts)]
+    assert bad[0] == bad[1] > 0
+    for lake in (whole, parts):
+        jobs.quality_job(spark, lake, AS_OF)
+    jobs.gold_job(spark, whole)
+    days = jobs.event_dates(tables[1])
+    jobs.gold_job(spark, parts, days[:10])
+    jobs.gold_job(spark, parts, days[10:])
+    gold = [rows(read_table(spark, lake, "gold_hourly")) for lake in (whole, parts)]
+    assert gold[0] == gold[1]
