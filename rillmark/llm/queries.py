@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rillmark.llm.frames import given
 from rillmark.llm.registry import query
+from rillmark.llm import secrets
 from rillmark.llm.mixing import mix_sources
 
 
@@ -11,3 +12,8 @@ from rillmark.llm.mixing import mix_sources
 def op5_mixing(spark, sf_dir):
     mixed = mix_sources(given(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query()
+def op9_secrets(spark, sf_dir):
+    return secrets.with_digests(secrets.find_secrets(given(spark, sf_dir, "documents")))
