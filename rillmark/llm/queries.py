@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from rillmark.llm.frames import given
 from rillmark.llm.registry import query
-from rillmark.llm import secrets
+from rillmark.llm import licenses, secrets
 from rillmark.llm.mixing import mix_sources
 
 
@@ -17,3 +17,8 @@ def op5_mixing(spark, sf_dir):
 @query()
 def op9_secrets(spark, sf_dir):
     return secrets.with_digests(secrets.find_secrets(given(spark, sf_dir, "documents")))
+
+
+@query()
+def op4_licenses(spark, sf_dir):
+    return licenses.with_joined_labels(licenses.scan_licenses(given(spark, sf_dir, "documents")))
