@@ -52,3 +52,11 @@ def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 <<
             last = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

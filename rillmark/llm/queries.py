@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from rillmark.llm.frames import given
-from rillmark.llm.registry import query
 from rillmark.llm import licenses, secrets
 from rillmark.llm.mixing import mix_sources
+from rillmark.llm.registry import query
+from rillmark.llm.toxicity import toxicity
 
 
 @query()
@@ -22,3 +23,8 @@ def op9_secrets(spark, sf_dir):
 @query()
 def op4_licenses(spark, sf_dir):
     return licenses.with_joined_labels(licenses.scan_licenses(given(spark, sf_dir, "documents")))
+
+
+@query()
+def op10_toxicity(spark, sf_dir):
+    return toxicity(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
