@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rillmark.llm.frames import given
 from rillmark.llm import licenses, secrets
+from rillmark.llm.frames import given
 from rillmark.llm.mixing import mix_sources
+from rillmark.llm.quality import quality
 from rillmark.llm.registry import query
 from rillmark.llm.toxicity import toxicity
 
@@ -28,3 +29,8 @@ def op4_licenses(spark, sf_dir):
 @query()
 def op10_toxicity(spark, sf_dir):
     return toxicity(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    return quality(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
