@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rillmark.llm import licenses, secrets
 from rillmark.llm.frames import given
+from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.mixing import mix_sources
 from rillmark.llm.quality import quality
 from rillmark.llm.registry import query
@@ -34,3 +35,20 @@ def op10_toxicity(spark, sf_dir):
 @query()
 def op8_quality(spark, sf_dir):
     return quality(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
+
+
+@query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest([array_to_string(list_slice(ws, i, i + 3), ' ') for i in range(1, greatest(len(ws) - 3, 1) + 1)]) AS g
+  FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT o.u, o.v FROM o JOIN n x ON x.doc_id = o.u JOIN n y ON y.doc_id = o.v WHERE 100 * o.c >= 85 * (x.c + y.c - o.c)),
+r AS (SELECT doc_id AS id, doc_id AS reached FROM w UNION SELECT r.id, l.v FROM r JOIN l ON l.u = r.reached)
+SELECT r.id AS doc_id, coalesce(any_value(n.c), 0) AS n_shingles, min(r.reached) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.id GROUP BY r.id
+""")
+def op6_jaccard(spark, sf_dir):
+    return jaccard_components(given(spark, sf_dir, "documents"))
