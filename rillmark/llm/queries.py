@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillmark.llm import licenses, secrets
+from rillmark.llm.embeddings import cosine_links
 from rillmark.llm.frames import given
 from rillmark.llm.jaccard import jaccard_components
 from rillmark.llm.mixing import mix_sources
@@ -52,3 +53,19 @@ FROM r LEFT JOIN n ON n.doc_id = r.id GROUP BY r.id
 """)
 def op6_jaccard(spark, sf_dir):
     return jaccard_components(given(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0),
+n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+r AS (SELECT vec_id AS id, vec_id AS reached FROM embeddings UNION SELECT r.id, l.w FROM r JOIN l ON l.u = r.reached),
+c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id),
+k AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT c.id AS vec_id, coalesce(k.n_links, 0) AS n_links, c.component_id, c.id = c.component_id AS kept FROM c LEFT JOIN k ON k.u = c.id
+""")
+def op1_embeddings(spark, sf_dir):
+    return cosine_links(given(spark, sf_dir, "embeddings"))
