@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillmark.llm import licenses, secrets
+from rillmark.llm.decontamination import contaminated
 from rillmark.llm.embeddings import cosine_links
 from rillmark.llm.frames import given
 from rillmark.llm.jaccard import jaccard_components
@@ -69,3 +70,8 @@ SELECT c.id AS vec_id, coalesce(k.n_links, 0) AS n_links, c.component_id, c.id =
 """)
 def op1_embeddings(spark, sf_dir):
     return cosine_links(given(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op2_decontamination(spark, sf_dir):
+    return contaminated(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
