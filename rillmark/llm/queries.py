@@ -11,6 +11,7 @@ from rillmark.llm.mixing import mix_sources
 from rillmark.llm.quality import quality
 from rillmark.llm.registry import query
 from rillmark.llm.toxicity import toxicity
+from rillmark.llm.urls import filter_urls
 
 
 @query()
@@ -75,3 +76,8 @@ def op1_embeddings(spark, sf_dir):
 @query()
 def op2_decontamination(spark, sf_dir):
     return contaminated(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_urls(spark, sf_dir):
+    return filter_urls(given(spark, sf_dir, "pages"), given(spark, sf_dir, "labels"))
