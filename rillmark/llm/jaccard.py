@@ -36,11 +36,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.llm.components import components
-from rillmark.llm.frames import forget, row_chunks, stored
+from rillmark.llm.frames import forget, free_name, row_chunks, stored
 from rillmark.llm.words import mixed, shingles, words_of
 
 SLOTS = 1 << 20
@@ -420,3 +420,13 @@ def _nameless(n_words: int):
             yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none], names=["doc_id", "n_shingles", "component_id"])
 
     return run
+
+
+def one_of_each_group(docs: DataFrame, n_words: int, threshold: Fraction) -> DataFrame:
+    """``docs`` with only the smallest doc_id of each component, once; rows without doc_id stay."""
+    found = jaccard_components(docs, n_words, threshold)
+    kept = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")), "jaccard-kept")
+    nth = free_name(docs, "nth")
+    single = docs.join(kept, F.col("doc_id").cast("bigint") == F.col("kept"), "left_semi")
+    single = single.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(nth) == 1).drop(nth)
+    return single.unionByName(docs.where("doc_id is null"))

@@ -12,6 +12,7 @@ from rillmark.llm.quality import quality
 from rillmark.llm.registry import query
 from rillmark.llm.toxicity import toxicity
 from rillmark.llm.urls import filter_urls
+from rillmark.llm.warc import archived
 
 
 @query()
@@ -81,3 +82,17 @@ def op2_decontamination(spark, sf_dir):
 @query()
 def op3_urls(spark, sf_dir):
     return filter_urls(given(spark, sf_dir, "pages"), given(spark, sf_dir, "labels"))
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31), 1)
+    for i in range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""")
+def op7_warc(spark, sf_dir):
+    return archived(given(spark, sf_dir, "pages")).drop("record_id")

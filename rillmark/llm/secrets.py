@@ -45,6 +45,7 @@ CONTEXT = re.compile(
     rb"(?<![A-Za-z])(?:%s)s?(?![A-Za-z])[^\n]{0,32}?(?<![A-Za-z0-9+/_.=-])([A-Za-z0-9+/_.=-]{16,})" % b"|".join(map(re.escape, SENSITIVE)),
     re.IGNORECASE,
 )
+MARK = "[SECRET]"
 NOVELTY = 0.6
 AROUND = 256
 
@@ -178,7 +179,7 @@ def with_digests(found: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, threshold: float = NOVELTY, mark: str = "[SECRET]") -> DataFrame:
+def redacted(docs: DataFrame, threshold: float = NOVELTY, mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; texts without spans, and all other columns, stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
