@@ -12,7 +12,7 @@ Frequencies for the order come from a count sketch of fixed size over all texts.
 order gives the same links; a good one keeps the lists of common passages out.
 
 A group of near copies would fill its lists with all its pairs. So lists are scanned
-twice: first only neighbours in a list (by size) are verified, which joins nearly every
+twice: first only pairs with a list's smallest id are verified, which joins nearly every
 group; then, in lists that still hold several components, every pair between different
 components. Pairs inside a component need no test, as they cannot change it.
 
@@ -102,13 +102,8 @@ def _with_id(docs: DataFrame) -> DataFrame:
 
 
 def _sizes(n_words: int):
-    """Size and 128-bit sum of every set, and at the end of a partition its counts of hash slots."""
-    names = ["doc_id", "n", "f1", "f2", "slice", "counts"]
-
-    def rows(ids, n, f1, f2):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(n, pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names
-        )
+    """Size, 128-bit sum and parity bits of every set, and at the end of a partition its counts of hash slots."""
+    names = ["doc_id", "n", "f1", "f2", "bits", "slice", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
@@ -118,17 +113,36 @@ def _sizes(n_words: int):
             f1, f2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
             np.add.at(f1, row, value)
             np.add.at(f2, row, mixed(value))
-            yield rows(batch.column("doc_id"), n, f1, f2)
+            edges = np.concatenate([[0], np.cumsum(n)])
+            bits = pa.array([parity(value[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.binary())
+            sums = [pa.array(n, pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64))]
+            none = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *sums, bits, *none], names=names)
         if counts.any():
             parts = counts.reshape(SLICES, -1)
             some = np.flatnonzero(parts.any(axis=1))
             packed = [zlib.compress(parts[k].tobytes(), 1) for k in some]
-            none = [pa.nulls(len(some), pa.int64())] * 4
+            none = [*[pa.nulls(len(some), pa.int64())] * 4, pa.nulls(len(some), pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, pa.array(some, pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return run
 
 
+def parity(values: np.ndarray) -> bytes:
+    """As many bits as the next power of two of the size, 64 at least: whether an odd number of shingles falls on each."""
+    width = 1 << max(6, (len(values) - 1).bit_length())
+    odd = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Shingles in just one of two sets, at least: a difference in parity needs one. Wider bits are folded to the other's."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums the counts of each slice as they stream by; result as eighths of powers of two."""
     sums: dict[int, np.ndarray] = {}
@@ -227,14 +241,15 @@ def _subset_links(rows: DataFrame) -> DataFrame:
 
 
 class Scan:
-    """Along rows sorted by (key, part, n, id): members of lists of two or more, each with its neighbour where the pair may link.
+    """Along rows sorted by (key, part, id): members of lists of two or more, each with the list's first one where the pair may link.
 
-    Holds one row between batches. The first member of a part of a long list is marked,
-    so that the parts can be joined.
+    Near copies share most of their lists and so have the same few first ones: the pairs
+    of a group are about as many as its members. Holds two rows between batches. The
+    first member of a part of a long list is marked, so that the parts can be joined.
     """
 
     def __init__(self, t: Fraction):
-        self.t, self.last, self.shown = t, None, False
+        self.t, self.lead, self.last, self.shown = t, None, None, False
 
     def step(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "n", "doc_id", "place")]
@@ -248,16 +263,18 @@ class Scan:
         # a row shown before was in a list already; an unshown first row has nothing before it
         follows = np.concatenate([[shown], same])
         in_list = follows | np.concatenate([same, [False]])
-        other = np.full(len(key), -1, np.int64)
-        has = np.zeros(len(key), bool)
-        has[1:] = same & (ids[1:] != ids[:-1]) & possible(n[:-1], n[1:], place[:-1], place[1:], self.t)
-        other[1:][has[1:]] = ids[:-1][has[1:]]
+        # the first member of each row's list; of the list that the batch begins in, it may be in a batch before
+        at = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(key)), 0))
+        lead_n, lead_id, lead_place = n[at], ids[at], place[at]
+        if shown and self.lead is not None:
+            lead_n[at == 0], lead_id[at == 0], lead_place[at == 0] = self.lead
+        has = follows & (ids != lead_id) & possible(n, lead_n, place, lead_place, self.t)
         long = part > 0
         give = in_list | long
         give[0] &= not shown
-        self.last = tuple(c[-1] for c in columns)
+        self.last, self.lead = tuple(c[-1] for c in columns), (lead_n[-1], lead_id[-1], lead_place[-1])
         self.shown = bool(give[-1]) or (shown and len(key) == 1)
-        columns = [key[give], ids[give], n[give], place[give], pa.array(other[give], mask=~has[give]), long[give] & ~follows[give]]
+        columns = [key[give], ids[give], n[give], place[give], pa.array(lead_id[give], mask=~has[give]), long[give] & ~follows[give]]
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=NAMES)
 
 
@@ -302,10 +319,25 @@ def _slots(ids: DataFrame, bits: int) -> np.ndarray:
     return out.reshape(-1)
 
 
+def plausible(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (u, v) that the parity bits of their sets do not rule out."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))
+            can = [least_difference(p, q) <= m + n - 2 * needed(m, n, t) for m, n, p, q in zip(a, b, x, y)]
+            yield batch.select(["u", "v"]).filter(pa.array(can, pa.bool_()))
+
+    first = sizes.select(F.col("doc_id").alias("u"), F.col("n").alias("a"), F.col("bits").alias("x"))
+    second = sizes.select(F.col("doc_id").alias("v"), F.col("n").alias("b"), F.col("bits").alias("y"))
+    both = pairs.join(first, "u").join(second, "v").select("u", "v", "a", "b", "x", "y")
+    return stored(both.mapInArrow(test, "u bigint, v bigint").distinct(), "jaccard-pairs")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, n_words: int, t: Fraction) -> DataFrame:
     """The pairs (u, v) whose texts reach the threshold. Sets are built again from the texts, for the ids in pairs only."""
     ids = stored(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "jaccard-ids")
-    bits = min(27, max(18, (8 * ids.count()).bit_length()))
+    bits = min(27, max(18, (64 * ids.count()).bit_length()))
     filled = _slots(ids, bits)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,20 +362,19 @@ def verified(docs: DataFrame, pairs: DataFrame, n_words: int, t: Fraction) -> Da
                 links.append(shared > 0 and shared >= needed(len(a), len(b), t))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(links, pa.bool_()))
 
-    built = stored(_with_id(docs).mapInArrow(sets, "doc_id bigint, shingles binary"), "jaccard-sets")
+    built = _with_id(docs).mapInArrow(sets, "doc_id bigint, shingles binary")  # shuffled once for both sides
     first = built.select(F.col("doc_id").alias("u"), F.col("shingles").alias("x"))
     second = built.select(F.col("doc_id").alias("v"), F.col("shingles").alias("y"))
     links = stored(pairs.join(first, "u").join(second, "v").select("u", "v", "x", "y").mapInArrow(compare, "u bigint, v bigint").distinct(), "jaccard-links")
     forget(ids)
-    forget(built)
     return links
 
 
 def jaccard_components(docs: DataFrame, n_words: int = 4, threshold: Fraction = Fraction(85, 100)) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that a document reaches by links."""
     t = Fraction(threshold)
-    sized = stored(_with_id(docs).mapInArrow(_sizes(n_words), "doc_id bigint, n bigint, f1 bigint, f2 bigint, slice int, counts binary"), "jaccard-sizes")
-    sizes = sized.where("slice is null").select("doc_id", "n", "f1", "f2")
+    sized = stored(_with_id(docs).mapInArrow(_sizes(n_words), "doc_id bigint, n bigint, f1 bigint, f2 bigint, bits binary, slice int, counts binary"), "jaccard-sizes")
+    sizes = sized.where("slice is null").select("doc_id", "n", "f1", "f2", "bits")
     levels = frequency_levels(sized)
 
     # equal sets link; of the large classes only the smallest id is compared further
@@ -362,10 +393,10 @@ def jaccard_components(docs: DataFrame, n_words: int = 4, threshold: Fraction =
     lists, subsets = stored_by_key(signatures, t)
     near = lists.where("other is not null").select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v"))
     heads = lists.where("head").select("key", "doc_id", "n", "place", F.lit(0).alias("part"))
-    across = heads.repartition("key").sortWithinPartitions("key", "part", "n", "doc_id").mapInArrow(_scan(t), LISTED)
+    across = heads.repartition("key").sortWithinPartitions("key", "part", "doc_id").mapInArrow(_scan(t), LISTED)
     across = across.where("other is not null").select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v"))
     pairs = stored(near.unionByName(across).distinct(), "jaccard-pairs")
-    links = verified(docs, pairs, n_words, t)
+    links = verified(docs, plausible(pairs, sizes, t), n_words, t)
     found = stored(components(equal.unionByName(_subset_links(subsets)).unionByName(links)), "jaccard-components")
 
     # lists that still hold several components: all pairs between them
@@ -380,7 +411,7 @@ def jaccard_components(docs: DataFrame, n_words: int = 4, threshold: Fraction =
     cross = one.join(two, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & can_link)
     cross = cross.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct()
     cross = stored(cross.join(pairs, ["u", "v"], "left_anti"), "jaccard-pairs")
-    more = verified(docs, cross, n_words, t)
+    more = verified(docs, plausible(cross, sizes, t), n_words, t)
     if more.head(1):
         before = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
         found = stored(components(before.unionByName(more)), "jaccard-components")
@@ -407,7 +438,7 @@ def stored_by_key(signatures: DataFrame, t: Fraction) -> tuple[DataFrame, DataFr
             yield pa.RecordBatch.from_arrays([*[chosen.column(c) for c in NAMES[:4]], *none], names=NAMES)
             yield from scan.step(batch.filter(pc.invert(subset)))
 
-    spread = signatures.repartition("key", "part").sortWithinPartitions("key", "part", "n", "doc_id")
+    spread = signatures.repartition("key", "part").sortWithinPartitions("key", "part", "doc_id")
     rows = stored(spread.mapInArrow(run, LISTED), "jaccard-lists")
     return rows.where("head is not null"), rows.where("head is null")
 
