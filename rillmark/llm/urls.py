@@ -11,7 +11,7 @@ rarest token only, and a URL that has that token is tested for the rest.
 Everything is DataFrame expressions. Defined results: a null URL, or one without
 ``://``, has an empty host and path, no fixed rule and no tokens, so it is allowed; a URL
 without a matching rule is allowed; pages that repeat get a row each; labels that are
-null do not block; with no labelled pages there are no mined rules. Extra columns are
+null do not block; with fewer than ``LEAST`` labelled pages there are no mined rules. Extra columns are
 not read.
 """
 
@@ -80,7 +80,7 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     mark = "verdict="
     rows = stored(labelled.select(F.array_append("tokens", F.concat(F.lit(mark), "label")).alias("items")), "url-transactions")
     total = rows.count()
-    if not total:
+    if total < LEAST:
         return labelled.sparkSession.createDataFrame([], "tokens array<string>, anchor string, support double, confidence double")
     found = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST / total)), minConfidence=confidence).fit(rows).freqItemsets
     found = stored(found.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
