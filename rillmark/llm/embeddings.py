@@ -37,7 +37,7 @@ from rillmark.llm.frames import forget, stored
 
 BLOCK = 16
 CHUNK = 16_384
-TILE = 1024
+TILE = 256
 SLACK = 1e-9
 
 
@@ -127,48 +127,65 @@ def _placed(distance: float, chunks: dict[tuple, int]):
     return run
 
 
+def _packed_rows(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """A binary column of equally long float vectors as a matrix."""
+    return np.concatenate([np.frombuffer(c.buffers()[2], np.float32, len(c) * dim, c.offset * dim * 4) for c in column.chunks if len(c)]).reshape(-1, dim)
+
+
+def _near(part: np.ndarray, left: np.ndarray, right: np.ndarray, ahead: bool, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows within a block's share, by products of small tiles; with ``ahead`` of right rows behind the left one only."""
+    square = np.einsum("ij,ij->i", part, part)[:, None]
+    ones = np.ones_like(square)
+    a = np.concatenate([-2 * part[left], square[left], ones[left]], axis=1)
+    b = np.ascontiguousarray(np.concatenate([part[right], ones[right], square[right]], axis=1).T)
+    for i in range(0, len(left), TILE):
+        for j in range(i if ahead else 0, len(right), 8 * TILE):
+            near = a[i : i + TILE] @ b[:, j : j + 8 * TILE] <= share
+            if near.any():
+                u, v = np.divmod(np.flatnonzero(near), near.shape[1])
+                keep = u + i < v + j if ahead else slice(None)
+                yield left[u[keep] + i], right[v[keep] + j]
+
+
 def _join(distance: float, cosine: float):
     """Links within one group: (id, links, root) for its vectors that have any."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        dim, block, i, j = (table.column(c)[0].as_py() for c in ("dim", "block", "i", "j"))
         ids, weight = table.column("id").to_numpy(), table.column("weight").to_numpy()
-        home, chunk = table.column("home").to_numpy(zero_copy_only=False).astype(bool), table.column("chunk").to_numpy()
-        vectors = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float32).reshape(-1, dim).astype(np.float64)
-        order = np.argsort(ids, kind="stable")
-        ids, weight, home, chunk, vectors = ids[order], weight[order], home[order], chunk[order], vectors[order]
-        points, edges = rotated(vectors), block_edges(dim)
+        home, chunk = table.column("home").to_numpy().astype(bool), table.column("chunk").to_numpy()
+        vectors = _packed_rows(table.column("vector"), dim)
+        edges = block_edges(dim)
         shares = distance * np.diff(edges) / dim * (1 + SLACK)
-        lo, hi = edges[block], edges[block + 1]
-        part = points[:, lo:hi].astype(np.float32)
-        square = np.einsum("ij,ij->i", part, part)
-        lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
+        part = unit @ rotation(dim)[:, edges[block] : edges[block + 1]].astype(np.float32)
+        of = lambda where: np.flatnonzero(where)
+        if i == j:
+            meetings = [(of(home), of(home), True), (of(home), of(~home), False)]
+        else:
+            first, second = chunk == i, chunk == j
+            meetings = [(of(first & home), of(second), False), (of(first & ~home), of(second & home), False)]
         links = np.zeros(len(ids), np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a in range(0, len(left), TILE):
-            rows = left[a : a + TILE]
-            columns = right[a:] if i == j else right
-            near = square[rows, None] + square[columns] - 2 * (part[rows] @ part[columns].T) <= shares[block] + 1e-5
-            u, v = np.nonzero(near)
-            u, v = rows[u], columns[v]
-            keep = (home[u] | home[v]) & ((u < v) if i == j else True)
-            u, v = u[keep], v[keep]
-            for k in range(0, len(u), 1 << 15):
-                p, q = u[k : k + (1 << 15)], v[k : k + (1 << 15)]
-                p, q = np.minimum(p, q), np.maximum(p, q)  # by id, so that rounding is the same in every group
-                apart = np.add.reduceat((points[p] - points[q]) ** 2, edges[:-1], axis=1) <= shares
-                own = apart[:, block] & ~apart[:, :block].any(axis=1)
-                p, q = p[own], q[own]
-                linked = np.einsum("ij,ij->i", vectors[p], vectors[q]) / (lengths[p] * lengths[q]) >= cosine
-                p, q = p[linked], q[linked]
-                np.add.at(links, p, weight[q])
-                np.add.at(links, q, weight[p])
-                if len(p):
-                    nodes, root = roots(p, q)
-                    found.append((nodes, root))
+        for left, right, ahead in meetings:
+            for u, v in _near(part, left, right, ahead, shares[block] + 1e-5):
+                for k in range(0, len(u), 1 << 15):
+                    p, q = u[k : k + (1 << 15)], v[k : k + (1 << 15)]
+                    turn = ids[p] > ids[q]  # by id, so that rounding is the same in every group
+                    p, q = np.where(turn, q, p), np.where(turn, p, q)
+                    rows, at = np.unique(np.concatenate([p, q]), return_inverse=True)
+                    exact = vectors[rows].astype(np.float64)
+                    x, y = at[: len(p)], at[len(p) :]
+                    points = rotated(exact)
+                    apart = np.add.reduceat((points[x] - points[y]) ** 2, edges[:-1], axis=1) <= shares
+                    lengths = np.sqrt(np.einsum("ij,ij->i", exact, exact))
+                    linked = np.einsum("ij,ij->i", exact[x], exact[y]) / (lengths[x] * lengths[y]) >= cosine
+                    linked &= apart[:, block] & ~apart[:, :block].any(axis=1)
+                    p, q = p[linked], q[linked]
+                    np.add.at(links, p, weight[q])
+                    np.add.at(links, q, weight[p])
+                    if len(p):
+                        found.append(roots(p, q))
         nodes, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if found:
             nodes, root = roots(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
