@@ -40,7 +40,7 @@ def text_column(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
-def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that ``column`` holds about ``limit`` bytes in each, one row at least."""
     import numpy as np
 

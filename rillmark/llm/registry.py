@@ -15,9 +15,14 @@ SQL: dict[str, str] = {}
 PACKAGE = Path(__file__).resolve().parent.parent
 
 
+#: Bytes of a batch that a Python worker gets. Workers keep several copies and run beside the heap of their executor.
+BATCH_BYTES = 8 << 20
+
+
 def with_package(spark: SparkSession) -> SparkSession:
-    """Hands this package to Python workers, which need not start in its folder or have it installed."""
+    """Hands this package to Python workers, which need not start in its folder or have it installed, and small batches."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if not any(path.endswith(f"{PACKAGE.name}.zip") for path in context.listFiles):
         archive = os.path.join(tempfile.mkdtemp(prefix="run-"), f"{PACKAGE.name}.zip")
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
