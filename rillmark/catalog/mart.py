@@ -138,12 +138,9 @@ def open_checks(spark, d):
     (SILVER, CHECKS),
 )
 def newest_open_checks(spark, d):
-    """The newest open checks; at most six carry the newest time, so the top ten hold them all."""
-    top = mart.open_checks(check_history(spark, d), 10)
-    newest = top.agg(F.max("checked_at")).scalar()
-    return top.where(F.col("checked_at") == newest).groupBy("check_name", "status").agg(
-        F.count("*").alias("n"), F.max("checked_at").alias("newest")
-    )
+    """Every open check of the newest time."""
+    newest = mart.newest_open_checks(check_history(spark, d))
+    return newest.groupBy("check_name", "status").agg(F.count("*").alias("n"), F.max("checked_at").alias("newest"))
 
 
 # ---- panels ---------------------------------------------------------------------
@@ -271,10 +268,12 @@ def panel_recent_runs(spark, d):
     """SELECT metric_name, metric_value, CASE metric_name
       WHEN 'pipeline.events.rate' THEN CASE WHEN metric_value < 10 THEN 'critical' WHEN metric_value < 40 THEN 'warning' ELSE 'normal' END
       WHEN 'business.conversion.overall' THEN CASE WHEN metric_value < 2 THEN 'critical' WHEN metric_value < 4 THEN 'warning' ELSE 'normal' END
+      WHEN 'pipeline.success.rate' THEN CASE WHEN metric_value < 95 THEN 'critical' WHEN metric_value < 99 THEN 'warning' ELSE 'normal' END
       WHEN 'pipeline.run.duration' THEN CASE WHEN metric_value > 600 THEN 'critical' WHEN metric_value > 300 THEN 'warning' ELSE 'normal' END
       END AS band
     FROM (SELECT metric_name, metric_value FROM metrics
-      UNION ALL SELECT 'pipeline.run.duration', CAST(duration_seconds AS DOUBLE) FROM runs WHERE duration_seconds IS NOT NULL) v""",
+      UNION ALL SELECT 'pipeline.run.duration', CAST(duration_seconds AS DOUBLE) FROM runs WHERE duration_seconds IS NOT NULL
+      UNION ALL SELECT 'pipeline.success.rate', 100 - CAST(events_failed AS DOUBLE) FROM runs) v""",
     (*M, RUNS),
 )
 def threshold_bands(spark, d):
@@ -282,7 +281,8 @@ def threshold_bands(spark, d):
     lengths = runs(spark, d).where("duration_seconds is not null").select(
         F.lit("pipeline.run.duration"), F.col("duration_seconds").cast("double")
     )
-    return mart.band(values.union(lengths))
+    rates = runs(spark, d).select(F.lit("pipeline.success.rate"), 100 - F.col("events_failed").cast("double"))
+    return mart.band(values.union(lengths).union(rates))
 
 
 def _signals(spark, d):
@@ -310,7 +310,7 @@ def _rule_sql(name, severity, metric, agg, op, threshold, minutes) -> str:
 @query(
     "\nUNION ALL\n".join([
         _rule_sql("low_event_rate", "warning", "pipeline.events.rate", "max", "<", 10, 5),
-        _rule_sql("failed_run", "warning", "pipeline.runs.failed", "min", ">", 0, 60),
+        _rule_sql("failed_run", "warning", "pipeline.runs.failed", "sum", ">", 0, 60),
         _rule_sql("error_rate", "warning", "pipeline.error.rate", "min", ">", 5, 15),
         _rule_sql("no_events", "critical", "pipeline.events.total", "count", "=", 0, 10),
     ]),
@@ -320,13 +320,60 @@ def alert_rules(spark, d):
     return mart.evaluate_alerts(_signals(spark, d), mart.ALERT_RULES, AS_OF)
 
 
+#: Moments of the given data at which the rules are evaluated besides the last one: some fire, some do not.
+MOMENTS = tuple(datetime(2024, 1, 2, 5) + timedelta(hours=31 * k) for k in range(18))
+
+
+def _rules_at(moment: datetime) -> str:
+    at = f"TIMESTAMP '{moment:%Y-%m-%d %H:%M:%S}'"
+    rules = [
+        ("low_event_rate", "pipeline.events.rate", "max(metric_value) < 10", 5), ("failed_run", "pipeline.runs.failed", "sum(metric_value) > 0", 60),
+        ("error_rate", "pipeline.error.rate", "min(metric_value) > 5", 15), ("no_events", "pipeline.events.total", "count(metric_value) = 0", 10),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT {at} AS moment, '{name}' AS alert_name, CASE WHEN coalesce({fires}, FALSE) THEN 'firing' ELSE 'resolved' END AS status FROM signals "
+        f"WHERE metric_name = '{metric}' AND recorded_at > {at} - INTERVAL {minutes} MINUTE AND recorded_at <= {at}"
+        for name, metric, fires, minutes in rules
+    )
+
+
+@query("\nUNION ALL\n".join(_rules_at(m) for m in MOMENTS), (*M, RUNS, SIGNALS))
+def alert_rules_over_time(spark, d):
+    """The verdict of every rule at several moments."""
+    signals = _signals(spark, d)
+    frames = [mart.evaluate_alerts(signals, mart.ALERT_RULES, m).select(F.lit(m).cast("timestamp_ntz").alias("moment"), "alert_name", "status") for m in MOMENTS]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.union(frame)
+    return out
+
+
+@query(
+    f"""SELECT metric_name, metric_value, recorded_at FROM (
+      SELECT *, started_at + duration_seconds * INTERVAL 1 SECOND AS ended FROM runs WHERE status IN ('success', 'failed')) r,
+      LATERAL (SELECT unnest(['pipeline.runs.failed', 'pipeline.run.duration', 'pipeline.error.rate']) AS metric_name,
+        unnest([CASE WHEN status = 'failed' THEN 1.0::DOUBLE ELSE 0.0 END, CAST(duration_seconds AS DOUBLE),
+          CAST(events_failed AS DOUBLE) * 100 / (events_processed + events_failed)]) AS metric_value, unnest([ended, ended, ended]) AS recorded_at) m
+      WHERE ended <= {AS_OF_SQL} AND ended > {AS_OF_SQL} - INTERVAL 24 HOUR
+    UNION ALL SELECT 'pipeline.success.rate', CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100, {AS_OF_SQL} FROM runs
+      WHERE status IN ('success', 'failed') AND started_at + duration_seconds * INTERVAL 1 SECOND <= {AS_OF_SQL}
+      AND started_at + duration_seconds * INTERVAL 1 SECOND > {AS_OF_SQL} - INTERVAL 24 HOUR HAVING count(*) > 0""",
+    (RUNS,),
+)
+def run_metrics(spark, d):
+    """Figures of the runs that the rules, bands and targets read."""
+    rows = mart.run_metrics(runs(spark, d), AS_OF)
+    return rows.select("metric_name", "metric_value", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"))
+
+
 @query(
     f"""SELECT metric_name, count(*) AS windows, count(*) FILTER (WHERE met) AS met, CAST(count(*) FILTER (WHERE met) AS DOUBLE) / count(*) * 100 AS attained_pct
-    FROM (SELECT metric_name, CASE metric_name WHEN 'availability_pct' THEN mean >= 99.5 WHEN 'error_rate_pct' THEN mean <= 1 ELSE mean >= 99 END AS met
+    FROM (SELECT metric_name, CASE metric_name WHEN 'availability_pct' THEN mean >= 99.5 WHEN 'error_rate_pct' THEN mean <= 1 WHEN 'latency_p95' THEN mean <= 15 ELSE mean >= 99 END AS met
       FROM (SELECT metric_name, CASE WHEN metric_name = 'error_rate_pct' THEN date_trunc('hour', recorded_at) ELSE date_trunc('day', recorded_at) END AS w,
           CAST(sum(CAST(metric_value AS DECIMAL(28,10))) AS DOUBLE) / count(metric_value) AS mean
         FROM (SELECT 'availability_pct' AS metric_name, CASE WHEN status = 'failed' THEN 0.0 ELSE 100.0 END AS metric_value, started_at AS recorded_at FROM runs
           UNION ALL SELECT 'error_rate_pct', CAST(events_failed * 100 AS DOUBLE) / events_processed, started_at FROM runs
+          UNION ALL SELECT 'latency_p95', CAST(events_processed AS DOUBLE), started_at FROM runs
           UNION ALL SELECT 'valid_rows_pct', metric_value, recorded_at FROM metrics WHERE metric_name = 'pipeline.quality.score') s
         GROUP BY 1, 2) m) t GROUP BY 1""",
     (*M, RUNS),
@@ -336,7 +383,8 @@ def slo_attainment(spark, d):
     available = rows.select(F.lit("availability_pct").alias("metric_name"), F.when(F.col("status") == "failed", 0.0).otherwise(100.0).alias("metric_value"), F.col("started_at").alias("recorded_at"))
     errors = rows.select(F.lit("error_rate_pct"), F.col("events_failed") * 100 / F.col("events_processed"), "started_at")
     valid = metric_history(spark, d).where("metric_name = 'pipeline.quality.score'").select(F.lit("valid_rows_pct"), "metric_value", "recorded_at")
-    return mart.slo(available.union(errors).union(valid))
+    delays = rows.select(F.lit("latency_p95"), F.col("events_processed").cast("double"), "started_at")
+    return mart.slo(available.union(errors).union(delays).union(valid))
 
 
 BUSINESS = """business AS (SELECT 'business.revenue.total' AS metric_name, CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / 100 AS metric_value,

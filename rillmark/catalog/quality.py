@@ -274,6 +274,8 @@ GOLD_CHECKS = (
     ("range_constraints", _bad("event_count < 0 OR total_value < 0"), None),
     ("device_type_validation", _bad("lower(trim(device_type)) NOT IN ('mobile','desktop','tablet')"), None),
     ("events_cover_users", _bad("event_count < unique_users"), None),
+    ("conversion_at_most_100", "CASE WHEN coalesce(sum(event_count) FILTER (WHERE event_type = 'checkout_completed'), 0)"
+     " > coalesce(sum(event_count) FILTER (WHERE event_type = 'page_view'), 0) THEN 1 ELSE 0 END", "0.0"),
     ("data_freshness", f"CASE WHEN CAST(max(event_date) AS TIMESTAMP) > {AS_OF_SQL} - INTERVAL 25 HOUR THEN 0 ELSE 1 END", "0.0"),
 )
 
@@ -291,6 +293,20 @@ def gold_checks(spark, d):
     return q.check_gold(gold(spark, d), AS_OF, timedelta(hours=25))
 
 
+@query(
+    """SELECT name AS check_name, 'failed' AS status, rate AS failure_rate, n AS records_checked, CASE WHEN rows THEN n ELSE bad END AS records_failed
+    FROM (SELECT count(*) AS n FROM gold) g, (VALUES ('schema_validation', 0.0::DOUBLE, FALSE, 3::BIGINT), ('device_type_validation', 100.0, TRUE, 0),
+      ('events_cover_users', 100.0, TRUE, 0), ('null_checks', 100.0, TRUE, 0), ('data_freshness', 0.0, FALSE, 1)) v(name, rate, rows, bad)
+    UNION ALL SELECT 'conversion_at_most_100', 'failed', 0.0, count(*), 1 FROM gold
+    HAVING sum(event_count) FILTER (WHERE event_type = 'checkout_completed') > sum(event_count) FILTER (WHERE event_type = 'page_view')""",
+    (SILVER, GOLD),
+)
+def gold_checks_missing_columns(spark, d):
+    """The hourly table without three of its columns: what needs them fails and is reported."""
+    checks = q.check_gold(gold(spark, d).drop("device_type", "unique_users", "event_date"), AS_OF)
+    return checks.where("status = 'failed'")
+
+
 @query(
     "\nUNION ALL\n".join([
         _row("event_rules", "cart_event_has_product", "0", _bad("event_type = 'add_to_cart'")),

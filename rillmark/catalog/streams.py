@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillmark.catalog.registry import query
 from rillmark.catalog.tables import SILVER, given, messages, silver_of
-from rillmark.operators.layers import dedupe, split_late
+from rillmark.operators.layers import dedupe, split_late, with_lineage
 from rillmark.session import scratch_path
 from rillmark.sources.streams import StreamConfig, read_events_stream, read_files_stream
 from rillmark.sources.tables import Lake, read_table
@@ -142,10 +142,43 @@ def stream_silver(spark, d):
     for running in start_silver(raw, lake, "40 days", DRAIN):
         running.awaitTermination()
     events = read_table(spark, lake, "silver_clickstream").groupBy("event_date", "event_type").agg(F.count("*").alias("n"))
-    bad = read_table(spark, lake, "silver_rejected").agg(F.lit(None).cast("date"), F.lit("rejected"), F.count("*"))
+    bad = read_table(spark, lake, "silver_stream_rejected").agg(F.lit(None).cast("date"), F.lit("rejected"), F.count("*"))
     return events.union(bad)
 
 
+@query(
+    """SELECT part, count(*) AS n, CAST(sum(number) AS BIGINT) AS offsets FROM (
+      SELECT number, CASE WHEN number % 97 = 0 THEN 'rejected' WHEN "timestamp" < TIMESTAMP '2024-01-20' THEN 'late'
+        WHEN copy = 1 THEN 'duplicate' ELSE 'silver' END AS part
+      FROM (SELECT CAST(event_id AS BIGINT) AS number, "timestamp", unnest(CASE WHEN CAST(event_id AS BIGINT) % 50 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM silver) m
+      UNION ALL SELECT NULL, 'lost' WHERE FALSE) p
+    GROUP BY part""",
+    (SILVER,),
+)
+def stream_silver_late(spark, d):
+    """Three batches in falling time order under a watermark of an hour: every message is in one of the four parts."""
+    lake, config = _message_lake(spark, d)
+    arrived = spark.read.parquet(f"{config.directory}/clickstream")
+    moment = F.coalesce(F.get_json_object(F.col("value").cast("string"), "$.timestamp"), F.lit(None)).cast("timestamp")
+    days = F.when(moment >= "2024-01-20", 0).when(moment >= "2024-01-10", 1).otherwise(2)
+    for number in range(3):
+        with_lineage(arrived.where(days == number)).write.mode("append").partitionBy("ingestion_date").parquet(lake.path("bronze_clickstream"))
+        schema = read_table(spark, lake, "bronze_clickstream").schema
+        raw = read_files_stream(spark, lake.path("bronze_clickstream"), schema)
+        for running in start_silver(raw, lake, "1 hour", DRAIN):
+            running.awaitTermination()
+    counts = read_table(spark, lake, "silver_batches").agg(F.sum("received").alias("received"))
+    parts = [read_table(spark, lake, name).select(F.lit(part).alias("part"), offset) for part, name, offset in (
+        ("silver", "silver_clickstream", "kafka_offset"), ("late", "silver_late", "kafka_offset"), ("rejected", "silver_stream_rejected", "kafka_offset"))]
+    kept = parts[0].union(parts[1]).union(parts[2])
+    less = kept.select(-F.lit(1), -F.col("kafka_offset"))
+    rest = arrived.select(F.lit(1).alias("n"), "offset").union(less).agg(F.sum("n").alias("n"), F.sum("offset").alias("offsets"))
+    unseen = arrived.select(F.lit(1).alias("n")).union(counts.select(-F.col("received"))).agg(F.sum("n").alias("n"))
+    found = kept.groupBy("part").agg(F.count("*").alias("n"), F.sum("kafka_offset").alias("offsets"))
+    copies, lost = rest.select(F.lit("duplicate"), "n", "offsets"), unseen.select(F.lit("lost"), "n", F.lit(0).cast("bigint"))
+    return found.union(copies).union(lost).where("n <> 0")
+
+
 @query("SELECT 'stream.input.rows' AS metric_name, CAST(count(*) AS DOUBLE) AS total, TRUE AS timed, count(*) * 0 AS slow FROM events")
 def stream_progress(spark, d):
     """Rows of a drained query as seen by the listener, and its batches slower than an hour."""

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 SALTS = 32
 COUNTED_BYTES = 1024**3
 LEAST_SHARE = 0.001
+#: Estimates from here on stand for no estimate, as those of rows that come from Python.
+UNKNOWN_BYTES = 2**60
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -27,12 +29,13 @@ def hot_keys(df: DataFrame, keys: list[str], salts: int = SALTS) -> list[Row]:
 
     There can be fewer than 4*salts of them, so the list is small whatever the
     size of the table. Only key columns are read, and rows are counted before
-    the shuffle. Above ``COUNTED_BYTES`` a sample is counted: the list decides
-    how work is split, never what comes out.
+    the shuffle. Above ``COUNTED_BYTES`` a sample is counted, of frames whose size
+    is not known all rows: the list decides how work is split, never what comes out.
     """
     rows = df.select(*keys)
-    share = COUNTED_BYTES / max(estimated_bytes(rows), 1)
-    if share < 1:
+    size = estimated_bytes(rows)
+    share = COUNTED_BYTES / max(size, 1)
+    if share < 1 and size < UNKNOWN_BYTES:
         rows = rows.sample(max(share, LEAST_SHARE), seed=0)
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
@@ -60,6 +63,8 @@ def lookup_join(
     of joins give the first table as ``keys_from``, so that counting keys does
     not run the joins before.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "semi", "left_anti", "anti"):
+        raise ValueError(f"a lookup keeps the rows of its first table; {how!r} is not supported, as copies of the second would show")
     limit = broadcast_limit(dim) if broadcast_bytes is None else broadcast_bytes
     if estimated_bytes(dim) <= limit:
         return _join(fact, dim, on, how, valid)
@@ -91,5 +96,5 @@ def _join(fact: DataFrame, dim: DataFrame, on: list[str], how: str, valid) -> Da
         F.col(f"d.{end}").isNull() | (F.col(f"f.{moment}") < F.col(f"d.{end}"))
     )
     joined = left.join(right, reduce(lambda a, b: a & b, same) & when, how)
-    extra = [] if how in ("left_semi", "left_anti") else [F.col(f"d.{c}") for c in dim.columns if c not in on]
+    extra = [] if how in ("left_semi", "semi", "left_anti", "anti") else [F.col(f"d.{c}") for c in dim.columns if c not in on]
     return joined.select("f.*", *extra)

@@ -15,10 +15,15 @@ DAY, HOUR = timedelta(hours=24), timedelta(hours=1)
 FUNNEL_PREFIX = "business.funnel."
 
 
-def last_per_key(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """The newest row of every key, as an aggregate: no sort, and it shrinks before the shuffle."""
+def last_per_key(df: DataFrame, keys: list[str], ts: str, tie: list[str] | None = None) -> DataFrame:
+    """The newest row of every key; of several with one time the largest by ``tie``, by default by all other columns.
+
+    An aggregate, so rows of one key shrink before the shuffle. Map columns have no order and do not break ties.
+    """
     rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ts).alias("_r"))
+    kinds = dict(df.dtypes)
+    ties = [c for c in (rest if tie is None else tie) if c != ts and "map<" not in kinds[c]]
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts, *ties)).alias("_r"))
     return newest.select(*keys, "_r.*").select(*df.columns)
 
 
@@ -71,6 +76,37 @@ def severity_rank(severity: Column) -> Column:
     return rank
 
 
+def alert_rows(verdicts: DataFrame, as_of: datetime) -> DataFrame:
+    """Verdicts of the rules as rows of the alert table."""
+    limit = F.concat_ws(" ", "metric_name", F.lit("is"), F.coalesce(F.col("actual_value").cast("string"), F.lit("missing")), F.lit("against"), "threshold_value")
+    return verdicts.select(
+        "alert_name", "severity", "status", limit.alias("message"), "actual_value", "threshold_value", F.lit(as_of).alias("triggered_at"),
+    )
+
+
+def run_metrics(runs: DataFrame, as_of: datetime) -> DataFrame:
+    """Figures that alert rules, bands and targets read, from the runs that ended in the 24 hours before ``as_of``.
+
+    Each ended run gives its failure (1 or 0), its length and its share of rejected events at the
+    moment it ended; the success rate is one figure at ``as_of``.
+    """
+    ended = runs.where((F.col("completed_at") <= F.lit(as_of)) & later_than(F.col("completed_at"), as_of, DAY) & F.col("status").isin("success", "failed"))
+    failed = (F.col("status") == "failed").cast("double")
+    share = F.try_divide(F.col("events_failed").cast("double") * 100, (F.col("events_processed") + F.col("events_failed")).cast("double"))
+    row = lambda name, value, unit: F.struct(F.lit(name).alias("metric_name"), value.alias("metric_value"), F.lit(unit).alias("metric_unit"))
+    each = F.array(
+        row("pipeline.runs.failed", failed, "runs"),
+        row("pipeline.run.duration", F.col("duration_seconds").cast("double"), "seconds"),
+        row("pipeline.error.rate", share, "percent"),
+    )
+    nothing = F.lit(None).cast("map<string,string>")
+    tags = F.create_map(F.lit("run_id"), F.col("run_id"))
+    single = ended.select(F.inline(each), tags.alias("tags"), F.col("completed_at").cast("timestamp").alias("recorded_at")).where("metric_value is not null")
+    rate = ended.agg(percent(F.count_if(F.col("status") == "success"), F.count("*")).alias("metric_value")).where("metric_value is not null")
+    whole = rate.select(F.lit("pipeline.success.rate").alias("metric_name"), "metric_value", F.lit("percent").alias("metric_unit"), nothing.alias("tags"), F.lit(as_of).cast("timestamp").alias("recorded_at"))
+    return single.unionByName(whole)
+
+
 def active_alerts(alerts: DataFrame, as_of: datetime) -> DataFrame:
     """Firing alerts with their age, most severe and newest first."""
     return (
@@ -83,6 +119,13 @@ def active_alerts(alerts: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
+def newest_open_checks(checks: DataFrame) -> DataFrame:
+    """All checks that did not pass at the newest time any did not."""
+    found = checks.where(F.col("status") != "passed")
+    newest = found.agg(F.max("checked_at").alias("_newest"))
+    return found.join(F.broadcast(newest), F.col("checked_at") == F.col("_newest")).drop("_newest")  # one row
+
+
 def open_checks(checks: DataFrame, n: int | None = None) -> DataFrame:
     """Checks that did not pass, newest first."""
     out = (
@@ -196,12 +239,16 @@ def band(values: DataFrame, thresholds: dict[str, tuple[float, float]] = THRESHO
 
 @dataclass(frozen=True)
 class AlertRule:
-    """Fires when every point of the trailing ``hold`` is beyond the limit; ``no_data`` when there is no point."""
+    """A limit on a metric over the trailing ``hold``.
+
+    ``below`` and ``above`` fire when every point is beyond the limit, ``any_above`` when
+    the sum of the points is, as for counts of failures, ``no_data`` when there is no point.
+    """
 
     alert_name: str
     severity: str
     metric_name: str
-    when: str  # "below", "above" or "no_data"
+    when: str  # "below", "above", "any_above" or "no_data"
     threshold: float
     hold: timedelta
 
@@ -209,7 +256,7 @@ class AlertRule:
 # --- fixed values: the alert rules.
 ALERT_RULES = (
     AlertRule("low_event_rate", "warning", "pipeline.events.rate", "below", 10, timedelta(minutes=5)),
-    AlertRule("failed_run", "warning", "pipeline.runs.failed", "above", 0, timedelta(hours=1)),
+    AlertRule("failed_run", "warning", "pipeline.runs.failed", "any_above", 0, timedelta(hours=1)),
     AlertRule("error_rate", "warning", "pipeline.error.rate", "above", 5, timedelta(minutes=15)),
     AlertRule("no_events", "critical", "pipeline.events.total", "no_data", 0, timedelta(minutes=10)),
 )
@@ -224,8 +271,12 @@ def evaluate_alerts(metrics: DataFrame, rules: tuple[AlertRule, ...], as_of: dat
     for rule in rules:
         inside = (F.col("metric_name") == rule.metric_name) & later_than(F.col("recorded_at"), as_of, rule.hold)
         value = F.when(inside, F.col("metric_value"))
-        extreme = {"below": F.max(value), "above": F.min(value), "no_data": F.count(value).cast("double")}[rule.when]
-        fires = {"below": extreme < rule.threshold, "above": extreme > rule.threshold, "no_data": extreme == 0}[rule.when]
+        extreme = {
+            "below": F.max(value), "above": F.min(value), "any_above": F.sum(value), "no_data": F.count(value).cast("double"),
+        }[rule.when]
+        fires = {
+            "below": extreme < rule.threshold, "above": extreme > rule.threshold, "any_above": extreme > rule.threshold, "no_data": extreme == 0,
+        }[rule.when]
         verdicts.append(
             F.struct(
                 F.lit(rule.alert_name).alias("alert_name"),

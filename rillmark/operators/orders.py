@@ -44,16 +44,19 @@ def assemble_orders(events: DataFrame) -> DataFrame:
 
 
 def nest_items(lines: DataFrame, key: str, line_no: str, item: list[str], max_items: int = 100) -> DataFrame:
-    """Lines to ``items`` arrays for messages: one row per order and page of at most ``max_items`` lines."""
+    """Lines to ``items`` arrays for messages: one row per order and page of at most ``max_items`` lines.
+
+    Pages bound the size of a message; ``whole_orders`` puts the counts of an order's pages together.
+    """
     page = F.floor((F.col(line_no) - 1) / max_items).cast("int")
-    packed = lines.groupBy(key, page.alias("page")).agg(
-        F.sort_array(F.collect_list(F.struct(line_no, *item))).alias("_items")
-    )
-    return packed.select(
-        key,
-        "page",
-        F.transform("_items", lambda i: F.struct(*[i[c].alias(c) for c in item])).alias("items"),
-    )
+    packed = lines.groupBy(key, page.alias("page")).agg(F.sort_array(F.collect_list(F.struct(line_no, *item))).alias("_items"))
+    return packed.select(key, "page", F.transform("_items", lambda i: F.struct(*[i[c].alias(c) for c in item])).alias("items"))
+
+
+def whole_orders(pages: DataFrame, key: str) -> DataFrame:
+    """One row per order from its pages: the order's own columns, and ``item_count`` over all pages."""
+    own = [c for c in pages.columns if c not in (key, "page", "items")]
+    return pages.groupBy(key).agg(*[F.max(c).alias(c) for c in own], F.sum(F.size("items")).alias("item_count"))
 
 
 def price_orders(lines: DataFrame, users: DataFrame, key: str = "order_id") -> DataFrame:

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, StringType, TimestampNTZType, TimestampType
 
 from rillmark.functions.columns import all_present, has_columns, missing_columns, normalise_text, percent
+from rillmark.operators.orders import whole_orders
 from rillmark.schemas import (
     ALERT_STATUSES,
     CHECK_STATUSES,
     DEVICE_TYPES,
     EVENT_TYPES,
+    FUNNEL_STAGES,
     ORDER_STATUSES,
     PAYMENT_METHODS,
     RUN_STATUSES,
@@ -30,7 +32,7 @@ SCHEMA, NULLS, RANGE, DOMAIN = "schema_validation", "null_checks", "range_constr
 UNIQUE, REFERENCE, COMPLETE = "uniqueness_checks", "referential_integrity", "completeness_freshness"
 SUITES = (SCHEMA, NULLS, RANGE, DOMAIN, UNIQUE, REFERENCE, COMPLETE)
 
-# --- fixed values: required columns, ranges and domains of the suites.
+# --- fixed values: required columns, ranges and domains of the suites; the patterns of the check names below.
 REQUIRED_TYPES = {
     "user_id": "text", "event_type": "text", "timestamp": "time", "session_id": "text", "device_type": "text",
 }
@@ -284,8 +286,9 @@ def order_flags(orders: DataFrame) -> DataFrame:
     )
 
 
-def check_orders(orders: DataFrame) -> DataFrame:
-    flagged = order_flags(orders)
+def check_orders(orders: DataFrame, key: str = "order_id") -> DataFrame:
+    """Order rules; orders that come in pages of items are judged as a whole."""
+    flagged = order_flags(whole_orders(orders, key) if has_columns(orders, "page", "items") else orders)
     checks = [
         row_check("order_rules", "total_reconciles", ~F.col("total_ok")),
         row_check("order_rules", "has_items_and_count_matches", ~F.col("items_ok")),
@@ -320,32 +323,50 @@ def check_weights(df: DataFrame, group: str, weight: str, tolerance: float = 0.0
     return evaluate(sums, [row_check("weights", f"{weight}_sums_to_one_per_{group}", off)])
 
 
+GOLD_COLUMNS = ("event_type", "event_date", "device_type", "event_count", "total_value", "avg_price", "unique_users")
+
+
 def check_gold(gold: DataFrame, as_of: datetime, max_age: timedelta = timedelta(hours=24)) -> DataFrame:
-    """Checks of the hourly table, with failure rate and status, in one pass."""
-    missing = missing_columns(
-        gold, ["event_type", "event_date", "device_type", "event_count", "total_value", "avg_price", "unique_users"]
-    )
-    device = normalise_text(F.col("device_type"))
-    newest = F.to_timestamp(F.max("event_date"))
-    stale = F.when(newest > F.lit(as_of) - F.lit(max_age), 0).otherwise(1)
+    """Checks of the hourly table, with failure rate and status, in one pass.
+
+    A missing column fails the schema check and, for every row, each check that needs it.
+    """
+    missing = missing_columns(gold, list(GOLD_COLUMNS))
+
+    def on(name: str, columns: tuple[str, ...], bad) -> Check:
+        return row_check("gold", name, bad() if has_columns(gold, *columns) else F.lit(True))
+
+    named = ("event_type", "event_date", "device_type")
+    newest = lambda: F.to_timestamp(F.max("event_date")) > F.lit(as_of) - F.lit(max_age)
+    fresh = newest() if has_columns(gold, "event_date") else F.lit(False)
     checks = [
         Check("gold", "schema_validation", F.count("*"), F.lit(len(missing))),
-        row_check("gold", "null_checks", ~all_present("event_type", "event_date", "device_type")),
-        row_check("gold", "range_constraints", (F.col("event_count") < 0) | (F.col("total_value") < 0)),
-        row_check("gold", "device_type_validation", ~device.isin(*DEVICE_TYPES)),
-        row_check("gold", "events_cover_users", F.col("event_count") < F.col("unique_users")),
-        Check("gold", "data_freshness", F.count("*"), stale),
+        on("null_checks", named, lambda: ~all_present(*named)),
+        on("range_constraints", ("event_count", "total_value"), lambda: (F.col("event_count") < 0) | (F.col("total_value") < 0)),
+        on("device_type_validation", ("device_type",), lambda: ~normalise_text(F.col("device_type")).isin(*DEVICE_TYPES)),
+        on("events_cover_users", ("event_count", "unique_users"), lambda: F.col("event_count") < F.col("unique_users")),
+        Check("gold", "conversion_at_most_100", F.count("*"), *_conversion(gold)),
+        Check("gold", "data_freshness", F.count("*"), F.when(fresh, 0).otherwise(1)),
     ]
+    whole = ("schema_validation", "data_freshness", "conversion_at_most_100")
     rate = F.coalesce(percent(F.col("failed"), F.col("tested")), F.lit(0.0))
     return evaluate(gold, checks).select(
         F.col("name").alias("check_name"),
         F.when(F.col("passed"), "passed").otherwise("failed").alias("status"),
-        F.when(F.col("name").isin("schema_validation", "data_freshness"), 0.0).otherwise(rate).alias("failure_rate"),
+        F.when(F.col("name").isin(*whole), 0.0).otherwise(rate).alias("failure_rate"),
         F.col("tested").alias("records_checked"),
         F.col("failed").alias("records_failed"),
     )
 
 
+def _conversion(gold: DataFrame) -> tuple[Column]:
+    """1 if there are more purchases than page views, which would be a conversion above 100 %, else 0."""
+    if not has_columns(gold, "event_type", "event_count"):
+        return (F.lit(1),)
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("event_type") == kind, F.col("event_count"))), F.lit(0))
+    return (F.when(of(FUNNEL_STAGES["purchased"]) > of(FUNNEL_STAGES["viewed"]), 1).otherwise(0),)
+
+
 def reconcile_layers(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Event counts of the three layers side by side, and what is missing between them."""
     counts = [
@@ -398,8 +419,12 @@ def report_summary(checks: DataFrame) -> DataFrame:
     )
 
 
-def report(checks: DataFrame, timestamp: str) -> DataFrame:
-    """One nested report row. Only check rows, a few dozen, are collected into it."""
+def report(checks: DataFrame, timestamp: str, run_id: str | None = None, written_at: str | None = None) -> DataFrame:
+    """One nested report row. Only check rows, a few dozen, are collected into it.
+
+    ``run_id`` and ``written_at`` say which run it belongs to and when it was written.
+    """
+    run = {"run_id": run_id, "written_at": written_at}
     suites = checks.groupBy("suite").agg(
         F.sort_array(F.collect_list(F.struct("name", "passed", "details"))).alias("expectations"),
         F.count_if("passed").cast("int").alias("passed"),
@@ -418,6 +443,7 @@ def report(checks: DataFrame, timestamp: str) -> DataFrame:
         F.count("*").cast("int").alias("total_suites"),
         F.sort_array(F.collect_list(body)).alias("suites"),
         summary.alias("summary"),
+        *[F.lit(value).alias(name) for name, value in run.items() if value is not None],
     )
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timezone
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.operators.aggregates import gold_rollup, hourly_metrics, kpis, valid_rate
 from rillmark.operators.behaviour import cohort_retention, daily_active, journeys, rfm, session_funnel, step_conversion
-from rillmark.operators.layers import dedupe
+from rillmark.operators.layers import CORRUPT, dedupe
+from rillmark.operators.mart import ALERT_RULES, alert_rows, evaluate_alerts, run_metrics
 from rillmark.operators.quality import (
     VALIDATION_POLICY, WRITE_POLICY, check_gold, checks_of_reports, gate, report, run_suites,
 )
-from rillmark.sinks.mart import run_row, write_metrics, write_report, write_run
-from rillmark.sinks.tables import append_rows, write_partitions
+from rillmark.schemas import METRIC
+from rillmark.sinks.mart import run_key, run_row, write_metrics, write_report, write_run, write_run_rows
+from rillmark.sinks.tables import trim_table, write_partitions
 from rillmark.sources.streams import StreamConfig, read_events_stream
-from rillmark.sources.tables import Lake, exists, latest_report, layer_status, read_table
-from rillmark.streaming.queries import conform, rejected, start_bronze, stop_all
+from rillmark.sources.tables import Lake, exists, layer_status, read_table, report_of_run
+from rillmark.streaming.queries import EVENT_KEYS, GOLD_QUERY, SILVER_QUERY, judge, refuse_second_writer, start_bronze, stop_all
 
 
 class PublicationBlocked(RuntimeError):
@@ -44,27 +47,60 @@ def bronze_job(
     return queries
 
 
-def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | None = None) -> int:
-    """Raw messages to events by date; returns the rows written, counted while they are written.
+@dataclass(frozen=True)
+class Written:
+    """Rows that a silver run wrote, and messages that it rejected."""
 
-    With ``ingestion_dates`` only those raw partitions are read, and only the
-    event dates they touch are rewritten: stored events of those dates and new
-    ones go through the same deduplication, so a repeated run changes nothing.
-    Copies of an event are taken to carry the same event time.
+    events: int
+    rejected: int
+
+
+def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | None = None, full: bool = False) -> Written:
+    """Raw messages to events by date; what was written is counted while it is written.
+
+    Only the given raw partitions are read, by default those that may hold messages that
+    silver has not seen: the newest one it knows and all after it. Only the event dates
+    they touch are rewritten: stored events of those dates and new ones go through the
+    same deduplication, so a repeated run changes nothing. ``full`` reads everything.
+    Messages are parsed once, into a staged table that both outputs are cut from. Copies of an event are taken to
+    carry the same event time.
     """
+    refuse_second_writer(spark, SILVER_QUERY)
     raw = read_table(spark, lake, "bronze_clickstream")
+    known = exists(spark, lake, "silver_clickstream") and not full
+    if ingestion_dates is None and known:
+        ingestion_dates = open_ingestion_dates(spark, lake)
     if ingestion_dates is not None:
         raw = raw.where(F.col("ingestion_date").cast("string").isin(*ingestion_dates))
-    events = conform(raw)
-    if ingestion_dates is not None and exists(spark, lake, "silver_clickstream"):
-        stored = read_table(spark, lake, "silver_clickstream").where(F.col("event_date").isin(*event_dates(events)))
-        events = dedupe(stored.unionByName(events), ["session_id", "event_id"], ["event_ts", "kafka_offset"])
-    written = Observation("silver")
-    counted = events.observe(written, F.count("*").alias("rows"))
+    staged_path = f"{lake.root}/_staging/silver-{uuid.uuid4().hex[:12]}"
+    judge(raw).write.parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    events = dedupe(staged.where(F.size("reasons") == 0).drop("reasons", CORRUPT), EVENT_KEYS, ["event_ts", "kafka_offset"])
+    if known:
+        touched = staged.where(F.size("reasons") == 0).select("event_date").distinct()
+        stored = read_table(spark, lake, "silver_clickstream").join(touched, "event_date", "left_semi")
+        events = dedupe(stored.select(*events.columns).unionByName(events), EVENT_KEYS, ["event_ts", "kafka_offset"])
+    counts = [Observation("silver"), Observation("rejected")]
+    counted = events.observe(counts[0], F.count("*").alias("rows"))
     write_partitions(counted, lake.path("silver_clickstream"), ["event_date"], lake.file_format)
-    bad = rejected(raw).withColumn("ingested_on", F.to_date("ingestion_timestamp"))
-    write_partitions(bad, lake.path("silver_rejected"), ["ingested_on"], lake.file_format)
-    return written.get["rows"]
+    bad = staged.where(F.size("reasons") > 0).withColumn("ingested_on", F.to_date("ingestion_timestamp"))
+    write_partitions(bad.observe(counts[1], F.count("*").alias("rows")), lake.path("silver_rejected"), ["ingested_on"], lake.file_format)
+    target = spark._jvm.org.apache.hadoop.fs.Path(staged_path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return Written(*[c.get["rows"] for c in counts])
+
+
+def open_ingestion_dates(spark: SparkSession, lake: Lake) -> list[str]:
+    """Raw partitions from the newest one that silver or its rejected rows know of, that one included."""
+    newest = [
+        read_table(spark, lake, name).agg(F.to_date(F.max("ingestion_timestamp"))).first()[0]
+        for name in ("silver_clickstream", "silver_rejected") if exists(spark, lake, name)
+    ]
+    newest = [day for day in newest if day is not None]
+    days = read_table(spark, lake, "bronze_clickstream").select(F.col("ingestion_date").cast("string").alias("day")).distinct()
+    if newest:
+        days = days.where(F.col("day") >= max(newest).isoformat())
+    return sorted(row["day"] for row in days.collect())  # one value per raw partition
 
 
 def event_dates(events: DataFrame) -> list[date]:
@@ -78,26 +114,53 @@ def typed_events(spark: SparkSession, lake: Lake) -> DataFrame:
     return silver.drop("timestamp").withColumnRenamed("event_ts", "timestamp")
 
 
-def quality_job(spark: SparkSession, lake: Lake, as_of: datetime, backfill: bool = True) -> bool:
-    """Run the suites, store the report, and say whether the first gate approves."""
-    core = ["event_id", "user_id", "session_id", "event_type", "device_type", "timestamp", "event_date", "price"]
-    checks = run_suites(typed_events(spark, lake).select(*core), as_of, backfill)
-    write_report(report(checks, as_of.isoformat()), lake.reports)
-    return approved(spark, lake, VALIDATION_POLICY)
+#: Columns that every event carries; completeness is the share of their cells that are filled.
+CORE_COLUMNS = ("event_id", "user_id", "session_id", "event_type", "device_type", "timestamp", "event_date", "price")
+
 
+def new_run_id() -> str:
+    return f"run_{uuid.uuid4().hex[:12]}"
 
-def approved(spark: SparkSession, lake: Lake, policy: frozenset[str] = WRITE_POLICY) -> bool:
-    """Verdict of the newest stored report; without one the answer is no."""
-    stored = latest_report(spark, lake.reports)
+
+@dataclass(frozen=True)
+class Verdict:
+    """What the first gate says about the checks of one run; that run's report is stored under its id."""
+
+    run_id: str
+    approved: bool
+
+    def __bool__(self) -> bool:
+        return self.approved
+
+
+def quality_job(
+    spark: SparkSession, lake: Lake, as_of: datetime, backfill: bool = True, run_id: str | None = None, columns: tuple[str, ...] | None = CORE_COLUMNS
+) -> Verdict:
+    """Run the suites over ``columns`` (None for all), store the report, and judge the checks just computed."""
+    run_id = run_id or new_run_id()
+    events = typed_events(spark, lake)
+    checks = run_suites(events if columns is None else events.select(*columns), as_of, backfill)
+    checks = spark.createDataFrame(checks.collect(), checks.schema)  # a few dozen rows, used twice
+    write_report(report(checks, as_of.isoformat(), run_id, now_utc().isoformat()), lake.reports)
+    return Verdict(run_id, gate(checks, VALIDATION_POLICY).first()["approved"])
+
+
+def approved(spark: SparkSession, lake: Lake, run_id: str, policy: frozenset[str] = WRITE_POLICY) -> bool:
+    """Verdict of the report of one run; without one the answer is no."""
+    stored = report_of_run(spark, lake.reports, run_id)
     if stored is None:
         return False
     return gate(checks_of_reports(stored), policy).first()["approved"]
 
 
-def gold_job(spark: SparkSession, lake: Lake, days: list[date] | None = None) -> int:
-    """Hourly table, of all days or of some, after the gate. A blocked gate raises and leaves the table as it was."""
-    if not approved(spark, lake, WRITE_POLICY):
-        raise PublicationBlocked("newest quality report is missing or has blocking failures")
+def gold_job(spark: SparkSession, lake: Lake, run_id: str, days: list[date] | None = None) -> int:
+    """Hourly table, of all days or of some, after the gate on the report of ``run_id``.
+
+    A blocked gate raises and leaves the table as it was.
+    """
+    refuse_second_writer(spark, GOLD_QUERY)
+    if not approved(spark, lake, run_id, WRITE_POLICY):
+        raise PublicationBlocked(f"the quality report of {run_id} is missing or has blocking failures")
     events = typed_events(spark, lake)
     if days is not None:
         events = events.where(F.col("event_date").isin(*days))
@@ -107,11 +170,12 @@ def gold_job(spark: SparkSession, lake: Lake, days: list[date] | None = None) ->
     return written.get["rows"]
 
 
-def metrics_job(spark: SparkSession, lake: Lake, as_of: datetime, jdbc: dict[str, str] | None = None) -> None:
-    """Figures and checks of the hourly table into the mart."""
+def metrics_job(spark: SparkSession, lake: Lake, as_of: datetime, run_id: str, jdbc: dict[str, str] | None = None) -> None:
+    """Figures and checks of the hourly table into the mart; a repeated run of one time replaces them."""
     gold = read_table(spark, lake, "gold_hourly")
     write_metrics(kpis(gold), lake, jdbc, as_of)
     checks = check_gold(gold, as_of).select(
+        F.lit(run_id).alias("run_id"),
         "check_name",
         F.lit("gold.hourly_metrics").alias("dataset"),
         "status",
@@ -120,7 +184,31 @@ def metrics_job(spark: SparkSession, lake: Lake, as_of: datetime, jdbc: dict[str
         "failure_rate",
         F.lit(as_of).alias("checked_at"),
     )
-    append_rows(checks, lake.path("data_quality_checks"))
+    write_run_rows(checks, lake, "data_quality_checks", as_of)
+
+
+def alerts_job(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:
+    """Figures of the recorded runs into the mart, then the verdict of every alert rule into the alert table."""
+    write_metrics(run_metrics(read_table(spark, lake, "pipeline_runs"), as_of), lake, None, as_of, source="runs")
+    known = exists(spark, lake, "pipeline_metrics")
+    metrics = read_table(spark, lake, "pipeline_metrics") if known else spark.createDataFrame([], METRIC)
+    verdicts = alert_rows(evaluate_alerts(metrics, ALERT_RULES, as_of), as_of)
+    write_run_rows(verdicts, lake, "alerts", as_of)
+    return read_table(spark, lake, "alerts").where(F.col("run_at") == run_key(as_of))
+
+
+#: Table -> (time column, how long its rows are kept), for tables partitioned by run time.
+RETENTION = {
+    "pipeline_metrics": ("recorded_at", timedelta(days=90)),
+    "data_quality_checks": ("checked_at", timedelta(days=7)),
+    "alerts": ("triggered_at", timedelta(days=90)),
+    "pipeline_runs": ("started_at", timedelta(days=7)),
+}
+
+
+def retention_job(spark: SparkSession, lake: Lake, as_of: datetime, keep: dict[str, tuple[str, timedelta]] = RETENTION) -> dict[str, list[str]]:
+    """Delete run times of the mart tables that are older than they are kept; returns what went."""
+    return {name: trim_table(spark, lake.path(name), column, age, as_of, "run_at") for name, (column, age) in keep.items()}
 
 
 def analytics_job(spark: SparkSession, lake: Lake, as_of: datetime) -> dict[str, DataFrame]:
@@ -145,20 +233,26 @@ def layer_report(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return out
 
 
-def run_all(spark: SparkSession, lake: Lake, as_of: datetime | None = None, name: str = "lake_refresh") -> str:
-    """Silver, quality gate, gold; then metrics in any case, and a record of this run."""
-    as_of = as_of or now_utc()
-    started, run_id = now_utc(), f"run_{uuid.uuid4().hex[:12]}"
-    status, processed, error = "success", 0, None
+def run_all(spark: SparkSession, lake: Lake, as_of: datetime | None = None, name: str = "lake_refresh", full: bool = False) -> str:
+    """Silver, quality gate, gold; then metrics in any case, a record of this run, alerts and retention.
+
+    Silver reads only raw partitions that it has not seen whole; ``full`` rebuilds it.
+    """
+    given, as_of = as_of, as_of or now_utc()
+    started, run_id = now_utc(), new_run_id()
+    status, written, error = "success", Written(0, 0), None
     try:
-        processed = silver_job(spark, lake)
-        if not quality_job(spark, lake, as_of):
+        written = silver_job(spark, lake, full=full)
+        if not quality_job(spark, lake, as_of, run_id=run_id):
             raise PublicationBlocked("validation gate: blocking suites failed")
-        gold_job(spark, lake)
+        gold_job(spark, lake, run_id)
     except Exception as problem:
-        status, error = "failed", f"{type(problem).__name__}: {problem}"[:500]
+        status, error = "failed", f"{type(problem).__name__}: {problem}"
     if exists(spark, lake, "gold_hourly"):
-        metrics_job(spark, lake, as_of)
-    row = run_row(spark, name, run_id, started, now_utc(), status, processed, 0, error)
-    write_run(row, lake, csv_fallback=f"{lake.root}/metrics/run_log")
+        metrics_job(spark, lake, as_of, run_id)
+    row = run_row(spark, name, run_id, started, now_utc(), status, written.events, written.rejected, error)
+    write_run(row.withColumn("run_at", F.lit(run_key(started))), lake, csv_fallback=f"{lake.root}/metrics/run_log")
+    if exists(spark, lake, "pipeline_runs"):
+        alerts_job(spark, lake, given or now_utc())  # without a given time this run counts too
+        retention_job(spark, lake, as_of)
     return status

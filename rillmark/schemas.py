@@ -59,6 +59,8 @@ REPORT = _struct(
         passed=_I, failed=_I,
     )),
     summary=_struct(total_expectations=_I, total_passed=_I, total_failed=_I, suites_passed=_I, suites_failed=_I),
+    run_id=_S,
+    written_at=_S,
 )
 
 METRIC = _struct(metric_name=_S, metric_value=_D, metric_unit=_S, tags=MapType(_S, _S), recorded_at=_T)
@@ -83,6 +85,7 @@ CHECK_STATUSES = ("passed", "warning", "failed")
 SEVERITIES = ("critical", "warning", "info")
 ALERT_STATUSES = ("firing", "resolved")
 
+# --- fixed values: funnel stages and the event type of each; the stages that have a figure of their own.
 FUNNEL_STAGES = {
     "viewed": "page_view",
     "searched": "search",
@@ -92,14 +95,14 @@ FUNNEL_STAGES = {
 }
 KPI_STAGES = ("page_view", "add_to_cart", "checkout_started", "checkout_completed")
 
-# Topics by table name, as <domain>.<entity>.<version>; inventory is reserved.
+# --- fixed values: topics by table name, as <domain>.<entity>.<version>; inventory is reserved.
 TOPICS = {
     "clickstream": "ecommerce.clickstream.v1",
     "transactions": "ecommerce.transactions.v1",
     "inventory": "ecommerce.inventory.v1",
 }
 
-# Category -> subcategories, in the order in which a search text is tried.
+# --- fixed values: category -> subcategories, in the order in which a search text is tried.
 CATEGORIES = {
     "Electronics": ("Laptops", "Phones", "Tablets", "Accessories", "Smart Home"),
     "Clothing": ("Men", "Women", "Kids", "Shoes", "Accessories"),
@@ -110,5 +113,5 @@ CATEGORIES = {
     "Toys & Games": ("Action Figures", "Board Games", "Educational", "Outdoor", "Video Games"),
 }
 
-# Order value multiplier per customer tier.
+# --- fixed values: order value multiplier per customer tier.
 TIER_MULTIPLIERS = {"new": "0.8", "regular": "1.0", "vip": "2.0"}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.schemas import METRIC, RUN
-from rillmark.sinks.tables import append_rows
+from rillmark.sinks.tables import write_partitions
 from rillmark.sources.tables import Lake
 
 
@@ -20,10 +20,28 @@ def metric_rows(rows: DataFrame, recorded_at: datetime | None = None) -> DataFra
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in METRIC.fields])
 
 
-def write_metrics(rows: DataFrame, lake: Lake, jdbc: dict[str, str] | None = None, recorded_at: datetime | None = None) -> None:
-    """Append all rows in one write; ``jdbc`` options send them to a database as well, tags as JSON."""
+def run_key(as_of: datetime) -> str:
+    """Partition value of the rows of one run time."""
+    return as_of.isoformat(timespec="seconds").replace(":", "-")
+
+
+def write_run_rows(rows: DataFrame, lake: Lake, table: str, as_of: datetime) -> None:
+    """Rows of a run time into a table partitioned by it; a repeated run replaces what it wrote before."""
+    write_partitions(rows.withColumn("run_at", F.lit(run_key(as_of))), lake.path(table), ["run_at"])
+
+
+def write_metrics(rows: DataFrame, lake: Lake, jdbc: dict[str, str] | None = None, recorded_at: datetime | None = None, source: str = "figures") -> None:
+    """All rows of a run time in one write; the same source writing again for it replaces its rows.
+
+    ``jdbc`` options append them to a database as well, tags as JSON; there repeated runs need a key on the table.
+    """
     stamped = metric_rows(rows, recorded_at)
-    append_rows(stamped, lake.path("pipeline_metrics"))
+    key = run_key(recorded_at) if recorded_at else "unstamped"
+    keyed = stamped.withColumns({"run_at": F.lit(key), "written_by": F.lit(source)})
+    if recorded_at:
+        write_partitions(keyed, lake.path("pipeline_metrics"), ["run_at", "written_by"])
+    else:
+        keyed.write.mode("append").partitionBy("run_at", "written_by").parquet(lake.path("pipeline_metrics"))
     if jdbc:
         stamped.withColumn("tags", F.to_json("tags")).write.mode("append").format("jdbc").options(**jdbc).save()
 
@@ -40,7 +58,8 @@ def run_row(
 def write_run(row: DataFrame, lake: Lake, csv_fallback: str | None = None) -> None:
     """Append a run row; where the table cannot be written, a CSV line keeps the record."""
     try:
-        append_rows(row, lake.path("pipeline_runs"))
+        by = ["run_at"] if "run_at" in row.columns else []
+        row.write.mode("append").partitionBy(*by).parquet(lake.path("pipeline_runs"))
     except Exception:
         if csv_fallback is None:
             raise

@@ -48,6 +48,23 @@ def apply_retention(df: DataFrame, ts_col: str, keep: timedelta, as_of: datetime
     return df.where(F.col(ts_col) >= F.lit(as_of) - F.lit(keep))
 
 
+def trim_table(spark: SparkSession, path: str, ts_col: str, keep: timedelta, as_of: datetime, by: str) -> list[str]:
+    """Delete the partitions of ``by`` whose newest row is older than ``keep``; returns their values.
+
+    Only whole partitions go, so nothing is rewritten and readers of the others are not disturbed.
+    """
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException:
+        return []
+    newest = rows.groupBy(F.col(by).cast("string").alias("part")).agg(F.max(ts_col).alias("newest"))
+    old = [r["part"] for r in newest.where(F.col("newest") < F.lit(as_of) - F.lit(keep)).collect()]  # one value per partition
+    for value in old:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return sorted(old)
+
+
 def write_compacted(
     spark: SparkSession, path: str, partition: Column, by: list[str], cluster_by: list[str], files: int
 ) -> None:

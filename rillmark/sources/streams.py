@@ -18,18 +18,18 @@ class StreamConfig:
     servers: str = "localhost:9092"
     directory: str = ""
     fail_on_data_loss: bool = True
+    max_records: int | None = None  # of a broker topic per batch
+    max_files: int | None = None  # of a file source per batch
 
 
-def read_events_stream(
-    spark: SparkSession, config: StreamConfig, topic: str, max_per_batch: int | None = 5000
-) -> DataFrame:
-    """Messages of a topic in the fixed envelope.
+def read_events_stream(spark: SparkSession, config: StreamConfig, topic: str) -> DataFrame:
+    """Messages of a topic in the fixed envelope; a batch is as large as the configuration allows, by default all there is.
 
     The first run starts with the earliest message. Later runs go on from the
     checkpoint, where Spark does not look at the start position any more.
     """
     if config.kind == "files":
-        return read_files_stream(spark, f"{config.directory}/{topic}", ENVELOPE, max_per_batch)
+        return read_files_stream(spark, f"{config.directory}/{topic}", ENVELOPE, config.max_files)
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", config.servers)
@@ -37,8 +37,8 @@ def read_events_stream(
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", str(config.fail_on_data_loss).lower())
     )
-    if max_per_batch:
-        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
+    if config.max_records:
+        reader = reader.option("maxOffsetsPerTrigger", config.max_records)
     return reader.load().select(*ENVELOPE.fieldNames())
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,9 @@ LAYOUT = {
     "bronze_transactions": "bronze/transactions",
     "silver_clickstream": "silver/clickstream",
     "silver_rejected": "silver/clickstream_rejected",
+    "silver_late": "silver/clickstream_late",
+    "silver_stream_rejected": "silver/clickstream_stream_rejected",
+    "silver_batches": "silver/clickstream_batches",
     "gold_hourly": "gold/hourly_metrics",
     "pipeline_metrics": "metrics/pipeline_metrics",
     "pipeline_runs": "metrics/pipeline_runs",
@@ -23,9 +27,14 @@ LAYOUT = {
     "system_resources": "metrics/system_resources",
     "business_metrics": "metrics/business_metrics",
     "alerts": "metrics/alerts",
+    "stream_progress": "metrics/stream_progress",
 }
 
 
+#: Conditions under which a source counts as not there.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DATA_SOURCE_NOT_FOUND")
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables are. One registry for every job, whatever the format."""
@@ -57,13 +66,23 @@ def read_files(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def first_readable(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:
-    """The first ``(format, path)`` that can be read. There is no made-up stand-in for missing data."""
+    """The first ``(format, path)`` that is there. There is no made-up stand-in for missing data.
+
+    Only a missing path, an empty folder or a missing connector leads to the next one. A
+    table that is there but cannot be read, say for its permissions, is an error.
+    """
     problems = []
     for file_format, path in candidates:
         try:
             return spark.read.format(file_format).load(path)
-        except Exception as error:  # a missing connector raises a JVM error, a missing path an AnalysisException
-            problems.append(f"{file_format} {path}: {type(error).__name__}")
+        except AnalysisException as error:  # no such path, no such format, or nothing to take a schema from
+            if error.getCondition() not in UNREADABLE:
+                raise
+            problems.append(f"{file_format} {path}: {error.getCondition()}")
+        except (PySparkException, Py4JJavaError) as error:
+            if "[DATA_SOURCE_NOT_FOUND]" not in str(error):
+                raise
+            problems.append(f"{file_format} {path}: no connector")
     raise FileNotFoundError("no readable source: " + "; ".join(problems))
 
 
@@ -94,12 +113,21 @@ def layer_status(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def latest_report(spark: SparkSession, reports_dir: str) -> DataFrame | None:
-    """The newest stored quality report, or None when none was ever written."""
+    """The quality report with the newest time, of several the one written last; None when none was ever written."""
     try:
         stored = spark.read.schema(REPORT).json(reports_dir)
     except AnalysisException:
         return None
-    return stored.orderBy(F.desc("timestamp")).limit(1)
+    return stored.orderBy(F.desc("timestamp"), F.desc_nulls_last("written_at"), F.desc_nulls_last("run_id")).limit(1)
+
+
+def report_of_run(spark: SparkSession, reports_dir: str, run_id: str) -> DataFrame | None:
+    """The report that a run wrote, whatever else was written since; None when it wrote none."""
+    try:
+        stored = spark.read.schema(REPORT).json(reports_dir).where(F.col("run_id") == run_id)
+    except AnalysisException:
+        return None
+    return stored if stored.head(1) else None
 
 
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:

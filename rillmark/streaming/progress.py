@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from rillmark.schemas import PROGRESS
+from rillmark.sinks.mart import write_metrics
+from rillmark.sinks.tables import append_rows
+from rillmark.sources.tables import Lake
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps one small row per non-empty micro-batch, and the names of ended queries."""
+    """Holds one small row per non-empty micro-batch until it is stored, and the names of ended queries."""
 
-    def __init__(self, keep: int = 10000):
+    def __init__(self):
         self.rows: list[tuple] = []
         self.ended: list[str] = []
-        self.keep = keep
 
     def onQueryStarted(self, event):
         pass
@@ -27,7 +29,6 @@ class ProgressRecorder(StreamingQueryListener):
         if p.numInputRows > 0:
             at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).replace(tzinfo=None)
             self.rows.append((p.name, p.batchId, p.numInputRows, p.durationMs.get("triggerExecution"), at))
-            del self.rows[: -self.keep]
 
     def onQueryIdle(self, event):
         pass
@@ -38,6 +39,16 @@ class ProgressRecorder(StreamingQueryListener):
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rows), PROGRESS)
 
+    def store(self, spark: SparkSession, lake: Lake) -> int:
+        """Append the rows held to the progress table and as metrics, then let go of them; call it now and then."""
+        taken = list(self.rows)
+        if taken:
+            rows = spark.createDataFrame(taken, PROGRESS)
+            append_rows(rows, lake.path("stream_progress"))
+            write_metrics(progress_metrics(rows), lake, source="streams")
+            del self.rows[: len(taken)]
+        return len(taken)
+
 
 def backlog(progress: DataFrame, trigger_ms: int) -> DataFrame:
     """Batches that took as long as the trigger interval or longer: the query falls behind."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,26 +34,98 @@ def start_bronze(df: DataFrame, lake: Lake, topic: str, trigger: dict | None = N
 
 
 def conform(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Messages to valid events, each once. Works on batches and on streams."""
+    """Messages to valid events, each once. Of a stream, events behind the watermark are dropped; ``start_silver`` keeps them."""
     parsed = parse_events(raw)
     valid, _ = split_invalid(parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     return dedupe(valid, ["session_id", "event_id"], ["event_ts", "kafka_offset"], watermark)
 
 
+def judge(raw: DataFrame) -> DataFrame:
+    """Parsed messages with the reasons for which they are no events; an empty list for events."""
+    return with_reasons(parse_events(raw), {"malformed": f"{CORRUPT} is null", **EVENT_RULES})
+
+
 def rejected(raw: DataFrame) -> DataFrame:
     """Messages that do not become events, with their reasons."""
-    judged = with_reasons(parse_events(raw), {"malformed": f"{CORRUPT} is null", **EVENT_RULES})
-    return judged.where(F.size("reasons") > 0)
+    return judge(raw).where(F.size("reasons") > 0)
 
 
 def start_silver(raw: DataFrame, lake: Lake, watermark: str = "1 hour", trigger: dict | None = None) -> list[StreamingQuery]:
-    """Two queries over the raw stream: valid events, and rejected rows with reasons."""
-    return [
-        start_table(
-            conform(raw, watermark), lake.path("silver_clickstream"), lake.checkpoint("silver"), "silver", ["event_date"], trigger
-        ),
-        start_table(rejected(raw), lake.path("silver_rejected"), lake.checkpoint("rejected"), "rejected", None, trigger),
-    ]
+    """Raw stream to events, late events, rejected rows and a count of each batch; see ``silver_batch``."""
+    writer = raw.writeStream.foreachBatch(silver_batch(lake, watermark)).option("checkpointLocation", lake.checkpoint("silver"))
+    return [writer.queryName(SILVER_QUERY).trigger(**(trigger or EVERY_10_SECONDS)).start()]
+
+
+SILVER_QUERY, GOLD_QUERY = "silver", "gold"
+EVENT_KEYS = ["session_id", "event_id"]
+
+
+def silver_batch(lake: Lake, watermark: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that loses nothing: silver + late + rejected + duplicates = rows that came in.
+
+    A batch is parsed once. The newest event time of the batches before, less the
+    watermark, is the line behind which a valid event is late; late events go to a table
+    of their own. The others are written once: their keys are compared with those of the
+    stored days from that line on, which are few, and a batch that is tried again finds
+    its own rows there. The other tables have a folder per batch, which a retry replaces.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        line = _line_before(spark, lake, batch_id, watermark)
+        judged = judge(batch).persist()
+        try:
+            behind = F.coalesce(F.col("event_ts") < F.lit(line), F.lit(False)) if line else F.lit(False)
+            good = F.size("reasons") == 0
+            valid = judged.where(good).drop("reasons", CORRUPT)
+            late, timely = valid.where(behind), valid.where(~behind)
+            first = dedupe(timely, EVENT_KEYS, ["event_ts", "kafka_offset"])
+            insert_new(first, lake.path("silver_clickstream"), EVENT_KEYS, ["event_date"], F.to_date(F.lit(line)) if line else None)
+            late.write.mode("overwrite").parquet(f"{lake.path('silver_late')}/batch={batch_id}")
+            judged.where(~good).write.mode("overwrite").parquet(f"{lake.path('silver_stream_rejected')}/batch={batch_id}")
+            counts = judged.agg(
+                F.count("*").alias("received"), F.count_if(good & ~behind).alias("timely"), F.count_if(good & behind).alias("late"),
+                F.count_if(~good).alias("rejected"), F.max(F.when(good, F.col("event_ts"))).alias("newest"),
+            )
+            seen = F.greatest("newest", F.lit(None if line is None else _newest_before(spark, lake, batch_id)).cast("timestamp"))
+            counts.withColumn("newest", seen).write.mode("overwrite").parquet(f"{lake.path('silver_batches')}/batch={batch_id}")
+        finally:
+            judged.unpersist()
+
+    return write
+
+
+def _newest_before(spark, lake: Lake, batch_id: int):
+    """Newest valid event time of all batches before: every batch stores the running maximum."""
+    try:
+        return spark.read.parquet(f"{lake.path('silver_batches')}/batch={batch_id - 1}").first()["newest"]
+    except AnalysisException:
+        return None
+
+
+def _line_before(spark, lake: Lake, batch_id: int, watermark: str):
+    newest = _newest_before(spark, lake, batch_id)
+    return spark.range(1).select(F.lit(newest) - F.expr(f"INTERVAL {watermark}")).first()[0] if newest else None
+
+
+def insert_new(rows: DataFrame, path: str, keys: list[str], by: list[str], since: Column | None = None) -> None:
+    """Append the rows whose key is not stored yet, to a table partitioned by ``by``.
+
+    With ``since`` only partitions from there on are compared.
+    """
+    try:
+        stored = rows.sparkSession.read.parquet(path)
+        stored = stored if since is None else stored.where(F.col(by[0]) >= since)
+        rows = rows.join(stored.select(*keys), keys, "left_anti")
+    except AnalysisException:
+        pass  # nothing is stored yet
+    rows.write.mode("append").partitionBy(*by).parquet(path)
+
+
+def refuse_second_writer(spark, name: str) -> None:
+    """A batch job must not rewrite a table while a stream of this session appends to it."""
+    if any(query.name == name and query.isActive for query in spark.streams.active):
+        raise RuntimeError(f"the stream {name!r} is writing this table; stop it first")
 
 
 def hourly_stream(events: DataFrame, ts: str = "event_ts", watermark: str = "1 hour", rsd: float = 0.05) -> DataFrame:
@@ -87,9 +160,18 @@ def hourly_stream(events: DataFrame, ts: str = "event_ts", watermark: str = "1 h
 
 
 def start_gold(events: DataFrame, lake: Lake, watermark: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
-    return start_table(
-        hourly_stream(events, "event_ts", watermark), lake.path("gold_hourly"), lake.checkpoint("gold"), "gold", ["event_date"], trigger
-    )
+    """Closed hours into the hourly table, each once, in the layout that the batch job writes too.
+
+    The watermark must be at least that of silver: rows then reach this query no later
+    than its watermark allows, and none is dropped.
+    """
+    keys = ["event_date", "event_hour", "event_type", "device_type"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        insert_new(batch, lake.path("gold_hourly"), keys, ["event_date"])
+
+    writer = hourly_stream(events, "event_ts", watermark).writeStream.foreachBatch(write).outputMode("append")
+    return writer.option("checkpointLocation", lake.checkpoint("gold")).queryName(GOLD_QUERY).trigger(**(trigger or EVERY_10_SECONDS)).start()
 
 
 def sliding_counts(

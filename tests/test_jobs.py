@@ -1,16 +1,19 @@
 """Jobs end to end on a small lake: streaming ingestion, gate, re-runs, listener."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from rillmark.catalog.tables import messages
+from rillmark.operators.mart import ALERT_RULES
 from rillmark.plans import jobs
+from rillmark.sinks.mart import run_row, write_run
 from rillmark.sources.streams import StreamConfig
 from rillmark.sources.tables import Lake, first_readable, latest_report, layer_status, read_table
-from rillmark.streaming.queries import DRAIN, hourly_stream, start_gold, stop_all
+from rillmark.streaming.progress import ProgressRecorder
+from rillmark.streaming.queries import DRAIN, hourly_stream, silver_batch, start_gold, start_silver, stop_all
 
 D = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 31)
@@ -37,11 +40,11 @@ def test_whole_run_and_again(spark, lake):
     assert rows(read_table(spark, lake, "gold_hourly")) == first
     runs = read_table(spark, lake, "pipeline_runs")
     assert [r["status"] for r in runs.collect()] == ["success", "success"]
-    assert runs.first()["events_processed"] == events
-    total = read_table(spark, lake, "pipeline_metrics").where("metric_name = 'pipeline.events.total'").first()
-    assert total["metric_value"] == events
+    assert runs.first()["events_processed"] == events and runs.first()["events_failed"] > 0
+    totals = read_table(spark, lake, "pipeline_metrics").where("metric_name = 'pipeline.events.total'").collect()
+    assert [t["metric_value"] for t in totals] == [events]
     status = {r["table_name"]: r["row_count"] for r in layer_status(spark, lake).collect()}
-    assert status["silver_clickstream"] == events and status["alerts"] == 0
+    assert status["silver_clickstream"] == events and status["alerts"] == len(ALERT_RULES)
     assert set(jobs.layer_report(spark, lake)) == {"tables", "silver_validity", "gold"}
     assert all(frame.count() >= 0 for frame in jobs.analytics_job(spark, lake, AS_OF).values())
 
@@ -49,13 +52,125 @@ def test_whole_run_and_again(spark, lake):
 def test_blocked_gate_keeps_gold_unwritten(spark, lake):
     jobs.silver_job(spark, lake)
     with pytest.raises(jobs.PublicationBlocked):
-        jobs.gold_job(spark, lake)  # no report yet
+        jobs.gold_job(spark, lake, "run_unknown")  # no report of that run
     silver = read_table(spark, lake, "silver_clickstream").withColumn("device_type", F.lit("fridge"))
     silver.write.parquet(lake.root + "/bad")
     bad = Lake(lake.root, tables={**lake.tables, "silver_clickstream": "bad"})
-    assert jobs.quality_job(spark, bad, AS_OF) is False
+    refused = jobs.quality_job(spark, bad, AS_OF)
+    assert not refused
     with pytest.raises(jobs.PublicationBlocked):
-        jobs.gold_job(spark, bad)
+        jobs.gold_job(spark, bad, refused.run_id)
+
+
+@pytest.mark.parametrize("first, second", [(AS_OF, datetime(2024, 1, 15)), (AS_OF, AS_OF)])
+def test_gate_judges_the_report_of_its_run(spark, lake, first, second):
+    """A good report of a newer time, or of the same one, does not let bad rows through, nor the other way round."""
+    jobs.silver_job(spark, lake)
+    good = jobs.quality_job(spark, lake, first)
+    read_table(spark, lake, "silver_clickstream").withColumn("device_type", F.lit("fridge")).write.parquet(lake.root + "/bad")
+    bad = Lake(lake.root, tables={**lake.tables, "silver_clickstream": "bad"})
+    refused = jobs.quality_job(spark, bad, second)
+    assert good and not refused
+    with pytest.raises(jobs.PublicationBlocked):
+        jobs.gold_job(spark, bad, refused.run_id)
+    assert jobs.gold_job(spark, lake, good.run_id) > 0
+    assert "fridge" not in {r["device_type"] for r in read_table(spark, lake, "gold_hourly").select("device_type").distinct().collect()}
+
+
+def test_repeated_runs_replace_figures(spark, lake):
+    def counts(name, *keys):
+        return rows(read_table(spark, lake, name).groupBy(*keys).count())
+
+    jobs.run_all(spark, lake, AS_OF)
+    tables = (("pipeline_metrics", "metric_name", "written_by"), ("data_quality_checks", "check_name"), ("alerts", "alert_name"))
+    before = [counts(*t) for t in tables]
+    jobs.run_all(spark, lake, AS_OF)
+    after = [counts(*t) for t in tables]
+    assert before[1:] == after[1:] and [r for r in before[0] if r[1] == "figures"] == [r for r in after[0] if r[1] == "figures"]
+    joined = read_table(spark, lake, "data_quality_checks").join(read_table(spark, lake, "pipeline_runs"), "run_id")
+    assert joined.count() > 0
+
+
+def test_only_new_raw_partitions_are_read(spark, lake):
+    jobs.run_all(spark, lake, AS_OF)
+    day = read_table(spark, lake, "bronze_clickstream").first()["ingestion_date"]
+    assert jobs.open_ingestion_dates(spark, lake) == [str(day)]
+    gone = Lake(lake.root, tables={**lake.tables, "silver_clickstream": "none", "silver_rejected": "none"})
+    assert jobs.open_ingestion_dates(spark, gone) == [str(day)]
+
+
+def test_alerts_and_retention(spark, lake):
+    assert jobs.run_all(spark, Lake(lake.root + "/empty"), AS_OF) == "failed"
+    late = jobs.now_utc() + timedelta(minutes=5)
+    verdicts = {r["alert_name"]: r["status"] for r in jobs.alerts_job(spark, Lake(lake.root + "/empty"), late).collect()}
+    assert verdicts["failed_run"] == "firing" and verdicts["no_events"] == "firing" and verdicts["error_rate"] == "resolved"
+    jobs.run_all(spark, lake, AS_OF)
+    kept = read_table(spark, lake, "data_quality_checks").count()
+    assert jobs.retention_job(spark, lake, AS_OF + timedelta(days=6))["data_quality_checks"] == []
+    assert read_table(spark, lake, "data_quality_checks").count() == kept > 0
+    assert len(jobs.retention_job(spark, lake, AS_OF + timedelta(days=8))["data_quality_checks"]) == 1
+
+
+def test_stream_and_batch_share_silver(spark, lake):
+    schema = read_table(spark, lake, "bronze_clickstream").schema
+    raw = spark.readStream.schema(schema).parquet(lake.path("bronze_clickstream"))
+    for query in start_silver(raw, lake, "40 days", DRAIN):
+        query.awaitTermination()
+    streamed = read_table(spark, lake, "silver_clickstream").count()
+    written = jobs.silver_job(spark, lake)
+    assert written.events == streamed == read_table(spark, lake, "silver_clickstream").count()
+    running = start_silver(raw, Lake(lake.root + "3"), "1 hour")
+    try:
+        with pytest.raises(RuntimeError):
+            jobs.silver_job(spark, lake)
+    finally:
+        stop_all(running)
+
+
+def test_a_batch_tried_again_writes_nothing_twice(spark, lake):
+    raw = read_table(spark, lake, "bronze_clickstream")
+    halves = [raw.where("kafka_offset % 2 = 0"), raw.where("kafka_offset % 2 = 1")]
+    write = silver_batch(lake, "1 hour")
+    write(halves[0], 0)
+    for _ in range(2):
+        write(halves[1], 1)
+    names = ("silver_clickstream", "silver_late", "silver_stream_rejected", "silver_batches")
+    silver, late, bad, batches = (read_table(spark, lake, n) for n in names)
+    total = batches.agg(F.sum("received"), F.sum("timely"), F.sum("late"), F.sum("rejected")).first()
+    assert total[0] == raw.count() == sum(total[1:]) and late.count() == total[2] and bad.count() == total[3]
+    assert silver.count() == silver.select("session_id", "event_id").distinct().count() <= total[1]
+
+
+def test_two_topics(spark, lake):
+    root = lake.root.rsplit("/", 1)[0]
+    spark.read.parquet(f"{root}/in/clickstream").withColumn("topic", F.lit("transactions")).limit(50).write.parquet(f"{root}/in/transactions")
+    other = Lake(lake.root + "4")
+    config = StreamConfig(kind="files", directory=f"{root}/in", max_files=1)
+    queries = jobs.bronze_job(spark, other, config, trigger=DRAIN)
+    for query in queries:
+        query.awaitTermination()
+    assert sorted(q.name for q in queries) == ["bronze_clickstream", "bronze_transactions"]
+    assert read_table(spark, other, "bronze_transactions").count() == 50
+    assert read_table(spark, other, "bronze_clickstream").count() == read_table(spark, lake, "bronze_clickstream").count()
+
+
+def test_run_log_falls_back_to_csv(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    (tmp_path / "metrics").mkdir()
+    (tmp_path / "metrics/pipeline_runs").write_text("a file where the table should be")
+    row = run_row(spark, "p", "r1", AS_OF, AS_OF, "success", 3)
+    with pytest.raises(Exception):
+        write_run(row, lake)
+    write_run(row, lake, csv_fallback=str(tmp_path / "log"))
+    assert spark.read.csv(str(tmp_path / "log")).first()[:3] == ("p", "r1", "success")
+
+
+def test_progress_is_stored_and_let_go(spark, tmp_path):
+    lake, recorder = Lake(str(tmp_path)), ProgressRecorder()
+    recorder.rows = [("q", k, 10, 5, AS_OF) for k in range(3)]
+    assert recorder.store(spark, lake) == 3 and recorder.rows == [] and recorder.store(spark, lake) == 0
+    assert read_table(spark, lake, "stream_progress").count() == 3
+    assert read_table(spark, lake, "pipeline_metrics").where("metric_name = 'stream.input.rows'").count() == 3
 
 
 def test_failed_run_is_recorded(spark, tmp_path):
@@ -106,11 +221,10 @@ def test_day_by_day_equals_one_run(spark, tmp_path):
     assert rows(tables[0]) == rows(tables[1].select(*tables[0].columns))
     bad = [read_table(spark, lake, "silver_rejected").count() for lake in (whole, parts)]
     assert bad[0] == bad[1] > 0
-    for lake in (whole, parts):
-        jobs.quality_job(spark, lake, AS_OF)
-    jobs.gold_job(spark, whole)
+    runs = [jobs.quality_job(spark, lake, AS_OF).run_id for lake in (whole, parts)]
+    jobs.gold_job(spark, whole, runs[0])
     days = jobs.event_dates(tables[1])
-    jobs.gold_job(spark, parts, days[:10])
-    jobs.gold_job(spark, parts, days[10:])
+    jobs.gold_job(spark, parts, runs[1], days[:10])
+    jobs.gold_job(spark, parts, runs[1], days[10:])
     gold = [rows(read_table(spark, lake, "gold_hourly")) for lake in (whole, parts)]
     assert gold[0] == gold[1]
