@@ -287,11 +287,11 @@ lines AS (SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id, CAST(o_custkey A
 
 
 def numbered_lines(spark, sf_dir) -> DataFrame:
-    """Lines numbered inside their order by all item fields; large orders are split by product range."""
+    """Lines numbered inside their order by all item fields; an order too large for a task is split by product range."""
     tie = ["l_suppkey", "l_linenumber", "quantity", "unit_price", "discount_amount", "tax_amount"]
     rows = lines(spark, sf_dir).withColumn("one", F.lit(1))
     split = F.floor(F.col("l_partkey") / 256)
-    return with_running(rows, ["transaction_id"], "l_partkey", tie, {"line_no": ("sum", "one")}, split).drop("one")
+    return with_running(rows, ["transaction_id"], "l_partkey", tie, {"line_no": ("sum", "one")}, large_chunk=split).drop("one")
 
 
 NUMBERED = """numbered AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY l_partkey, l_suppkey, l_linenumber,

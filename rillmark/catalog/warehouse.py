@@ -13,6 +13,7 @@ from rillmark.catalog.tables import (
 from rillmark.functions.lookup import lookup_join
 from rillmark.operators import links, orders
 from rillmark.operators import warehouse as wh
+from rillmark.session import scratch_path
 
 KEY = "CAST(strftime({0}, '%Y%m%d') AS INTEGER)".format
 
@@ -100,11 +101,11 @@ def orders_with_tier_now(spark, d):
     return links.with_dim_current(heads, dim, "customer_id").select("o_orderkey", "customer_tier")
 
 
-@query("SELECT event_id, product_id FROM silver s WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size > 25 AND 'prod_' || CAST(p_partkey AS VARCHAR) = s.product_id)", (SILVER,))
+@query("SELECT event_id, product_id FROM silver s WHERE NOT EXISTS (SELECT 1 FROM part WHERE 'prod_' || CAST(p_partkey AS VARCHAR) = s.product_id)", (SILVER,))
 def orphan_events(spark, d):
-    """Events whose product is not among the large parts."""
-    large = given(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("prod_"), F.col("p_partkey").cast("string")).alias("product_id"))
-    return links.orphans(silver(spark, d).select("event_id", "product_id"), large, "product_id")
+    """Events whose product is no part."""
+    parts = given(spark, d, "part").select(F.concat(F.lit("prod_"), F.col("p_partkey").cast("string")).alias("product_id"))
+    return links.orphans(silver(spark, d).select("event_id", "product_id"), parts, "product_id")
 
 
 TOTAL = "CAST(quantity * unit_price - discount_amount + tax_amount AS DECIMAL(18,2))"
@@ -114,15 +115,19 @@ FACT = f"""fact AS (SELECT transaction_id, {KEY('sold_at')} AS date_key, l.custo
     AND (c.expiration_date IS NULL OR l.sold_at < c.expiration_date))"""
 
 
-def _sales(spark, d):
-    return wh.fact_sales(lines(spark, d), customer_dim(spark, d), product_dim(spark, d))
+def _stored(spark, df, label):
+    """A dimension written once, as jobs have it, for all that look it up."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @query("SELECT transaction_id, date_key, customer_id, product_id, quantity, unit_price, discount_amount, tax_amount, total_amount, transaction_timestamp, TRUE AS keyed, customer_tier FROM fact", (LINES, CUSTOMER_DIM, FACT))
 def sales_fact(spark, d):
     """Sales fact; the customer key is resolved back to the tier of that version."""
-    fact = _sales(spark, d)
-    tiers = customer_dim(spark, d).select("customer_key", "customer_tier")
+    customers = _stored(spark, customer_dim(spark, d), "customers")
+    fact = wh.fact_sales(lines(spark, d), customers, product_dim(spark, d))
+    tiers = customers.select("customer_key", "customer_tier")
     keyed = F.col("product_key").isNotNull() & F.col("customer_key").isNotNull()
     return lookup_join(fact, tiers, ["customer_key"]).withColumn("keyed", keyed).drop("product_key", "customer_key")
 
@@ -149,7 +154,7 @@ def click_fact(spark, d):
     (LINES, CUSTOMER_DIM, FACT),
 )
 def daily_sales(spark, d):
-    return wh.daily_sales(_sales(spark, d))
+    return wh.daily_sales(wh.fact_measures(lines(spark, d)))
 
 
 @query(
@@ -158,7 +163,7 @@ def daily_sales(spark, d):
     (LINES, CUSTOMER_DIM, FACT),
 )
 def product_performance(spark, d):
-    return wh.product_performance(_sales(spark, d))
+    return wh.product_performance(wh.fact_measures(lines(spark, d)))
 
 
 PRICING = """cart AS (SELECT transaction_id, customer_id, max(CASE WHEN l_orderkey_n % 5 = 0 THEN 15 ELSE 0 END) AS pct,

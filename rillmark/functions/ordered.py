@@ -1,23 +1,50 @@
-"""Ordered computations over long series, without one task per series.
-
-A plain window puts a whole series into one task. Here every series is cut into
-chunks: rows are windowed inside their chunk, each chunk is reduced to one row,
-and only those rows are windowed along the series. Chunks are calendar hours,
-and minutes for the few series that hold a large share of the table, so a series
-with a third of all rows is spread over as many tasks as it has minutes. Rows
-whose key is null belong to no series and get nulls.
+"""Ordered computations over long series, without one task per long series.
+
+A plain window puts a whole series into one task, which is right for series of a
+bounded size. Series with more than ``LARGE_SERIES`` rows are cut into chunks: rows are
+windowed inside their chunk, each chunk is reduced to one row, and only those rows are
+windowed along the series. Chunks are calendar hours, and minutes for the few series
+that hold a large share of the table, so a series with a third of all rows is spread
+over as many tasks as it has minutes. Both ways give the same values. Rows whose key is
+null belong to no series, are spread, and get nulls.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rillmark.functions.lookup import hot_keys, is_one_of
+from rillmark.session import cut_lineage
 
 _CHUNK = "_chunk"
+#: Rows of a series that one task may order.
+LARGE_SERIES = 500_000
+#: Tasks that rows without a key are spread over.
+SPREAD = 1024
+
+
+def _by_size(df: DataFrame, by: list[str], plain, chunked) -> DataFrame:
+    """``plain`` on the rows of small series and ``chunked`` on those of large ones.
+
+    Series are counted first, with partial sums before the shuffle; the keys of the large
+    ones are a small table, as each stands for many rows.
+    """
+    counts = df.where(_known(by)).groupBy(*by).agg(F.count("*").alias("_n"))
+    large = cut_lineage(counts.where(F.col("_n") > LARGE_SERIES).select(*by, F.lit(True).alias("_large")))
+    if large.isEmpty():
+        return plain(df)
+    flagged = df.join(large, by, "left")
+    parts = [flagged.where(F.col("_large").isNull()), flagged.where("_large")]
+    return plain(parts[0].select(*df.columns)).unionByName(chunked(parts[1].select(*df.columns)))
+
+
+def _whole(by: list[str], ts: str, tie: list[str]) -> WindowSpec:
+    """The window of a whole series; rows without a key are spread, as they get nulls anyway."""
+    loose = F.when(~_known(by), F.pmod(F.xxhash64(ts, *tie), F.lit(SPREAD)))
+    return Window.partitionBy(*by, loose).orderBy(ts, *tie)
 
 
 def with_previous(
@@ -28,7 +55,18 @@ def with_previous(
     columns: dict[str, str],
     chunk: Column | str | None = None,
 ) -> DataFrame:
-    """Add values of the preceding row of the series: ``columns`` maps new name to source."""
+    """Add values of the preceding row of the series: ``columns`` maps new name to source.
+
+    With ``chunk`` all series are cut by it, else large ones only.
+    """
+    if chunk is None:
+        before = _whole(by, ts, tie)
+        added = {name: F.when(_known(by), F.lag(source).over(before)) for name, source in columns.items()}
+        return _by_size(df, by, lambda rows: rows.withColumns(added), lambda rows: _previous_by_chunk(rows, by, ts, tie, columns, None))
+    return _previous_by_chunk(df, by, ts, tie, columns, chunk)
+
+
+def _previous_by_chunk(df, by, ts, tie, columns, chunk) -> DataFrame:
     sources = list(dict.fromkeys(columns.values()))
     chunked = df.withColumn(_CHUNK, chunk_of(df, by, ts, chunk))
     inside = Window.partitionBy(*by, _CHUNK).orderBy(ts, *tie)
@@ -54,12 +92,22 @@ def with_running(
     tie: list[str],
     columns: dict[str, tuple[str, str]],
     chunk: Column | str | None = None,
+    large_chunk: Column | str | None = None,
 ) -> DataFrame:
     """Add running aggregates up to and including each row.
 
     ``columns`` maps a new name to ``(kind, source)`` with kind ``sum``, ``max``,
-    ``min`` or ``last`` (last value that is not null).
+    ``min`` or ``last`` (last value that is not null). With ``chunk`` all series are cut
+    by it, else large ones only, by ``large_chunk`` or by time.
     """
+    if chunk is None:
+        upto = _whole(by, ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        added = {name: F.when(_known(by), _window_form(kind, source).over(upto)) for name, (kind, source) in columns.items()}
+        return _by_size(df, by, lambda rows: rows.withColumns(added), lambda rows: _running_by_chunk(rows, by, ts, tie, columns, large_chunk))
+    return _running_by_chunk(df, by, ts, tie, columns, chunk)
+
+
+def _running_by_chunk(df, by, ts, tie, columns, chunk) -> DataFrame:
     chunked = df.withColumn(_CHUNK, chunk_of(df, by, ts, chunk))
     inside = (
         Window.partitionBy(*by, _CHUNK).orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)

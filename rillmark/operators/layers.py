@@ -53,7 +53,7 @@ def parse_events(raw: DataFrame, schema: StructType = CLICK, keep_corrupt: bool
     data = F.from_json(
         F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    lineage = [c for c in ("ingestion_timestamp", "kafka_offset") if c in raw.columns]
+    lineage = [c for c in ("ingestion_timestamp", "kafka_partition", "kafka_offset") if c in raw.columns]
     # Each text must be parsed once. As plain projected fields, every later filter on a
     # parsed field would be pushed below the parse and repeat it; a generator stops that.
     parsed = raw.select(F.inline(F.array(data)), *lineage)

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from rillmark.functions.columns import date_key, date_parts, line_total, margin_pct
 from rillmark.functions.lookup import lookup_join
@@ -41,44 +40,21 @@ def open_versions(rows: DataFrame, key: str, effective: Column) -> DataFrame:
     return versions.select(surrogate_key(key, "effective_date").alias("customer_key"), "*")
 
 
-def once_per_key(rows: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """Arrivals with one row per key: with ``order`` the last of it, else all arrivals of a key must be equal.
-
-    Arrivals that differ without an order to tell which counts end the job with an error that names the key.
-    """
-    rest = [c for c in rows.columns if c != key]
-    if order:
-        kept = F.max_by(F.struct(*rest), F.struct(*order))
-    else:
-        row = F.struct(*rest)
-        clash = F.concat(F.lit("different rows arrive for one key: "), F.first(F.col(key)).cast("string"))
-        kept = F.when(F.min(row).eqNullSafe(F.max(row)), F.max(row)).otherwise(F.raise_error(clash).cast(_struct_type(rows, rest)))
-    return rows.groupBy(key).agg(kept.alias("_r")).select(key, "_r.*").select(*rows.columns)
-
-
-def _struct_type(rows: DataFrame, columns: list[str]) -> StructType:
-    return StructType([rows.schema[c] for c in columns])
-
-
 def scd2_upsert(
     dim: DataFrame, incoming: DataFrame, key: str, tracked: list[str], effective: Column, order: list[str] | None = None
 ) -> DataFrame:
     """Type 2 upsert: changed versions are closed and new ones opened.
 
     Of several arrivals of a key in one batch the last by ``order`` counts; without it they must be equal.
-
     Only current versions meet the incoming rows (one row per key on both
     sides); closed history passes through without a join. A change on the day a
     version began replaces that version. Customers that do not arrive stay as they are.
     """
-    incoming = once_per_key(incoming, key, order)
-    if order:
-        incoming = incoming.select(*[c for c in incoming.columns if c in dim.columns])
     history, current = dim.where(~F.col("is_current")), dim.where("is_current")
-    attributes = [c for c in incoming.columns if c != key]
-    new = incoming.select(key, F.struct(*attributes).alias("_new"), F.struct(*tracked).alias("_tracked"))
+    attributes = [c for c in incoming.columns if c != key and c in dim.columns]
     old = current.select(key, F.struct(*[c for c in dim.columns if c != key]).alias("_old"), F.struct(*tracked).alias("_was"))
-    both = _side_by_side(old, new, key, ["_old", "_was"], ["_new", "_tracked"])
+    both = _side_by_side(old, _arrivals(incoming, key, attributes, order), key, ["_old", "_was"], order)
+    both = both.withColumn("_tracked", F.struct(*[F.col(f"_new.{c}").alias(c) for c in tracked]))
 
     arrived, known = F.col("_new").isNotNull(), F.col("_old").isNotNull()
     changed = arrived & known & ~F.col("_tracked").eqNullSafe(F.col("_was"))
@@ -107,41 +83,47 @@ def scd2_upsert(
     return history.unionByName(merged.select(key, "_v.*").select(*dim.columns))
 
 
-def _side_by_side(left: DataFrame, right: DataFrame, key: str, left_cols: list[str], right_cols: list[str]) -> DataFrame:
-    """Full join of two tables with one row per key, as one grouping.
+def _arrivals(incoming: DataFrame, key: str, attributes: list[str], order: list[str] | None) -> DataFrame:
+    """Incoming rows as a struct that compares by ``order`` first."""
+    return incoming.select(key, F.struct(*[F.col(c).alias(f"_by_{c}") for c in order or []], *attributes).alias("_new"))
+
+
+def _side_by_side(left: DataFrame | None, right: DataFrame, key: str, left_cols: list[str], order: list[str] | None) -> DataFrame:
+    """Full join of a table with one row per key and the arrivals of a batch, as one grouping.
 
     Both sides go through a single shuffle, and the size estimate of the result
-    is their sum rather than the product a full join is given.
+    is their sum rather than the product a full join is given. Arrivals of one key that
+    differ, without an order to tell which counts, end the job with an error that names the key.
     """
-    both = left.unionByName(right, allowMissingColumns=True)
-    return both.groupBy(key).agg(*[F.max(c).alias(c) for c in [*left_cols, *right_cols]])
+    both = right if left is None else left.unionByName(right, allowMissingColumns=True)
+    single = [F.max(c).alias(c) for c in left_cols]
+    grouped = both.groupBy(key).agg(*single, F.max("_new").alias("_new"), *([] if order else [F.min("_new").alias("_least")]))
+    if order:
+        return grouped
+    clash = F.raise_error(F.concat(F.lit("different rows arrive for one key: "), F.col(key).cast("string")))
+    kept = F.when(F.col("_least").eqNullSafe(F.col("_new")), F.col("_new")).otherwise(clash.cast(right.schema["_new"].dataType))
+    return grouped.withColumn("_new", kept).drop("_least")
 
 
 def dim_product(dim: DataFrame | None, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Type 1 upsert of products by id, with margin and surrogate key; several arrivals of an id as in ``scd2_upsert``."""
-    columns = ["product_id", "product_name", "category", "brand", "unit_price", "cost"]
-    rows = once_per_key(incoming.select(*columns, *(order or [])), "product_id", order).select(*columns)
-    if dim is not None:
-        new = rows.select("product_id", F.struct(*columns[1:]).alias("_new"))
-        old = dim.select("product_id", F.struct(*columns[1:]).alias("_old"))
-        merged = _side_by_side(old, new, "product_id", ["_old"], ["_new"]).select("product_id", F.coalesce("_new", "_old").alias("_r"))
-        rows = merged.select("product_id", "_r.*")
-    return rows.select(
+    columns = ["product_name", "category", "brand", "unit_price", "cost"]
+    new = _arrivals(incoming, "product_id", columns, order)
+    old = None if dim is None else dim.select("product_id", F.struct(*columns).alias("_old"))
+    merged = _side_by_side(old, new, "product_id", [] if dim is None else ["_old"], order)
+    last = F.struct(*[F.col(f"_new.{c}").alias(c) for c in columns])
+    found = last if dim is None else F.when(F.col("_new").isNotNull(), last).otherwise(F.col("_old"))
+    return merged.select("product_id", found.alias("_r")).select("product_id", "_r.*").select(
         surrogate_key("product_id").alias("product_key"), "*", margin_pct(F.col("unit_price"), F.col("cost")).alias("margin_percent")
     )
 
 
-def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales fact: order lines with dimension keys of their day and the line total."""
-    versions = customers.select("customer_id", "customer_key", "effective_date", "expiration_date")
-    placed = with_dim_as_of(lines, versions, "customer_id", "sold_at").drop("effective_date", "expiration_date")
-    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=lines)
-    return keyed.select(
+def fact_measures(lines: DataFrame) -> DataFrame:
+    """Order lines with the key of their day and the line total: the sales fact without dimension keys."""
+    return lines.select(
         "transaction_id",
         date_key(F.col("sold_at")).alias("date_key"),
-        "customer_key",
         "customer_id",
-        "product_key",
         "product_id",
         "quantity",
         "unit_price",
@@ -152,6 +134,18 @@ def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> D
     )
 
 
+def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales fact: order lines with dimension keys of their day and the line total."""
+    versions = customers.select("customer_id", "customer_key", "effective_date", "expiration_date")
+    rows = fact_measures(lines)
+    placed = with_dim_as_of(rows, versions, "customer_id", "transaction_timestamp").drop("effective_date", "expiration_date")
+    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=lines)
+    return keyed.select(
+        "transaction_id", "date_key", "customer_key", "customer_id", "product_key", "product_id", "quantity", "unit_price",
+        "discount_amount", "tax_amount", "total_amount", "transaction_timestamp",
+    )
+
+
 def fact_clicks(events: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Click fact with the current customer and product keys."""
     current = customers.select("customer_id", "customer_key", "is_current")

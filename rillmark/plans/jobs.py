@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.operators.aggregates import gold_rollup, hourly_metrics, kpis, valid_rate
 from rillmark.operators.behaviour import cohort_retention, daily_active, journeys, rfm, session_funnel, step_conversion
-from rillmark.operators.layers import CORRUPT, dedupe
+from rillmark.operators.layers import CORRUPT
 from rillmark.operators.mart import ALERT_RULES, alert_rows, evaluate_alerts, run_metrics
 from rillmark.operators.quality import (
     VALIDATION_POLICY, WRITE_POLICY, check_gold, checks_of_reports, gate, report, run_suites,
@@ -22,7 +22,7 @@ from rillmark.sinks.mart import run_key, run_row, write_metrics, write_report, w
 from rillmark.sinks.tables import trim_table, write_partitions
 from rillmark.sources.streams import StreamConfig, read_events_stream
 from rillmark.sources.tables import Lake, exists, layer_status, read_table, report_of_run
-from rillmark.streaming.queries import EVENT_KEYS, GOLD_QUERY, SILVER_QUERY, judge, refuse_second_writer, start_bronze, stop_all
+from rillmark.streaming.queries import GOLD_QUERY, SILVER_QUERY, first_events, judge, refuse_second_writer, start_bronze, stop_all
 
 
 class PublicationBlocked(RuntimeError):
@@ -62,8 +62,8 @@ def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | Non
     silver has not seen: the newest one it knows and all after it. Only the event dates
     they touch are rewritten: stored events of those dates and new ones go through the
     same deduplication, so a repeated run changes nothing. ``full`` reads everything.
-    Messages are parsed once, into a staged table that both outputs are cut from. Copies of an event are taken to
-    carry the same event time.
+    Messages are parsed once, into a staged table that both outputs are cut from. Copies
+    of an event are taken to carry the same event time.
     """
     refuse_second_writer(spark, SILVER_QUERY)
     raw = read_table(spark, lake, "bronze_clickstream")
@@ -75,11 +75,11 @@ def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | Non
     staged_path = f"{lake.root}/_staging/silver-{uuid.uuid4().hex[:12]}"
     judge(raw).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    events = dedupe(staged.where(F.size("reasons") == 0).drop("reasons", CORRUPT), EVENT_KEYS, ["event_ts", "kafka_offset"])
+    events = first_events(staged.where(F.size("reasons") == 0).drop("reasons", CORRUPT))
     if known:
         touched = staged.where(F.size("reasons") == 0).select("event_date").distinct()
         stored = read_table(spark, lake, "silver_clickstream").join(touched, "event_date", "left_semi")
-        events = dedupe(stored.select(*events.columns).unionByName(events), EVENT_KEYS, ["event_ts", "kafka_offset"])
+        events = first_events(stored.select(*events.columns).unionByName(events))
     counts = [Observation("silver"), Observation("rejected")]
     counted = events.observe(counts[0], F.count("*").alias("rows"))
     write_partitions(counted, lake.path("silver_clickstream"), ["event_date"], lake.file_format)

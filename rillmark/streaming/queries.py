@@ -37,7 +37,16 @@ def conform(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Messages to valid events, each once. Of a stream, events behind the watermark are dropped; ``start_silver`` keeps them."""
     parsed = parse_events(raw)
     valid, _ = split_invalid(parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
-    return dedupe(valid, ["session_id", "event_id"], ["event_ts", "kafka_offset"], watermark)
+    return first_events(valid, watermark)
+
+
+EVENT_KEYS = ["session_id", "event_id"]
+
+
+def first_events(events: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Each event once: the first by time, and by place in the log where times are equal."""
+    order = ["event_ts", *[c for c in ("kafka_partition", "kafka_offset") if c in events.columns]]
+    return dedupe(events, EVENT_KEYS, order, watermark)
 
 
 def judge(raw: DataFrame) -> DataFrame:
@@ -57,7 +66,6 @@ def start_silver(raw: DataFrame, lake: Lake, watermark: str = "1 hour", trigger:
 
 
 SILVER_QUERY, GOLD_QUERY = "silver", "gold"
-EVENT_KEYS = ["session_id", "event_id"]
 
 
 def silver_batch(lake: Lake, watermark: str) -> Callable[[DataFrame, int], None]:
@@ -79,8 +87,7 @@ def silver_batch(lake: Lake, watermark: str) -> Callable[[DataFrame, int], None]
             good = F.size("reasons") == 0
             valid = judged.where(good).drop("reasons", CORRUPT)
             late, timely = valid.where(behind), valid.where(~behind)
-            first = dedupe(timely, EVENT_KEYS, ["event_ts", "kafka_offset"])
-            insert_new(first, lake.path("silver_clickstream"), EVENT_KEYS, ["event_date"], F.to_date(F.lit(line)) if line else None)
+            insert_new(first_events(timely), lake.path("silver_clickstream"), EVENT_KEYS, ["event_date"], F.to_date(F.lit(line)) if line else None)
             late.write.mode("overwrite").parquet(f"{lake.path('silver_late')}/batch={batch_id}")
             judged.where(~good).write.mode("overwrite").parquet(f"{lake.path('silver_stream_rejected')}/batch={batch_id}")
             counts = judged.agg(

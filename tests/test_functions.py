@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillmark.functions import columns as c
+from rillmark.functions import ordered
 from rillmark.functions.lookup import hot_keys, lookup_join
 from rillmark.functions.ordered import with_previous, with_running
 from rillmark.functions.ranking import bucket_of, quartile, with_global_rank
@@ -31,7 +32,9 @@ def series(spark):
     return spark.createDataFrame(data, "key string, ts timestamp, id int, value int").cache()
 
 
-def test_previous_equals_plain_lag(series):
+@pytest.mark.parametrize("large", [0, 300, 10**6])
+def test_previous_equals_plain_lag(series, monkeypatch, large):
+    monkeypatch.setattr(ordered, "LARGE_SERIES", large)
     out = with_previous(series, ["key"], "ts", ["id"], {"prev_ts": "ts", "prev_value": "value"})
     w = Window.partitionBy("key").orderBy("ts", "id")
     known = F.col("key").isNotNull()
@@ -41,8 +44,10 @@ def test_previous_equals_plain_lag(series):
     assert rows(out) == rows(plain)
 
 
+@pytest.mark.parametrize("large", [0, 300, 10**6])
 @pytest.mark.parametrize("kind", ["sum", "max", "min", "last"])
-def test_running_equals_plain_window(series, kind):
+def test_running_equals_plain_window(series, monkeypatch, kind, large):
+    monkeypatch.setattr(ordered, "LARGE_SERIES", large)
     out = with_running(series, ["key"], "ts", ["id"], {"run": (kind, "value")})
     w = Window.partitionBy("key").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     form = {"sum": F.sum, "max": F.max, "min": F.min, "last": lambda v: F.last(v, ignorenulls=True)}[kind]
@@ -50,10 +55,11 @@ def test_running_equals_plain_window(series, kind):
     assert rows(out) == rows(plain)
 
 
-def test_running_never_windows_rows_by_key_alone(series):
+def test_running_never_windows_large_series_by_key_alone(series, monkeypatch):
+    monkeypatch.setattr(ordered, "LARGE_SERIES", 0)
     text = plan(with_running(series, ["key"], "ts", ["id"], {"run": ("sum", "value")}))
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "value" in line]
-    assert all("_chunk" in line for line in exchanges)
+    assert all("_chunk" in line or "pmod" in line or "_w" in line for line in exchanges)
     assert "SinglePartition" not in text
 
 
@@ -161,3 +167,15 @@ def test_hot_keys_of_a_large_table_come_from_a_sample(spark, series, monkeypatch
     dim = spark.createDataFrame([("hot", "a"), ("k1", "c")], "key string, name string")
     salted = lookup_join(series, dim, ["key"], "left", broadcast_bytes=-1, salts=4)
     assert rows(salted) == rows(series.join(dim, "key", "left"))
+
+
+@pytest.mark.parametrize("how", ["right", "full", "right_outer", "outer", "cross"])
+def test_lookups_keep_the_first_table(series, how):
+    with pytest.raises(ValueError):
+        lookup_join(series, series.select("key"), ["key"], how)
+
+
+def test_hot_key_of_a_frame_of_unknown_size(spark):
+    data = [("hot" if i % 10 else f"k{i}", i) for i in range(1000)]
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize(data), "key string, v int")
+    assert [r["key"] for r in hot_keys(unknown, ["key"])] == ["hot"]
