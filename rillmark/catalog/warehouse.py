@@ -126,7 +126,8 @@ def _stored(spark, df, label):
 def sales_fact(spark, d):
     """Sales fact; the customer key is resolved back to the tier of that version."""
     customers = _stored(spark, customer_dim(spark, d), "customers")
-    fact = wh.fact_sales(lines(spark, d), customers, product_dim(spark, d))
+    products = _stored(spark, product_dim(spark, d), "products")
+    fact = wh.fact_sales(lines(spark, d), customers, products)
     tiers = customers.select("customer_key", "customer_tier")
     keyed = F.col("product_key").isNotNull() & F.col("customer_key").isNotNull()
     return lookup_join(fact, tiers, ["customer_key"]).withColumn("keyed", keyed).drop("product_key", "customer_key")
