@@ -38,11 +38,11 @@ def distinct_words(words: Words) -> tuple[Distinct, np.ndarray]:
     if not len(hashes):
         return Distinct(hashes, np.zeros(0, np.int64), offsets, lengths), number
     at = np.repeat(begin - offsets[:-1], lengths) + np.arange(offsets[-1])
-    folded = FOLD[words.data].astype(np.uint32)
-    centre = folded[at]
-    left = folded[np.maximum(at - 1, 0)]
+    folded = lambda places: FOLD[words.data[places]].astype(np.uint32)
+    centre = folded(at)
+    left = folded(np.maximum(at - 1, 0))
     left[offsets[:-1]] = 94
-    right = folded[np.minimum(at + 1, len(folded) - 1)]
+    right = folded(np.minimum(at + 1, len(words.data) - 1))
     right[offsets[1:] - 1] = 36
     mixed = (left * np.uint32(2654435761)) ^ (centre * np.uint32(2246822519)) ^ (right * np.uint32(3266489917))
     mixed ^= mixed >> np.uint32(15)

@@ -27,8 +27,11 @@ from rillmark.llm.words import ALPHANUMERIC, words_of
 
 #: Bounds of the training sample: documents of each label, windows of each document, bytes of each window.
 PER_CLASS, WINDOWS_PER_DOC, WINDOW_BYTES = 2000, 48, 2048
-FREQUENT = 20
+#: Texts of the sample that a word must stand in to have a vector of its own.
+FREQUENT = 6
 FLAGGED = 0.3
+#: Words of more bytes are read as several.
+LONGEST = 512
 
 
 def held_out() -> Column:
@@ -38,7 +41,7 @@ def held_out() -> Column:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of sampled documents as texts, at most WINDOWS_PER_DOC each, spread evenly."""
     for batch in row_chunks(batches, "text"):
-        words = words_of(batch.column("text"), ALPHANUMERIC, hashed=False)
+        words = words_of(batch.column("text"), ALPHANUMERIC, hashed=False, longest=LONGEST)
         row, start, length = window_starts(words.first())
         out = []
         for k, (doc, y) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("y").to_pylist())):
@@ -57,19 +60,23 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, label: str = "toxic", per_class: int = PER_CLASS) -> Network | float:
     """The fitted network, or the share of label 1 where there are not labels of both kinds."""
     sample, counts = labelled_sample(docs, labels, label, ~held_out() if usable is None else usable, per_class)
-    rows = sample.select(F.col("doc_id").cast("bigint"), "y", "text").mapInArrow(_windows, "doc_id bigint, y int, nth bigint, text string").toPandas()
-    rows = rows.sort_values(["doc_id", "nth"], ignore_index=True)
-    if rows["y"].nunique() < 2:
+    rows = sample.select(F.col("doc_id").cast("bigint"), "y", "text").mapInArrow(_windows, "doc_id bigint, y int, nth bigint, text string").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("nth", "ascending")])
+    label_of = rows.column("y").to_numpy()
+    if len(np.unique(label_of)) < 2:
         return counts.get(1, 0) / max(1, sum(counts.values()))
-    words = words_of(pa.array(rows["text"], pa.large_string()), ALPHANUMERIC)
+    text, at, row = np.unique(rows.column("doc_id").to_numpy(), return_index=True, return_inverse=True)
+    words = words_of(rows.column("text").combine_chunks(), ALPHANUMERIC, longest=LONGEST)
+    del rows
     distinct, number = distinct_words(words)
     first = words.first()
     starts, sizes = first[:-1], np.minimum(np.diff(first), WINDOW)
-    text, at = np.unique(rows["doc_id"].to_numpy(), return_index=True)
-    row = np.searchsorted(text, rows["doc_id"].to_numpy())
-    target = rows["y"].to_numpy(np.float64)[at]
+    target = label_of[at].astype(np.float64)
+    of_text = row[words.row]
+    del words
     weight = np.where(target == 1, counts[1] / (target == 1).sum(), counts[0] / (target == 0).sum())
-    spread = np.bincount(np.unique(row[words.row].astype(np.int64) * len(distinct.hash) + number) % len(distinct.hash), minlength=len(distinct.hash))
+    spread = np.bincount(np.unique(of_text * len(distinct.hash) + number) % len(distinct.hash), minlength=len(distinct.hash))
+    del of_text
     return train(distinct, number, (row, starts, sizes), target, weight / weight.mean(), distinct.hash[spread >= FREQUENT])
 
 
@@ -81,7 +88,7 @@ def scored(docs: DataFrame, model: Network | float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_chunks(batches, "text"):
-            words = words_of(batch.column("text"), ALPHANUMERIC)
+            words = words_of(batch.column("text"), ALPHANUMERIC, longest=LONGEST)
             worst = np.zeros(batch.num_rows)
             if isinstance(model, float):
                 worst[np.diff(words.first()) > 0] = model

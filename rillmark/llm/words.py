@@ -45,7 +45,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64))
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_tables = [_powers(BASE, SEGMENT), _powers(_INVERSE, SEGMENT)]
+_tables = (_powers(BASE, SEGMENT), _powers(_INVERSE, SEGMENT))
 
 
 class Words(NamedTuple):
@@ -74,8 +74,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0]
 
 
-def words_of(column: pa.Array, inside: np.ndarray = BETWEEN_BLANKS, hashed: bool = True) -> Words:
-    """All words of all texts, in order, with a hash of the folded bytes of each."""
+def words_of(column: pa.Array, inside: np.ndarray = BETWEEN_BLANKS, hashed: bool = True, longest: int | None = None) -> Words:
+    """All words of all texts, in order, with a hash of the folded bytes of each.
+
+    With ``longest``, words of more bytes are taken as several words one behind the other.
+    """
     data, bounds = utf8(column)
     is_word = inside[data]
     starts_row = np.zeros(len(data) + 1, bool)
@@ -88,6 +91,11 @@ def words_of(column: pa.Array, inside: np.ndarray = BETWEEN_BLANKS, hashed: bool
     following[-1:] = False
     following[:-1] = is_word[1:]
     end = np.flatnonzero(is_word & (~following | starts_row[1:])) + 1
+    if longest and len(begin) and int((end - begin).max()) > longest:
+        pieces = -(-(end - begin) // longest)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin, end = np.repeat(begin, pieces) + nth * longest, np.repeat(end, pieces)
+        end = np.minimum(end, begin + longest)
     row = np.searchsorted(bounds, begin, "right") - 1
     return Words(data, bounds, row, begin, end, _hashes(data, begin, end) if hashed else np.zeros(0, np.uint64))
 
@@ -99,10 +107,12 @@ def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         while k < len(begin):
             base = begin[k]
-            last = max(k + 1, int(np.searchsorted(end, base + SEGMENT, "right")))
+            last = int(np.searchsorted(end, base + SEGMENT, "right"))
+            if last <= k:
+                out[k] = _long_hash(data[base : end[k]])
+                k += 1
+                continue
             size = int(end[last - 1] - base)
-            if size >= len(_tables[0]):
-                _tables[:] = [_powers(BASE, size), _powers(_INVERSE, size)]
             sums = np.zeros(size + 1, np.uint64)
             np.cumsum(BYTE_VALUES[FOLD[data[base : base + size]]] * _tables[0][:size], out=sums[1:])
             b, e = begin[k:last] - base, end[k:last] - base
@@ -111,6 +121,16 @@ def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def _long_hash(word: np.ndarray) -> np.uint64:
+    """The same hash of a word longer than a segment, piece by piece."""
+    total = 0
+    for a in range(0, len(word), SEGMENT):
+        piece = word[a : a + SEGMENT]
+        part = (BYTE_VALUES[FOLD[piece]] * _tables[0][: len(piece)]).sum(dtype=np.uint64)
+        total += int(part) * pow(int(BASE), a, 1 << 64)
+    return mixed(np.array([(total + len(word)) % (1 << 64)], np.uint64))[0]
+
+
 def word_hash(word: str) -> np.uint64:
     return words_of(pa.array([word], pa.large_string()), np.ones(256, bool)).hash[0]
 
