@@ -40,8 +40,8 @@ def text_column(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
-def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that ``column`` holds about ``limit`` bytes in each, one row at least."""
+def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that each has at most ``rows`` rows and ``column`` about ``limit`` bytes, one row at least."""
     import numpy as np
 
     for batch in batches:
@@ -49,7 +49,7 @@ def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 <<
         ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
         first = 0
         while first < batch.num_rows:
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1)
+            last = max(first + 1, min(first + rows, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1))
             yield batch.slice(first, last - first)
             first = last
 

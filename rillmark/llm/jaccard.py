@@ -456,8 +456,8 @@ def _nameless(n_words: int):
 def one_of_each_group(docs: DataFrame, n_words: int, threshold: Fraction) -> DataFrame:
     """``docs`` with only the smallest doc_id of each component, once; rows without doc_id stay."""
     found = jaccard_components(docs, n_words, threshold)
-    kept = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")), "jaccard-kept")
-    nth = free_name(docs, "nth")
-    single = docs.join(kept, F.col("doc_id").cast("bigint") == F.col("kept"), "left_semi")
+    own, nth = free_name(docs, "kept"), free_name(docs, "nth")
+    kept = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias(own)), "jaccard-kept")
+    single = docs.join(kept, F.col("doc_id").cast("bigint") == F.col(own), "left_semi")
     single = single.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(nth) == 1).drop(nth)
     return single.unionByName(docs.where("doc_id is null"))

@@ -41,6 +41,30 @@ def test_shingles_equal_sets(texts, n):
             assert len(np.intersect1d(value[row == i], value[row == j])) == len(a & b)
 
 
+def test_words_longer_than_a_segment_hash_alike(monkeypatch):
+    text = "ab " + "Xy9" * 5000 + " c " + "z" * 4096
+    whole = words_of(pa.array([text])).hash
+    from rillmark.llm import words as module
+
+    monkeypatch.setattr(module, "SEGMENT", 64)
+    assert words_of(pa.array([text])).hash.tolist() == whole.tolist()
+
+
+def test_long_words_in_pieces():
+    words = words_of(pa.array(["a " + "b" * 25 + " cc", "d" * 10]), longest=10)
+    assert spelled(words) == [(0, "a"), (0, "b" * 10), (0, "b" * 10), (0, "b" * 5), (0, "cc"), (1, "d" * 10)]
+
+
+def test_chunks_are_bounded_in_rows_and_bytes():
+    from rillmark.llm.frames import row_chunks
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (k % 50) for k in range(1000)] + [None, "y" * 5000])], names=["text"])
+    parts = list(row_chunks(iter([batch, batch.slice(0, 0)]), "text", 600, 100))
+    assert pa.Table.from_batches(parts).column(0).to_pylist() == batch.column(0).to_pylist()
+    sizes = [sum(len(t or "") for t in p.column(0).to_pylist()) for p in parts]
+    assert all(p.num_rows <= 100 for p in parts) and sorted(sizes)[-1] == 5000 and sorted(sizes)[-2] <= 600
+
+
 def test_long_words_and_slices():
     texts = pa.array(["a", "x" * 700_000 + " y", None, "z"], pa.string())
     assert len(words_of(texts).row) == 4
