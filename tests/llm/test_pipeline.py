@@ -2,7 +2,7 @@ import re
 from fractions import Fraction
 
 import pytest
-from test_jaccard import brute
+from .test_jaccard import brute
 
 import __spark_entry__ as entry
 import corpus_pipeline
