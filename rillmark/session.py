@@ -56,9 +56,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below the shared checkpoint folder, until ``clear_scratch``."""
+    path = os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch paths that this driver has handed out; call it when no frame that reads them is needed any more."""
+    paths = [_scratch.pop() for _ in range(len(_scratch))]
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

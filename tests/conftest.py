@@ -10,7 +10,7 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 @pytest.fixture(scope="session")
 def spark():
-    from rillmark.session import build_session
+    from rillmark.session import build_session, clear_scratch
 
     session = build_session(
         "tests", "local[8]",
@@ -21,6 +21,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -179,3 +179,15 @@ def test_hot_key_of_a_frame_of_unknown_size(spark):
     data = [("hot" if i % 10 else f"k{i}", i) for i in range(1000)]
     unknown = spark.createDataFrame(spark.sparkContext.parallelize(data), "key string, v int")
     assert [r["key"] for r in hot_keys(unknown, ["key"])] == ["hot"]
+
+
+def test_scratch_paths_are_deleted_on_demand(spark, monkeypatch):
+    import os
+
+    from rillmark import session
+
+    monkeypatch.setattr(session, "_scratch", [])
+    path = session.scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    local = path.replace("file:", "")
+    assert os.path.isdir(local) and session.clear_scratch(spark) == 1 and not os.path.exists(local)
