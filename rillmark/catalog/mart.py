@@ -449,3 +449,14 @@ def latency_summary(spark, d):
     """Event time to broker time, per device."""
     rows = silver(spark, d).withColumn("arrived", F.col("timestamp") + F.make_dt_interval(mins=F.col("k")))
     return agg.latency_summary(rows, "timestamp", "arrived", ["device_type"])
+
+
+@query(
+    """SELECT count(*) AS samples, CAST(sum(k * 60) AS DOUBLE) / count(*) AS mean_latency,
+      list_sort(list(k * 60))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] AS p_latency FROM (SELECT CAST(k AS BIGINT) AS k FROM silver) s""",
+    (SILVER,),
+)
+def latency_of_all(spark, d):
+    """Event time to broker time, over all rows."""
+    rows = silver(spark, d).withColumn("arrived", F.col("timestamp") + F.make_dt_interval(mins=F.col("k")))
+    return agg.latency_summary(rows, "timestamp", "arrived")

@@ -35,6 +35,28 @@ def with_global_rank(df: DataFrame, order: list[Column], name: str = "rank") ->
     )
 
 
+def with_running_total(df: DataFrame, order: list[Column], value: str, name: str = "running") -> DataFrame:
+    """Add the sum of ``value`` up to and including each row of the total order, plus ``_total``.
+
+    As for ranks, each partition sums its own rows and adds the sums of the partitions before it.
+    """
+    placed = cut_lineage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id())
+    )
+    located = placed.withColumn("_part", F.shiftright("_slot", _POSITION_BITS))
+    sums = located.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "_part",
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(Window.partitionBy()).alias("_total"),
+    )
+    inside = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return located.join(F.broadcast(offsets), "_part").select(
+        *df.columns, (F.sum(value).over(inside) + F.col("_before")).alias(name), "_total"
+    )
+
+
 def bucket_of(rank: Column, total: Column, k: int) -> Column:
     """Bucket 1..k of a rank, sized as ``ntile(k)`` sizes them: the first buckets get the remainder."""
     small = F.floor(total / k)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import cents, exact_mean, money_avg, money_sum, percent, since
+from rillmark.functions.ranking import with_running_total
 from rillmark.schemas import KPI_STAGES
 
 HOUR_KEYS = ["event_date", "event_hour", "event_type", "device_type"]
@@ -103,18 +104,21 @@ def latency_summary(df: DataFrame, start: str, end: str, by: list[str] | None =
     """Mean and nearest-rank percentile of ``end - start`` in seconds.
 
     The percentile is exact: latencies are whole seconds, so they are first
-    counted per value, and the running count is taken over the distinct values.
+    counted per value, and the running count is taken over the distinct values;
+    without groups by parts of the range, so no task holds all values.
     """
     by = by or []
     spread = df.select(*by, F.timestamp_diff("SECOND", F.col(start), F.col(end)).alias("latency")).where(
         F.col("latency").isNotNull()
     )
     counts = spread.groupBy(*by, "latency").agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(*by)
-    reached = F.sum("n").over(whole.orderBy("latency").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = counts.select(
-        *by, "latency", "n", reached.alias("reached"), F.floor(F.sum("n").over(whole) * p).alias("skip")
-    )
+    if by:
+        whole = Window.partitionBy(*by)
+        reached = F.sum("n").over(whole.orderBy("latency").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        placed = counts.select(*by, "latency", "n", reached.alias("reached"), F.sum("n").over(whole).alias("_total"))
+    else:
+        placed = with_running_total(counts, [F.col("latency")], "n", "reached")
+    placed = placed.withColumn("skip", F.floor(F.col("_total") * p))
     return placed.groupBy(*by).agg(
         F.sum("n").alias("samples"),
         (F.sum(F.col("latency") * F.col("n")).cast("double") / F.sum("n")).alias("mean_latency"),

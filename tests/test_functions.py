@@ -14,7 +14,7 @@ from rillmark.functions import columns as c
 from rillmark.functions import ordered
 from rillmark.functions.lookup import hot_keys, lookup_join
 from rillmark.functions.ordered import with_previous, with_running
-from rillmark.functions.ranking import bucket_of, quartile, with_global_rank
+from rillmark.functions.ranking import bucket_of, quartile, with_global_rank, with_running_total
 
 START = datetime(2024, 1, 1)
 
@@ -89,6 +89,13 @@ def test_global_rank_uses_several_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 997])
+def test_running_total_equals_plain_window(spark, n):
+    df = spark.range(n).select((F.col("id") * 7919 % 1009).alias("v"), (F.col("id") % 5).alias("w"))
+    plain = df.withColumn("running", F.sum("w").over(Window.orderBy("v"))).withColumn("_total", F.lit(sum(k % 5 for k in range(n))).cast("bigint"))
+    assert rows(with_running_total(df, [F.col("v")], "w")) == rows(plain)
+
+
 @settings(max_examples=30, deadline=None)
 @given(n=st.integers(1, 400), k=st.integers(1, 9))
 def test_bucket_sizes(spark, n, k):
