@@ -197,10 +197,10 @@ def matches(index: Index, words: Words, rate: float) -> list[tuple[int, int, int
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     pairs = pairs[np.argsort(pairs[:, 1], kind="stable")]
     items, at = np.unique(pairs[:, 1], return_index=True)
-    for item, low, high in zip(items.tolist(), at.tolist(), [*at[1:].tolist(), len(pairs)]):
+    for item, begin, end in zip(items.tolist(), at.tolist(), [*at[1:].tolist(), len(pairs)]):
         sequence = index.items[item]
         most = edits(len(sequence), rate)
-        starts = pairs[low:high, 0]
+        starts = pairs[begin:end, 0]
         width, known_words = len(sequence) + 2 * most, np.unique(sequence)
         for a in range(0, len(starts), 4096):
             own = starts[a : a + 4096]
