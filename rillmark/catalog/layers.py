@@ -70,6 +70,22 @@ def conformed_events(spark, d):
     return events.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")).select(*EVENT_COLUMNS)
 
 
+@query(
+    """SELECT event_id, event_type, min(number) AS first_offset FROM (
+      SELECT event_id, event_type, CAST(event_id AS BIGINT) + i * 1000000000 AS number FROM silver,
+        (SELECT unnest([0, 1, 2]) AS i) n WHERE i = 0 OR CAST(event_id AS BIGINT) % 20 = i) s GROUP BY 1, 2""",
+    (SILVER,),
+)
+def stored_events_once(spark, d):
+    """A stored table in which a tenth of the events repeat."""
+    rows = silver(spark, d).select("event_id", "event_type", F.col("event_id").cast("bigint").alias("number"))
+    again = [rows.where(F.col("number") % 20 == i).withColumn("number", F.col("number") + i * 1000000000) for i in (1, 2)]
+    path = scratch_path(spark, "repeated")
+    append_rows(rows.union(again[0]).union(again[1]), path)
+    once = layers.dedupe_stored(spark.read.parquet(path), ["event_id"], ["number"])
+    return once.select("event_id", "event_type", F.col("number").alias("first_offset"))
+
+
 @query("SELECT 'malformed,missing_required,bad_time,unknown_event_type,unknown_device_type' AS reasons, count(*) AS n FROM sent WHERE number % 97 = 0", (SILVER, SENT))
 def rejected_messages(spark, d):
     rows = rejected(messages(spark, d))

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rillmark.functions.columns import all_present, event_time, has_columns
 from rillmark.schemas import CLICK, DEVICE_TYPES, EVENT_TYPES
+from rillmark.session import cut_lineage
 
 CORRUPT = "_corrupt_record"
 REQUIRED = ("event_id", "user_id", "session_id", "event_type", "device_type", "event_ts")
@@ -113,6 +114,27 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None, water
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 
 
+#: Repeated keys up to this number go to every task as 64-bit hashes.
+BROADCAST_KEYS = 500_000
+
+
+def dedupe_stored(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """As ``dedupe``, for a stored table in which few keys repeat.
+
+    Key hashes are counted first, in a narrow pass with partial sums. Rows whose hash
+    occurs once pass through where they are, without a shuffle or a sort; only the others
+    are grouped by key. The repeated hashes are broadcast if they are few, else joined.
+    """
+    name = "_key_hash"
+    hashed = df.withColumn(name, F.xxhash64(*keys))
+    counts = hashed.groupBy(name).agg(F.count("*").alias("_n"))
+    repeated = cut_lineage(counts.where("_n > 1").select(name))
+    if repeated.count() <= BROADCAST_KEYS:
+        repeated = F.broadcast(repeated)
+    single = hashed.join(repeated, name, "left_anti").select(*df.columns)
+    return single.unionByName(dedupe(hashed.join(repeated, name, "left_semi").select(*df.columns), keys, order))
+
+
 def filter_type(df: DataFrame, event_type: str) -> DataFrame:
     return df.where(F.col("event_type") == event_type)
 

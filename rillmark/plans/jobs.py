@@ -75,11 +75,12 @@ def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | Non
     staged_path = f"{lake.root}/_staging/silver-{uuid.uuid4().hex[:12]}"
     judge(raw).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    events = first_events(staged.where(F.size("reasons") == 0).drop("reasons", CORRUPT))
+    events = staged.where(F.size("reasons") == 0).drop("reasons", CORRUPT)
     if known:
         touched = staged.where(F.size("reasons") == 0).select("event_date").distinct()
         stored = read_table(spark, lake, "silver_clickstream").join(touched, "event_date", "left_semi")
-        events = first_events(stored.select(*events.columns).unionByName(events))
+        events = stored.select(*events.columns).unionByName(events)
+    events = first_events(events, stored=True)
     counts = [Observation("silver"), Observation("rejected")]
     counted = events.observe(counts[0], F.count("*").alias("rows"))
     write_partitions(counted, lake.path("silver_clickstream"), ["event_date"], lake.file_format)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.functions.columns import cents
-from rillmark.operators.layers import CORRUPT, EVENT_RULES, dedupe, parse_events, split_invalid, with_lineage, with_reasons
+from rillmark.operators.layers import CORRUPT, EVENT_RULES, dedupe, dedupe_stored, parse_events, split_invalid, with_lineage, with_reasons
 from rillmark.sources.tables import Lake
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
@@ -43,10 +43,10 @@ def conform(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
 EVENT_KEYS = ["session_id", "event_id"]
 
 
-def first_events(events: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Each event once: the first by time, and by place in the log where times are equal."""
+def first_events(events: DataFrame, watermark: str | None = None, stored: bool = False) -> DataFrame:
+    """Each event once: the first by time, and by place in the log where times are equal. ``stored``: the rows can be read twice."""
     order = ["event_ts", *[c for c in ("kafka_partition", "kafka_offset") if c in events.columns]]
-    return dedupe(events, EVENT_KEYS, order, watermark)
+    return dedupe_stored(events, EVENT_KEYS, order) if stored else dedupe(events, EVENT_KEYS, order, watermark)
 
 
 def judge(raw: DataFrame) -> DataFrame:

@@ -472,3 +472,14 @@ def test_pages_of_an_order_are_judged_together(spark):
     sums = {c: F.lit(0) for c in ("subtotal_cents", "tax_cents", "shipping_cents", "discount_cents", "total_cents")}
     checks = {r["name"]: r["failed"] for r in q.check_orders(pages.withColumns(sums | {"total_items": F.lit(150)})).collect()}
     assert checks == {"total_reconciles": 0, "has_items_and_count_matches": 0}
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_stored_rows_once(spark, monkeypatch, most):
+    monkeypatch.setattr(layers, "BROADCAST_KEYS", most)
+    df = spark.range(2000).select((F.col("id") % 1700).cast("string").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("x"), (-F.col("id")).alias("at"))
+    for keys in (["k"], ["x"]):
+        assert rows(layers.dedupe_stored(df, keys, ["at"])) == rows(layers.dedupe(df, keys, ["at"]))
+    text = plan(layers.dedupe_stored(df, ["k"], ["at"]))
+    assert "BroadcastHashJoin" in text or not most
+    assert layers.dedupe_stored(df.limit(0), ["k"], ["at"]).count() == 0
