@@ -27,8 +27,8 @@ from rillmark.llm.words import ALPHANUMERIC, words_of
 
 #: Bounds of the training sample: documents of each label, windows of each document, bytes of each window.
 PER_CLASS, WINDOWS_PER_DOC, WINDOW_BYTES = 2000, 48, 2048
-#: Texts of the sample that a word must stand in to have a vector of its own.
-FREQUENT = 6
+#: A word has a vector of its own if it stands in one of so many sampled texts, and in so many at least.
+FREQUENT, LEAST_TEXTS = 150, 5
 FLAGGED = 0.3
 #: Words of more bytes are read as several.
 LONGEST = 512
@@ -77,7 +77,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, label:
     weight = np.where(target == 1, counts[1] / (target == 1).sum(), counts[0] / (target == 0).sum())
     spread = np.bincount(np.unique(of_text * len(distinct.hash) + number) % len(distinct.hash), minlength=len(distinct.hash))
     del of_text
-    return train(distinct, number, (row, starts, sizes), target, weight / weight.mean(), distinct.hash[spread >= FREQUENT])
+    return train(distinct, number, (row, starts, sizes), target, weight / weight.mean(), distinct.hash[spread >= max(LEAST_TEXTS, len(text) // FREQUENT)])
 
 
 def scored(docs: DataFrame, model: Network | float) -> DataFrame:
