@@ -397,7 +397,7 @@ def jaccard_components(docs: DataFrame, n_words: int = 4, threshold: Fraction =
     across = across.where("other is not null").select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v"))
     pairs = stored(near.unionByName(across).distinct(), "jaccard-pairs")
     links = verified(docs, plausible(pairs, sizes, t), n_words, t)
-    found = stored(components(equal.unionByName(_subset_links(subsets)).unionByName(links)), "jaccard-components")
+    found = components(equal.unionByName(_subset_links(subsets)).unionByName(links))
 
     # lists that still hold several components: all pairs between them
     members = lists.select("key", "doc_id", "n", "place").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
@@ -414,7 +414,7 @@ def jaccard_components(docs: DataFrame, n_words: int = 4, threshold: Fraction =
     more = verified(docs, plausible(cross, sizes, t), n_words, t)
     if more.head(1):
         before = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        found = stored(components(before.unionByName(more)), "jaccard-components")
+        found = components(before.unionByName(more))
     for table in (lists, members, cross):
         forget(table)
 
