@@ -84,8 +84,11 @@ def brute(edges):
     return label
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed, part", [(0, 100_000), (1, 30), (2, 7)])
+def test_components(spark, monkeypatch, seed, part):
+    from rillmark.llm import components as module
+
+    monkeypatch.setattr(module, "PART", part)
     draw = np.random.default_rng(seed)
     edges = [(int(a), int(b)) for a, b in draw.integers(0, 120, (70, 2))] + [(k, k + 1) for k in range(200, 240)] + [(300, k) for k in range(301, 330)]
     nodes, root = roots(np.array([e[0] for e in edges]), np.array([e[1] for e in edges]))
