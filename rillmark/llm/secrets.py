@@ -4,8 +4,9 @@ Fixed patterns find assignments, access keys and long hex strings. The method ad
 strings that stand close behind a sensitive word and that the compressor cannot
 shorten: a candidate's novelty is the number of bytes by which the compressed
 surroundings grow when the candidate is put back, per byte of the candidate, with the
-compressor primed by a dictionary of identifiers. Words, paths, repeated names and
-placeholders are in the dictionary or in the surroundings and cost few bytes; random
+compressor primed by a dictionary of identifiers. Other copies of the candidate are
+blanked in the surroundings, so a secret that is said twice is found twice. Words, paths
+and placeholders are in the dictionary or in the surroundings and cost few bytes; random
 strings cost nearly their entropy.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned
@@ -90,6 +91,20 @@ def novelty(text: bytes, start: int, end: int) -> float:
     return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
 
 
+def novelty_alone(text: bytes, start: int, end: int) -> float:
+    """``novelty`` with all other copies of text[start:end] blanked, also those that the edge of the surroundings cuts.
+
+    Copies may differ in the marks around them and in a name with ``=`` before them.
+    """
+    whole = text[start:end]
+    core = max(whole.strip(b"=./_+-").split(b"="), key=len)
+    core = core if len(core) >= 8 else whole
+    wide, blank = AROUND + len(core) - 1, b" " * len(core)
+    before = text[max(0, start - wide) : start].replace(core, blank)[-AROUND:]
+    after = text[end : end + wide].replace(core, blank)[:AROUND]
+    return novelty(before + whole + after, len(before), len(before) + len(whole))
+
+
 def _fixed(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) in bytes; ``runs``: hex runs of this text."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -104,7 +119,7 @@ def _novel(text: bytes, found: list[tuple[int, int, int]], threshold: float) ->
         at = max(m.start() + 1, a)
         if any(s < b and a < e for s, _, e in found + out):
             continue
-        if novelty(text, a, b) >= threshold:
+        if novelty_alone(text, a, b) >= threshold:
             out.append((a, 3, b))
     return out
 

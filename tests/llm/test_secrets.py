@@ -50,3 +50,14 @@ def test_redaction_keeps_all_else(documents):
     assert [t[2] for t in texts] == ["", "nothing here", "AKIA123 [SECRET] [SECRET]", "[SECRET]", "[SECRET]"]
     assert sum(r["text"] is None for r in out.collect()) == 2
     assert redacted(documents([])).count() == find_secrets(documents([])).count() == 0
+
+
+def test_copies_of_a_secret_do_not_explain_each_other(documents):
+    key = "zQ8xT1vLr4Yw9KpB2mNd7HsJ"
+    lines = [f"bearer key is {key}\n" * 2, f"signing {key}. then bearer ({key})", f"bearer a1={key}\nbearer b2={key}", f"bearer {key}{' pad' * 60} signing {key}"]
+    known = "bearer com.example.internal.configuration.context\n" * 2
+    found = {r["doc_id"]: r["spans"] for r in find_secrets(documents(list(enumerate([*lines, known])))).collect()}
+    for k, text in enumerate(lines):
+        assert sum(s["kind"] == "novel" and key in text[s["start"] : s["end"]] for s in found[k]) == 2, text
+    assert not found[len(lines)]
+    assert all(key not in r["text"] for r in redacted(documents(list(enumerate(lines)))).collect())
