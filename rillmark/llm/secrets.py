@@ -7,7 +7,8 @@ surroundings grow when the candidate is put back, per byte of the candidate, wit
 compressor primed by a dictionary of identifiers. Other copies of the candidate are
 blanked in the surroundings, so a secret that is said twice is found twice. Words, paths
 and placeholders are in the dictionary or in the surroundings and cost few bytes; random
-strings cost nearly their entropy.
+strings cost nearly their entropy. Every string that starts within the reach behind a
+sensitive word is measured, also behind one that was rejected or is part of a fixed span.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned
 each; texts of any length are scanned whole; offsets are code points, end exclusive;
@@ -42,10 +43,10 @@ SENSITIVE = (
     b"password", b"passwd", b"passphrase", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"api key", b"access_key",
     b"access key", b"private_key", b"private key", b"credential", b"bearer", b"authorization", b"signing", b"client_id", b"session_id",
 )
-CONTEXT = re.compile(
-    rb"(?<![A-Za-z])(?:%s)s?(?![A-Za-z])[^\n]{0,32}?(?<![A-Za-z0-9+/_.=-])([A-Za-z0-9+/_.=-]{16,})" % b"|".join(map(re.escape, SENSITIVE)),
-    re.IGNORECASE,
-)
+WORD = re.compile(rb"(?<![A-Za-z])(?:%s)s?(?![A-Za-z])" % b"|".join(map(re.escape, SENSITIVE)), re.IGNORECASE)
+REACH, LEAST = 32, 16
+RUN = re.compile(rb"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d}" % LEAST)
+RUN_REST = re.compile(rb"[A-Za-z0-9+/_.=-]*")
 MARK = "[SECRET]"
 NOVELTY = 0.6
 AROUND = 256
@@ -112,14 +113,26 @@ def _fixed(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, int
     return found + [(a, 2, b) for a, b in runs]
 
 
+def _candidates(text: bytes) -> list[tuple[int, int]]:
+    """All runs that start within the reach behind a sensitive word, on its line."""
+    found: dict[int, int] = {}
+    for word in WORD.finditer(text):
+        at = word.end()
+        line = text.find(b"\n", at, at + REACH + 1)
+        last = at + REACH if line < 0 else line - 1  # where a run may start
+        while at <= last and (m := RUN.search(text, at, last + LEAST)):
+            at = found.get(m.start()) or RUN_REST.match(text, m.end()).end()
+            found[m.start()] = at
+    return sorted(found.items())
+
+
 def _novel(text: bytes, found: list[tuple[int, int, int]], threshold: float) -> list[tuple[int, int, int]]:
-    out, at = [], 0
-    while m := CONTEXT.search(text, at):
-        a, b = m.span(1)
-        at = max(m.start() + 1, a)
-        if any(s < b and a < e for s, _, e in found + out):
-            continue
-        if novelty_alone(text, a, b) >= threshold:
+    out, fixed, k, reach = [], sorted((a, b) for a, _, b in found), 0, 0
+    for a, b in _candidates(text):
+        while k < len(fixed) and fixed[k][0] < b:
+            reach = max(reach, fixed[k][1])
+            k += 1
+        if reach <= a and novelty_alone(text, a, b) >= threshold:
             out.append((a, 3, b))
     return out
 
