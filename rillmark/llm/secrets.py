@@ -42,10 +42,15 @@ HEX[48:58] = HEX[97:103] = True
 SENSITIVE = (
     b"password", b"passwd", b"passphrase", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"api key", b"access_key",
     b"access key", b"private_key", b"private key", b"credential", b"bearer", b"authorization", b"signing", b"client_id", b"session_id",
+    b"accesskey", b"access-key", b"privatekey", b"private-key", b"clientid", b"sessionid",
 )
-WORD = re.compile(rb"(?<![A-Za-z])(?:%s)s?(?![A-Za-z])" % b"|".join(map(re.escape, SENSITIVE)), re.IGNORECASE)
+#: Before and behind a word: no letter, or a change of case (secretKey, AWSSecret, AWSsecret).
+EDGE = rb"|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|(?<=[A-Z][A-Z])(?=[a-z])"
+WORD = re.compile(rb"(?:(?<![A-Za-z])%s)(?i:(?:%s)s?)(?:(?![A-Za-z])%s)" % (EDGE, b"|".join(map(re.escape, SENSITIVE)), EDGE))
 REACH, LEAST = 32, 16
 RUN = re.compile(rb"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d}" % LEAST)
+#: A value in the run that holds the word itself: privateKey=...
+VALUE = re.compile(rb"[A-Za-z0-9+/_.-]{0,%d}=+([A-Za-z0-9+/_.-][A-Za-z0-9+/_.=-]{%d,})" % (REACH - 1, LEAST - 1))
 RUN_REST = re.compile(rb"[A-Za-z0-9+/_.=-]*")
 MARK = "[SECRET]"
 NOVELTY = 0.6
@@ -114,11 +119,13 @@ def _fixed(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, int
 
 
 def _candidates(text: bytes) -> list[tuple[int, int]]:
-    """All runs that start within the reach behind a sensitive word, on its line."""
+    """All runs, and values behind ``=`` in the run of the word, that start within the reach behind a sensitive word, on its line."""
     found: dict[int, int] = {}
     for word in WORD.finditer(text):
         at = word.end()
         line = text.find(b"\n", at, at + REACH + 1)
+        if m := VALUE.match(text, at):
+            found[m.start(1)] = m.end(1)
         last = at + REACH if line < 0 else line - 1  # where a run may start
         while at <= last and (m := RUN.search(text, at, last + LEAST)):
             at = found.get(m.start()) or RUN_REST.match(text, m.end()).end()
@@ -134,6 +141,7 @@ def _novel(text: bytes, found: list[tuple[int, int, int]], threshold: float) ->
             k += 1
         if reach <= a and novelty_alone(text, a, b) >= threshold:
             out.append((a, 3, b))
+            reach = b
     return out
 
 

@@ -74,3 +74,16 @@ def test_every_run_behind_a_sensitive_word_is_measured(documents):
     for k, (text, keys) in enumerate(lines):
         novel = [text[s["start"] : s["end"]] for s in found[k] if s["kind"] == "novel"]
         assert [x for x in novel if x in (key, other)] == keys, text
+
+
+def test_sensitive_words_in_camel_case(documents):
+    key = "zQ8xT1vLr4Yw9KpB2mNd7HsJ"
+    forms = [
+        'privateKey "{}"', 'secretKey => "{}"', "clientSecret is {}", "accessToken {}", '"SecretAccessKey": "{}"', "AWSAccessKey {}", "AWSsecretKey {}",
+        "myTOKENValue {}", "APIKey ({})", "sessionId {}", "refreshTokens [{}]", "privateKey={}", "private_key={}", "bearer privateKey={}",
+    ]
+    others = ["tokenizer {}", "secretary {}", "Passwords2go\n{}", "undersigning {}", "TOKENIZER {}"]
+    found = {r["doc_id"]: r["spans"] for r in find_secrets(documents([(k, f.format(key)) for k, f in enumerate(forms + others)])).collect()}
+    for k, form in enumerate(forms + others):
+        hit = [s for s in found[k] if s["kind"] == "novel" and s["start"] <= form.find("{}") and form.find("{}") + len(key) <= s["end"]]
+        assert len(hit) == (k < len(forms)) == len(found[k]), form
