@@ -1,10 +1,11 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
 A rule is a hand-written regular expression over the words of a text (letters and
-digits, lower case, one blank between), with keywords that must all occur as words, a
+digits, lower case, one blank between), with keywords that every match holds, a
 priority and a confidence. Rules are written per license and per form: tag, grant,
 reference, title, mention. Keywords are looked up by word hash for all words of a batch
-at once, so a regular expression only runs on texts that can match it. Detections that
+at once, so a regular expression only runs on texts that can match it. Signs beyond ASCII are part
+of a word but, as for the expressions, not of a keyword ("MIT license" in curly marks). Detections that
 lie inside another one of the same or a higher priority are suppressed; of two with the
 same interval the first rule in order stays.
 
@@ -38,26 +39,26 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-#: label, SPDX tag as words, name as a regular expression over words, keyword of the name.
+#: label, SPDX tag as words, name as a regular expression over words, keywords of the name (| between words of which one is enough).
 LICENSES = (
-    ("gpl-3.0", r"gpl 3 0(?: only| or later)?", r"(?:gnu )?(?:general public license|gpl)(?: v| version| v3)? ?3(?: 0)?", ("3",)),
-    ("gpl-2.0", r"gpl 2 0(?: only| or later)?", r"(?:gnu )?(?:general public license|gpl)(?: v| version| v2)? ?2(?: 0)?", ("2",)),
+    ("gpl-3.0", r"gpl 3 0(?: only| or later)?", r"(?:gnu )?(?:general public license|gpl)(?:(?: v| version)? ?3| version v3| ?v3)(?: 0)?", ("license|license3|licensev3|gpl|gpl3|gplv3", "3|v3|version3|gpl3|gplv3|license3|licensev3")),
+    ("gpl-2.0", r"gpl 2 0(?: only| or later)?", r"(?:gnu )?(?:general public license|gpl)(?:(?: v| version)? ?2| version v2| ?v2)(?: 0)?", ("license|license2|licensev2|gpl|gpl2|gplv2", "2|v2|version2|gpl2|gplv2|license2|licensev2")),
     ("gpl-any", r"gpl", r"(?:gnu general public license|gnu gpl)", ("gnu",)),
-    ("lgpl-3.0", r"lgpl 3 0(?: only| or later)?", r"(?:gnu )?(?:lesser general public license|lgpl)(?: v| version)? 3(?: 0)?", ("3",)),
-    ("lgpl-2.1", r"lgpl 2 1(?: only| or later)?", r"(?:gnu )?(?:lesser general public license|lgpl)(?: v| version)? 2 1", ("2", "1")),
-    ("agpl-3.0", r"agpl 3 0(?: only| or later)?", r"(?:gnu )?(?:affero general public license|agpl)(?: v| version)?(?: 3(?: 0)?)?", ()),
+    ("lgpl-3.0", r"lgpl 3 0(?: only| or later)?", r"(?:gnu )?(?:lesser general public license|lgpl)(?:(?: v| version)? ?3| version v3| ?v3)(?: 0)?", ("3|v3|version3|lgpl3|lgplv3|license3|licensev3",)),
+    ("lgpl-2.1", r"lgpl 2 1(?: only| or later)?", r"(?:gnu )?(?:lesser general public license|lgpl)(?:(?: v| version)? ?2| version v2| ?v2) 1", ("2|v2|version2|lgpl2|lgplv2|license2|licensev2", "1")),
+    ("agpl-3.0", r"agpl 3 0(?: only| or later)?", r"(?:gnu )?(?:affero general public license|agpl)(?:(?:(?: v| version)? ?3| version v3| ?v3)(?: 0)?| v| version)?", ()),
     ("gfdl", r"gfdl 1 [123]", r"gnu free documentation license", ("documentation",)),
-    ("apache-2.0", r"apache 2 0", r"apache (?:license|software license)(?: v| version)? 2(?: 0)?", ("apache", "2")),
-    ("apache-1.1", r"apache 1 1", r"apache software license(?: version)? 1 1", ("apache", "1")),
+    ("apache-2.0", r"apache 2 0", r"apache (?:license|software license)(?: v| version)? v?2(?: 0)?", ("apache", "2|v2")),
+    ("apache-1.1", r"apache 1 1", r"apache software license(?: version)? v?1 1", ("apache", "1")),
     ("mit", r"mit", r"mit (?:license|licence|x11 license)", ("mit",)),
     ("mit-0", r"mit 0", r"mit no attribution(?: license)?", ("mit", "attribution")),
-    ("bsd-2-clause", r"bsd 2 clause", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)(?: license)?", ("bsd",)),
+    ("bsd-2-clause", r"bsd 2 clause", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)(?: license)?", ("bsd|freebsd",)),
     ("bsd-3-clause", r"bsd 3 clause", r"(?:bsd (?:3|three) clause|new bsd|modified bsd)(?: license)?", ("bsd",)),
     ("bsd-any", r"bsd", r"bsd (?:style )?licen[cs]e", ("bsd",)),
-    ("mpl-2.0", r"mpl 2 0", r"mozilla public license(?: v| version)? 2(?: 0)?", ("mozilla", "2")),
-    ("mpl-1.1", r"mpl 1 1", r"mozilla public license(?: v| version)? 1 1", ("mozilla", "1")),
-    ("epl-2.0", r"epl 2 0", r"eclipse public license(?: v| version)? 2(?: 0)?", ("eclipse", "2")),
-    ("epl-1.0", r"epl 1 0", r"eclipse public license(?: v| version)? 1(?: 0)?", ("eclipse", "1")),
+    ("mpl-2.0", r"mpl 2 0", r"mozilla public license(?: v| version)? v?2(?: 0)?", ("mozilla", "2|v2")),
+    ("mpl-1.1", r"mpl 1 1", r"mozilla public license(?: v| version)? v?1 1", ("mozilla", "1")),
+    ("epl-2.0", r"epl 2 0", r"eclipse public license(?: v| version)? v?2(?: 0)?", ("eclipse", "2|v2")),
+    ("epl-1.0", r"epl 1 0", r"eclipse public license(?: v| version)? v?1(?: 0)?", ("eclipse", "1|v1")),
     ("cddl-1.0", r"cddl 1 0", r"common development and distribution license", ("distribution",)),
     ("cpl-1.0", r"cpl 1 0", r"common public license", ("common",)),
     ("isc", r"isc", r"isc licen[cs]e", ("isc",)),
@@ -65,21 +66,21 @@ LICENSES = (
     ("boost-1.0", r"bsl 1 0", r"boost software license", ("boost",)),
     ("unlicense", r"unlicense", r"(?:the )?unlicense", ("unlicense",)),
     ("wtfpl", r"wtfpl", r"(?:wtfpl|do what the fuck you want to public license)", ()),
-    ("artistic-2.0", r"artistic 2 0", r"artistic license(?: version)?(?: 2(?: 0)?)?", ("artistic",)),
+    ("artistic-2.0", r"artistic 2 0", r"artistic license(?: version)?(?: v?2(?: 0)?)?", ("artistic",)),
     ("python-2.0", r"psf 2 0", r"(?:python software foundation|psf) license", ("license",)),
     ("postgresql", r"postgresql", r"postgresql licen[cs]e", ("postgresql",)),
     ("openssl", r"openssl", r"openssl licen[cs]e", ("openssl",)),
-    ("ofl-1.1", r"ofl 1 1", r"(?:sil )?open font license(?: version)?(?: 1 1)?", ("font",)),
+    ("ofl-1.1", r"ofl 1 1", r"(?:sil )?open font license(?: version)?(?: v?1 1)?", ("font",)),
     ("eupl-1.2", r"eupl 1 2", r"european union public licen[cs]e", ("european",)),
     ("odbl-1.0", r"odbl 1 0", r"open (?:data commons open )?database license", ("database",)),
-    ("cc0-1.0", r"cc0 1 0", r"(?:cc0(?: 1 0)?|creative commons zero)", ()),
-    ("cc-by-4.0", r"cc by 4 0", r"(?:cc by|creative commons attribution)(?: 4 0)(?: international)?", ("4",)),
-    ("cc-by-3.0", r"cc by 3 0", r"(?:cc by|creative commons attribution)(?: 3 0)(?: unported)?", ("3",)),
-    ("cc-by-sa", r"cc by sa [234] [05]", r"(?:cc by sa|creative commons attribution share ?alike)(?: [234] [05])?", ()),
-    ("cc-by-nc", r"cc by nc [234] [05]", r"(?:cc by nc|creative commons attribution non ?commercial)(?: [234] [05])?", ()),
-    ("cc-by-nd", r"cc by nd [234] [05]", r"(?:cc by nd|creative commons attribution no ?deriv(?:ative|ate)s)(?: [234] [05])?", ()),
-    ("cc-by-nc-sa", r"cc by nc sa [234] [05]", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [234] [05])?", ()),
-    ("cc-by-nc-nd", r"cc by nc nd [234] [05]", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative|ate)s)(?: [234] [05])?", ()),
+    ("cc0-1.0", r"cc0 1 0", r"(?:cc0(?: v?1 0)?|creative commons zero)", ()),
+    ("cc-by-4.0", r"cc by 4 0", r"(?:cc by|creative commons attribution)(?: v?4 0)(?: international)?", ("4|v4",)),
+    ("cc-by-3.0", r"cc by 3 0", r"(?:cc by|creative commons attribution)(?: v?3 0)(?: unported)?", ("3|v3",)),
+    ("cc-by-sa", r"cc by sa [234] [05]", r"(?:cc by sa|creative commons attribution share ?alike)(?: v?[234] [05])?", ()),
+    ("cc-by-nc", r"cc by nc [234] [05]", r"(?:cc by nc|creative commons attribution non ?commercial)(?: v?[234] [05])?", ()),
+    ("cc-by-nd", r"cc by nd [234] [05]", r"(?:cc by nd|creative commons attribution no ?deriv(?:ative|ate)s)(?: v?[234] [05])?", ()),
+    ("cc-by-nc-sa", r"cc by nc sa [234] [05]", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: v?[234] [05])?", ()),
+    ("cc-by-nc-nd", r"cc by nc nd [234] [05]", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative|ate)s)(?: v?[234] [05])?", ()),
     ("public-domain", r"pddl 1 0", r"public domain(?: dedication)?", ("public", "domain")),
     ("proprietary", r"licenseref proprietary", r"all rights reserved", ("rights", "reserved")),
 )
@@ -100,7 +101,7 @@ class Rule(NamedTuple):
     label: str
     form: str
     pattern: re.Pattern
-    keywords: tuple[str, ...]
+    keywords: tuple[frozenset[str], ...]
     priority: int
     confidence: float
 
@@ -109,7 +110,7 @@ class Rule(NamedTuple):
 def rules() -> tuple[Rule, ...]:
     """All rules in order of priority, then as written."""
     made = [
-        Rule(label, form, re.compile(r"\b" + text.format(tag=tag, name=name) + r"\b"), (*needs, *(keys if form != "tag" else ())), priority, confidence)
+        Rule(label, form, re.compile(r"\b" + text.format(tag=tag, name=name) + r"\b"), tuple(frozenset(k.split("|")) for k in (*needs, *(keys if form != "tag" else ()))), priority, confidence)
         for form, text, needs, priority, confidence in FORMS
         for label, tag, name, keys in LICENSES
     ]
@@ -118,8 +119,10 @@ def rules() -> tuple[Rule, ...]:
 
 #: A rule can only match where one of these words occurs.
 ANCHORS = (
-    "license licence licensed gpl lgpl agpl spdx cc cc0 mit bsd unlicense freebsd wtfpl reserved domain creative apache mozilla gnu"
+    "license licence licensed gpl lgpl agpl spdx cc cc0 mit bsd unlicense freebsd wtfpl reserved domain creative apache mozilla gnu "
+    "gpl2 gpl3 gplv2 gplv3 lgpl2 lgpl3 lgplv2 lgplv3 agpl3 agplv3 license2 license3 licensev2 licensev3"
 ).split()
+ANCHOR = re.compile(r"\b(?:%s)\b" % "|".join(ANCHORS))
 
 
 def _phrase_places(words: Words, text: str) -> np.ndarray:
@@ -133,12 +136,23 @@ def _phrase_places(words: Words, text: str) -> np.ndarray:
     return at[[s == text.encode() for s in spelled]] if len(at) else at
 
 
+def _rows_of_mixed(words: Words) -> np.ndarray:
+    """Rows with an anchor beside a sign beyond ASCII, in one word."""
+    above = np.concatenate([[0], np.cumsum(words.data >= 0x80)])
+    n = above[words.end] - above[words.begin]
+    mixed = np.flatnonzero((n > 0) & (n < words.end - words.begin))
+    _, first, number = np.unique(words.hash[mixed], return_index=True, return_inverse=True)
+    spelled = (FOLD[words.data[words.begin[i] : words.end[i]]].tobytes().decode() for i in mixed[first].tolist())
+    holds = np.fromiter((ANCHOR.search(word) is not None for word in spelled), bool, len(first))
+    return words.row[mixed[holds[number]]]
+
+
 def detections(text: str) -> list[tuple[int, int, Rule]]:
     """Detections of a text of words, (first character, end, rule), after suppression."""
-    present = set(text.split())
+    present = set(text.split()) if text.isascii() else {*text.split(), *re.findall(r"\w+", text)}
     found = []
     for order, rule in enumerate(rules()):
-        if all(word in present for word in rule.keywords):
+        if not any(present.isdisjoint(words) for words in rule.keywords):
             found += [(m.start(), m.end(), order, rule) for m in rule.pattern.finditer(text)]
     kept: list[tuple[int, int, Rule]] = []
     reach = [0] * 8  # by priority: the furthest end of an interval of that priority or a higher one, so far
@@ -170,7 +184,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base[words.row[i]].append((i - int(first[words.row[i]]), label))
         hit = np.flatnonzero(possible[(words.hash & np.uint64(0xFFFF)).astype(np.int64)])
         hit = hit[np.isin(words.hash[hit], anchors)]
-        gated = set(words.row[hit].tolist())
+        gated = {*words.row[hit].tolist(), *_rows_of_mixed(words).tolist()}
         out: list[tuple] = []
         for row in range(n):
             places = [at for at, _ in base[row]]

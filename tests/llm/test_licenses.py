@@ -1,6 +1,7 @@
 import re
+from re import _parser
 
-from rillmark.llm.licenses import PHRASES, detections, rules, scan_licenses, with_joined_labels
+from rillmark.llm.licenses import ANCHORS, PHRASES, detections, rules, scan_licenses, with_joined_labels
 
 TEXTS = [
     None, "", "plain words only", "Licensed under the Apache License, Version 2.0.", "CC BY-NC 4.0 and cc\nby, cc-by; ccby cc, x by",
@@ -50,3 +51,45 @@ def test_empty_and_repeated(documents):
     assert scan_licenses(documents([])).count() == 0
     rows = scan_licenses(documents([(1, "mit license"), (1, "mit license"), (None, None)])).collect()
     assert len(rows) == 3 and sum(r["n_base"] for r in rows) == 2
+
+
+def written(tree):
+    """All texts that a parsed expression without unbounded repeats can match."""
+    out = [""]
+    for op, arg in tree:
+        kind = str(op)
+        if kind == "AT":
+            continue
+        if kind == "LITERAL":
+            parts = [chr(arg)]
+        elif kind == "IN":
+            parts = [chr(a) for o, a in arg if str(o) == "LITERAL"]
+        elif kind == "BRANCH":
+            parts = [w for branch in arg[1] for w in written(branch)]
+        elif kind == "SUBPATTERN":
+            parts = written(arg[3])
+        else:
+            assert kind == "MAX_REPEAT" and arg[:2] == (0, 1)
+            parts = ["", *written(arg[2])]
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_every_match_passes_its_own_gate_and_the_anchors():
+    for rule in rules():
+        for text in set(written(_parser.parse(rule.pattern.pattern))):
+            assert rule.pattern.fullmatch(text)
+            words = set(text.split())
+            assert all(words & set(keys) for keys in rule.keywords) and words & set(ANCHORS), (rule.label, rule.form, text)
+
+
+def test_versions_and_signs_beside_words(documents):
+    texts = {
+        "Licensed under the GPL v3": "gpl-3.0", "GPL v3.0": "gpl-3.0", "General Public License v2": "gpl-2.0", "GPL3": "gpl-3.0", "GPLv2": "gpl-2.0",
+        "GPLv3": "gpl-3.0", "LGPL v2.1": "lgpl-2.1", "LGPLv3": "lgpl-3.0", "AGPLv3": "agpl-3.0", "Apache License v2.0": "apache-2.0",
+        "Mozilla Public License, v2.0": "mpl-2.0", "Eclipse Public License v1.0": "epl-1.0", "CC BY v4.0": "cc-by-4.0", "FreeBSD license": "bsd-2-clause",
+        "\u201cMIT license\u201d \u00e9": "mit", "\u2014gplv3\u2014": "gpl-3.0",
+    }
+    found = {r["doc_id"]: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
+    for k, (text, label) in enumerate(texts.items()):
+        assert label in found[k]["labels"] and found[k]["score"] >= 0.5, text
