@@ -6,8 +6,8 @@ whole part is taken as it is and the fraction is rounded. Rounding is dependent:
 fractional documents of a source meet, words move from one to the other in a random
 direction until one of them is out or fully in, and the other goes on to meet the next.
 The expected number of copies of each document stays what it was, the words taken stay
-the same at each meeting, and one undecided document is left. Buckets of documents do
-this in parallel; what is left of each bucket meets in a tree of fixed fan-in, so at the
+the same at each meeting, and one undecided document is left. Buckets of the documents of
+a source do this in parallel; what is left of each bucket meets in a tree of fixed fan-in, so at the
 end a source's words differ from its target by less than one document. Larger documents
 meet first, so it is a small one as a rule.
 
@@ -150,7 +150,7 @@ def mix_sources(
     done = None
     undecided = F.col("chance").between(1e-12, 1 - 1e-12) & (F.col("size") > 0)
     while True:
-        spread = rows.repartition(F.col("bucket")).sortWithinPartitions("bucket", "source", F.desc("size"), "key", "doc_id")
+        spread = rows.repartition(F.col("bucket"), F.col("source")).sortWithinPartitions("bucket", "source", F.desc("size"), "key", "doc_id")
         rounded = stored(spread.mapInArrow(_round(seed, n == 1), _ddl()), "mix-round")
         if n == 1:
             done = rounded if done is None else done.unionByName(rounded)

@@ -62,3 +62,25 @@ def test_edges(documents):
     assert len(found) == 6 and all(r["taken"] == 0 for r in found if r["size"] == 0)
     assert max(r["size"] for r in found) == 50_000
     assert all(r["taken"] == 0 for r in mix_sources(documents([(1, None, "a")])).collect())
+
+
+def test_rounds_are_dealt_by_source_too(spark, documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    tasks, stored = [], mixing.stored
+
+    def watched(frame, name):
+        if name == "mix-round":
+            at = frame.select(F.spark_partition_id().alias("p"), "bucket", "source").collect()
+            tasks.append(len({r["p"] for r in at}))
+            assert len({(r["p"], r["bucket"], r["source"]) for r in at}) == len({(r["bucket"], r["source"]) for r in at})
+        return stored(frame, name)
+
+    monkeypatch.setattr(mixing, "stored", watched)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mix_sources(documents([(k, "w " * (k % 7 + 1), f"site{k % 100}") for k in range(300)]), share=0.5).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 2 and min(tasks) > 1
