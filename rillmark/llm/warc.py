@@ -1,9 +1,10 @@
 """WARC archives by chunked record tables.
 
-Payloads travel as rows of record and chunk number, so neither the writer nor the reader
-holds a whole record: the writer streams chunks into one gzip member per record, the
-reader streams them out again with the digest of what has been read so far on every
-chunk. Records with equal payloads are stored once; the others become revisit records
+Payloads travel to the archives as rows of record and chunk number: the task that writes
+streams chunks into one gzip member per record, the reader streams them out again with the
+digest of what has been read so far on every chunk. Before that, the write side encodes
+and digests each payload whole, in one row, and joins and cuts it whole; only behind the
+cut is no whole record held. Records with equal payloads are stored once; the others become revisit records
 that name the first one and carry its digest and size.
 
 Archives lie in the shared folder, under names that no other attempt uses. The writer
