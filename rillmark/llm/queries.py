@@ -7,9 +7,11 @@ from rillmark.llm.decontamination import contaminated
 from rillmark.llm.embeddings import cosine_links
 from rillmark.llm.frames import given
 from rillmark.llm.jaccard import jaccard_components
+from rillmark.llm.merkle import verified_manifest
 from rillmark.llm.mixing import mix_sources
 from rillmark.llm.quality import quality
 from rillmark.llm.registry import query
+from rillmark.llm.tokens import written_and_read
 from rillmark.llm.toxicity import toxicity
 from rillmark.llm.urls import filter_urls
 from rillmark.llm.warc import archived
@@ -96,3 +98,55 @@ FROM f
 """)
 def op7_warc(spark, sf_dir):
     return archived(given(spark, sf_dir, "pages")).drop("record_id")
+
+
+_LEAF = """sha256(concat(
+  CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END, CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+  CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END, CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END,
+  CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}) || ':' || {0} END))"""
+#: One run of a level: what stands before and behind a node.
+_RUN = "coalesce(string_agg(node, '') OVER (PARTITION BY {0}l, pos // 3 ORDER BY pos ROWS BETWEEN {1}), '')"
+_BEFORE, _BEHIND = "UNBOUNDED PRECEDING AND 1 PRECEDING", "1 FOLLOWING AND UNBOUNDED FOLLOWING"
+
+
+@query(f"""
+WITH RECURSIVE c AS (
+  SELECT *, replace(text, chr(10), '') AS cut, xor(list_reduce(
+    list_prepend(4294967295, flatten([[ascii(b), -1, -1, -1, -1, -1, -1, -1, -1] for b in regexp_extract_all(CAST(doc_id AS VARCHAR), '.')])),
+    lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END), 4294967295) % 2 = 0 AS even
+  FROM documents),
+p AS (SELECT doc_id, source, leaf, start, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {_LEAF.format("text")} AS leaf, CASE WHEN even THEN {_LEAF.format("cut")} ELSE {_LEAF.format("text")} END AS start FROM c)),
+t(source, l, pos, node, n) AS (
+  SELECT source, 0, pos, leaf, n FROM p UNION ALL
+  SELECT source, l + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY source, l, pos // 3, n),
+sr AS (SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(l, pos, node, n) AS (
+  SELECT 0, pos, node, n FROM sr UNION ALL
+  SELECT l + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY l, pos // 3, n),
+ts AS (SELECT source, l, pos, {_RUN.format("source, ", _BEFORE)} AS a, {_RUN.format("source, ", _BEHIND)} AS b FROM t WHERE n > 1),
+us AS (SELECT l, pos, {_RUN.format("", _BEFORE)} AS a, {_RUN.format("", _BEHIND)} AS b FROM u WHERE n > 1),
+f(doc_id, source, l, pos, node) AS (
+  SELECT doc_id, source, 0, pos, start FROM p UNION ALL
+  SELECT f.doc_id, f.source, f.l + 1, f.pos // 3, sha256(a || f.node || b) FROM f JOIN ts ON ts.source IS NOT DISTINCT FROM f.source AND ts.l = f.l AND ts.pos = f.pos),
+g(doc_id, l, pos, node) AS (
+  SELECT f.doc_id, 0, sr.pos, f.node FROM (SELECT doc_id, source, arg_max(node, l) AS node FROM f GROUP BY ALL) f JOIN sr ON sr.source IS NOT DISTINCT FROM f.source UNION ALL
+  SELECT g.doc_id, g.l + 1, g.pos // 3, sha256(a || g.node || b) FROM g JOIN us ON us.l = g.l AND us.pos = g.pos),
+e AS (SELECT doc_id, arg_max(node, l) AS folded_root FROM g GROUP BY doc_id),
+s AS (
+  SELECT p.doc_id, 0 AS tree, ts.l, a || b AS ab FROM p JOIN ts ON ts.source IS NOT DISTINCT FROM p.source AND ts.pos = p.pos // CAST(3 ** ts.l AS BIGINT) UNION ALL
+  SELECT p.doc_id, 1, us.l, a || b FROM p JOIN sr ON sr.source IS NOT DISTINCT FROM p.source JOIN us ON us.pos = sr.pos // CAST(3 ** us.l AS BIGINT)),
+pr AS (SELECT doc_id, string_agg(ab, '' ORDER BY tree, l) AS proof FROM s GROUP BY doc_id)
+SELECT p.doc_id, p.leaf, sr.node AS subroot, u.node AS root, sha256(coalesce(pr.proof, '')) AS proof_sha256, e.folded_root, e.folded_root = u.node AS verified
+FROM p JOIN sr ON sr.source IS NOT DISTINCT FROM p.source JOIN u ON u.n = 1 JOIN e ON e.doc_id = p.doc_id LEFT JOIN pr ON pr.doc_id = p.doc_id
+""")
+def op12_merkle(spark, sf_dir):
+    found = verified_manifest(given(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query()
+def op11_tokens(spark, sf_dir):
+    from public_tokenizers import path
+
+    return written_and_read(given(spark, sf_dir, "documents"), path("word_bpe_49k.json"), end_id=1)
