@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillmark.llm import licenses, secrets
+from rillmark.llm.collocations import collocations
 from rillmark.llm.decontamination import contaminated
 from rillmark.llm.embeddings import cosine_links
 from rillmark.llm.frames import given
@@ -150,3 +151,25 @@ def op11_tokens(spark, sf_dir):
     from public_tokenizers import path
 
     return written_and_read(given(spark, sf_dir, "documents"), path("word_bpe_49k.json"), end_id=1)
+
+
+@query(r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t),
+tot AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, unnest(flatten([[array_to_string(list_slice(ws, i, i + k - 1), ' ') for i in range(1, len(ws) - k + 2)] for k in range(1, 6)])) AS phrase FROM w),
+f AS (SELECT lang, phrase, count(*) AS a, string_split(phrase, ' ') AS ws FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE len(ws) > 1),
+cut AS (SELECT lang, phrase, a, ws, k, array_to_string(list_slice(ws, 1, k), ' ') AS first, array_to_string(list_slice(ws, k + 1, len(ws)), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM c)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, x.a AS l, y.a AS r, tot.n, CAST((CAST(1000 AS HUGEINT) * cut.a * tot.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score, k
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.first JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rest JOIN tot ON tot.lang = cut.lang),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM low WHERE NOT EXISTS (
+  SELECT 1 FROM c WHERE c.lang = low.lang AND length(c.phrase) > length(low.phrase) AND contains(' ' || c.phrase || ' ', ' ' || low.phrase || ' ') AND 100 * c.a >= 100 * low.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+""")
+def op13_collocations(spark, sf_dir):
+    return collocations(given(spark, sf_dir, "documents"), least=100, depth=5, top=2000, covered=100).drop("k")
