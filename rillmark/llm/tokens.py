@@ -22,11 +22,14 @@ end id. An empty table gives an empty folder. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,10 +47,10 @@ FORMAT = {
     # version 2 without a dictionary is delta encoding
     "parquet.enable.dictionary": "false", f"parquet.enable.dictionary#{IDS}": "true",
 }
-#: Units that a worker keeps between batches, and bytes a kept unit may have.
-KEPT_UNITS, KEPT_BYTES = 300_000, 64
+#: A worker that keeps more units or bytes of ids than these forgets them before the next batch.
+KEPT_UNITS, KEPT_BYTES = 800_000, 32 << 20
 #: Bytes of text that meet the tokenizer at once.
-BATCH = 2 << 20
+BATCH = 4 << 20
 ROW = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, tokens array<int>"
 
 _LETTER = np.zeros(256, bool)
@@ -76,37 +79,48 @@ def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class Encoder:
-    """Ids of units, looked up or encoded."""
+    """Ids of units: those met before are looked up, the others encoded at once and kept.
+
+    Units of Latin letters alone skip the tokenizer's normaliser and splitter: they are
+    composed already, one pre-token each, and lower-cased here. Its model still makes the ids.
+    """
+
+    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        missing = list(dict.fromkeys(w for w in words if w not in self.known))
-        new = dict(zip(missing, self._encoded(missing)))
-        out = [self.known[w] if w in self.known else new[w] for w in words]
-        if len(self.known) + len(new) > KEPT_UNITS:
-            self.known = {}
-        self.known.update((w, ids) for w, ids in list(new.items())[:KEPT_UNITS] if len(w) <= KEPT_BYTES)
-        return out
-
-    def _encoded(self, words: list[str]) -> list[np.ndarray]:
-        """Many units at once, with blanks between them; offsets tell whose ids are whose."""
-        out, first = [], 0
-        sizes = np.fromiter((len(w) for w in words), np.int64, len(words)) + 1
-        ends = np.cumsum(sizes)
-        while first < len(words):
-            base = ends[first] - sizes[first]
-            last = max(first + 1, int(np.searchsorted(ends, base + (1 << 18), "right")))
-            found = self.tokenizer.encode(" ".join(words[first:last]), add_special_tokens=False)
-            ids = np.array(found.ids, np.int32)
-            at = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            out += np.split(ids, np.searchsorted(at, ends[first : last - 1] - base))
-            first = last
-        return out
+        self.whole = Tokenizer.from_file(path)
+        parts = json.loads(self.whole.to_str())
+        bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.letters = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": bytes_only, "added_tokens": []}))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, size, table): the ids of word k are ``table[first[k] : first[k] + size[k]]``."""
+        if len(self.known) > KEPT_UNITS or self.table.nbytes > KEPT_BYTES:
+            self.forget()
+        known = self.known
+        missing = [w for w in words if w not in known]
+        plain = {w: w.lower() for w in missing if self.LETTERS.fullmatch(w)}
+        self._learn(self.letters, list(dict.fromkeys(w for w in plain.values() if w not in known)))
+        known.update((w, known[low]) for w, low in plain.items())
+        self._learn(self.whole, list(dict.fromkeys(w for w in missing if w not in plain)))
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return self.first[at], self.size[at], self.table
+
+    def _learn(self, tokenizer, words: list[str], at_once: int = 20_000) -> None:
+        for k in range(0, len(words), at_once):
+            some = words[k : k + at_once]
+            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            size = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+            self.known.update(zip(some, range(len(self.size), len(self.size) + len(some))))
+            self.first = np.concatenate([self.first, len(self.table) + np.cumsum(size) - size])
+            self.size, self.table = np.concatenate([self.size, size]), np.concatenate([self.table, np.array(found.ids, np.int32)])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -123,10 +137,7 @@ def encoded(texts: pa.Array, path: str, end_id: int | None) -> tuple[np.ndarray,
     """Ids of all texts one after the other, and for each text the number of ids before it."""
     array, first = units(texts)
     coded = array.dictionary_encode()
-    found = encoder(path).of([w.strip(" \n") for w in coded.dictionary.to_pylist()])
-    sizes = np.array([len(x) for x in found], np.int64)
-    table = np.concatenate(found) if found else np.zeros(0, np.int32)
-    at = np.cumsum(sizes) - sizes
+    at, sizes, table = encoder(path).of(pc.utf8_trim(coded.dictionary, " \n").to_pylist())
     codes = coded.indices.to_numpy()
     long = sizes[codes]
     behind = np.concatenate([[0], np.cumsum(long)])

@@ -17,7 +17,7 @@ WORDS = path("word_bpe_49k.json")
 KIND = "doc_id bigint, text string, part int, tokens string, n_tokens int"
 PARTS = [
     "word", "Word's", "don't,", "we'LL.", "J̌", "éx", "Kelvin", "a b", " ", "x̸", "≠", ";", "...", "a.b,c;d!e?f:g", "<|endoftext|>", "<|STARTOFTEXT|>",
-    "<|endoftext|>.x", "12,5", "3.14", "\t", "\n", "\n\n", "  ", "\r\n", "\x0b", "\x00", "日本語,テキスト", "İstanbul", "ΣΑΣ.", "ﬁn", "ﷺ", "🙂!", "🙂", "'s", "'", "́y", "é,", "q" * 90, "don’t", "​", "!'s",
+    "<|endoftext|>.x", "12,5", "3.14", "\t", "\n", "\n\n", "  ", "\r\n", "\x0b", "\x00", "\x01", "x\x01,y", "日本語,テキスト", "İstanbul", "ΣΑΣ.", "ﬁn", "ﷺ", "🙂!", "🙂", "'s", "'", "́y", "é,", "q" * 90, "don’t", "​", "!'s",
 ]
 
 
@@ -36,12 +36,13 @@ def test_units_give_the_ids_of_whole_texts(seed):
 
 
 def test_kept_units_are_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_UNITS", 20)
+    monkeypatch.setattr(tokens, "KEPT_UNITS", 70)
     coder = tokens.Encoder(WORDS)
     for k in range(5):
-        words = [f"w{i}x" for i in range(k, 60 + k)] + ["z" * 100]
-        assert [list(x) for x in coder.of(words)] == plain(words, None)
-        assert len(coder.known) <= 20 and "z" * 100 not in coder.known
+        words = [f"w{i}x" for i in range(k, 60 + k)] + ["", "a\x01b", "z" * 100, "\x01", "a\x01b"]
+        first, size, table = coder.of(words)
+        assert [list(table[a : a + n]) for a, n in zip(first, size)] == plain(words, None)
+        assert len(coder.known) <= 70 + len(words)
 
 
 def expected(rows):
