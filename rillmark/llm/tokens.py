@@ -23,7 +23,6 @@ end id. An empty table gives an empty folder. Extra columns are not read.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -48,7 +47,7 @@ FORMAT = {
     "parquet.enable.dictionary": "false", f"parquet.enable.dictionary#{IDS}": "true",
 }
 #: A worker that keeps more units or bytes of ids than these forgets them before the next batch.
-KEPT_UNITS, KEPT_BYTES = 800_000, 32 << 20
+KEPT_UNITS, KEPT_BYTES = 1_000_000, 32 << 20
 #: Bytes of text that meet the tokenizer at once.
 BATCH = 4 << 20
 ROW = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, tokens array<int>"
@@ -85,7 +84,7 @@ class Encoder:
     composed already, one pre-token each, and lower-cased here. Its model still makes the ids.
     """
 
-    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -100,17 +99,22 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.first, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first, size, table): the ids of word k are ``table[first[k] : first[k] + size[k]]``."""
         if len(self.known) > KEPT_UNITS or self.table.nbytes > KEPT_BYTES:
             self.forget()
-        known = self.known
-        missing = [w for w in words if w not in known]
-        plain = {w: w.lower() for w in missing if self.LETTERS.fullmatch(w)}
-        self._learn(self.letters, list(dict.fromkeys(w for w in plain.values() if w not in known)))
-        known.update((w, known[low]) for w, low in plain.items())
-        self._learn(self.whole, list(dict.fromkeys(w for w in missing if w not in plain)))
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        plain = pc.match_substring_regex(words, self.LETTERS)
+        same = pc.if_else(plain, pc.utf8_lower(words), words).dictionary_encode()
+        keys = same.dictionary
+        texts = keys.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter((self.known.get(w, -1) for w in texts), np.int64, len(texts))
+        new = at < 0
+        if new.any():
+            plain = pc.match_substring_regex(keys, self.LETTERS).to_numpy(zero_copy_only=False)
+            for tokenizer, where in ((self.letters, np.flatnonzero(new & plain)), (self.whole, np.flatnonzero(new & ~plain))):
+                at[where] = np.arange(len(self.size), len(self.size) + len(where))
+                self._learn(tokenizer, [texts[k] for k in where])
+        at = at[same.indices.to_numpy()]
         return self.first[at], self.size[at], self.table
 
     def _learn(self, tokenizer, words: list[str], at_once: int = 20_000) -> None:
@@ -137,7 +141,7 @@ def encoded(texts: pa.Array, path: str, end_id: int | None) -> tuple[np.ndarray,
     """Ids of all texts one after the other, and for each text the number of ids before it."""
     array, first = units(texts)
     coded = array.dictionary_encode()
-    at, sizes, table = encoder(path).of(pc.utf8_trim(coded.dictionary, " \n").to_pylist())
+    at, sizes, table = encoder(path).of(pc.utf8_trim(coded.dictionary, " \n"))
     codes = coded.indices.to_numpy()
     long = sizes[codes]
     behind = np.concatenate([[0], np.cumsum(long)])

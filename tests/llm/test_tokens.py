@@ -40,7 +40,7 @@ def test_kept_units_are_bounded(monkeypatch):
     coder = tokens.Encoder(WORDS)
     for k in range(5):
         words = [f"w{i}x" for i in range(k, 60 + k)] + ["", "a\x01b", "z" * 100, "\x01", "a\x01b"]
-        first, size, table = coder.of(words)
+        first, size, table = coder.of(pa.array(words, pa.large_string()))
         assert [list(table[a : a + n]) for a, n in zip(first, size)] == plain(words, None)
         assert len(coder.known) <= 70 + len(words)
 
