@@ -46,7 +46,8 @@ RANGE_WORDS = 1_500_000
 SAMPLE_SHARE = 1 / 20_000
 #: Most sampled suffixes that the driver sorts (24 bytes each); beyond that the sample is thinned.
 SAMPLE_MOST = 2_000_000
-BATCH = 8 << 20
+#: Bytes of text whose words a worker sorts at once, and bytes of suffixes it copies at once.
+BATCH, COPIED = 4 << 20, 1 << 20
 SHARDS = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -204,8 +205,8 @@ def routed(docs: DataFrame, frequent: np.ndarray, between: list[bytes], depth: i
             if not len(at):
                 continue
             # equal suffixes become neighbours; words are numbered by hash, so nearly in the order of the ranges
-            rank = np.empty(len(words.unique), np.int64)
-            rank[np.argsort(word_hash, kind="stable")] = np.arange(1, len(rank) + 1)
+            rank = np.empty(len(words.unique), np.int32)
+            rank[np.argsort(word_hash, kind="stable")] = np.arange(1, len(rank) + 1, dtype=np.int32)
             columns = [np.where(long[at] > d, rank[words.codes[np.minimum(at + d, len(words) - 1)]], 0) for d in range(depth)]
             order = np.lexsort([*columns[::-1], lang[at]])
             new = np.zeros(len(at), bool)
@@ -224,9 +225,8 @@ def routed(docs: DataFrame, frequent: np.ndarray, between: list[bytes], depth: i
             spaced = pa.array([w + b" " for w in words.unique], pa.large_binary()).take(pa.array(words.codes))
             offsets = np.frombuffer(spaced.buffers()[1], np.int64)[: len(words) + 1]
             text = np.frombuffer(spaced.buffers()[2], np.uint8)
-            sizes = offsets[at + long[at]] - offsets[at]
-            behind = np.concatenate([[0], np.cumsum(sizes)])
-            out = text[np.repeat(offsets[at] - behind[:-1], sizes) + np.arange(behind[-1])]
+            behind = np.concatenate([[0], np.cumsum(offsets[at + long[at]] - offsets[at])])
+            out = spans(text, offsets[at], behind)
             out[behind[1:] - 1] = 10
             edge = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (lang_at[1:] != lang_at[:-1])]))
             ends = np.append(edge[1:], len(at))
@@ -242,6 +242,16 @@ def routed(docs: DataFrame, frequent: np.ndarray, between: list[bytes], depth: i
     return docs.mapInArrow(run, "part int, lang string, suffixes binary, weights binary")
 
 
+def spans(data: np.ndarray, starts: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Spans of ``data`` one after the other; span k fills ``behind[k]`` to ``behind[k + 1]``."""
+    out = np.empty(behind[-1], np.uint8)
+    edges = np.searchsorted(behind, np.arange(0, behind[-1] + COPIED, COPIED)).clip(max=len(behind) - 1)
+    for a, b in zip(edges, edges[1:]):
+        if a < b:
+            out[behind[a] : behind[b]] = data[np.repeat(starts[a:b] - behind[a:b], np.diff(behind[a : b + 1])) + np.arange(behind[a], behind[b])]
+    return out
+
+
 def heavy_prefixes(columns: list[np.ndarray], weights: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
     """(pointer, depth, weight) of every prefix of at least ``least`` weight, by multikey three-way quicksort.
 

@@ -108,6 +108,16 @@ def test_equal_hashes(spark, monkeypatch):
     assert got == {(" ".join(p).encode(), len(p)): k for p, k in want.items()}
 
 
+def test_spans(monkeypatch):
+    monkeypatch.setattr(c, "COPIED", 7)
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 255, 200).astype(np.uint8)
+    for n in (1, 5, 60):
+        starts, sizes = rng.integers(0, 150, n), rng.integers(1, 40, n)
+        got = c.spans(data, starts, np.concatenate([[0], np.cumsum(sizes)]))
+        assert got.tolist() == [x for a, k in zip(starts, sizes) for x in data[a : a + k].tolist()]
+
+
 def test_quicksort():
     rng = np.random.default_rng(0)
     columns = [rng.zipf(1.5, 5000).clip(max=50) for _ in range(3)]
