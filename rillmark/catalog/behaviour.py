@@ -141,6 +141,35 @@ def session_funnel_ordered(spark, d):
     return beh.session_funnel(silver(spark, d), ordered=True)
 
 
+def _in_order_sql(limit: str) -> tuple[str, ...]:
+    """A common table per stage: its events behind one that reached the stage before."""
+    near = f' AND e."timestamp" <= b."timestamp" + INTERVAL {limit}' if limit else ""
+    out = [f"r0 AS (SELECT session_id, \"timestamp\", event_id FROM silver WHERE event_type = '{STAGES[0][1]}')"]
+    for i, (_, kind) in list(enumerate(STAGES))[1:]:
+        out.append(
+            f"""r{i} AS (SELECT e.session_id, e."timestamp", e.event_id FROM silver e WHERE e.event_type = '{kind}' AND EXISTS (
+  SELECT 1 FROM r{i - 1} b WHERE b.session_id = e.session_id AND (b."timestamp" < e."timestamp" OR b."timestamp" = e."timestamp" AND b.event_id < e.event_id){near}))"""
+        )
+    flags = ", ".join(f"CASE WHEN session_id IN (SELECT session_id FROM r{i}) THEN 1 ELSE 0 END AS {name}" for i, (name, _) in enumerate(STAGES))
+    return (*out, f"in_order AS (SELECT session_id, {flags} FROM (SELECT DISTINCT session_id FROM silver) s)")
+
+
+@query("SELECT * FROM in_order", (SILVER, *_in_order_sql("")))
+def session_funnel_in_order(spark, d):
+    return beh.funnel_in_order(silver(spark, d))
+
+
+@query("SELECT * FROM in_order", (SILVER, *_in_order_sql("90 MINUTE")))
+def session_funnel_within(spark, d):
+    """Stages in order, each step within an hour and a half."""
+    return beh.funnel_in_order(silver(spark, d), within=timedelta(minutes=90))
+
+
+@query(f"SELECT {STEP_SQL} FROM in_order", (SILVER, *_in_order_sql("")))
+def step_conversion_in_order(spark, d):
+    return beh.step_conversion(beh.funnel_in_order(silver(spark, d)))
+
+
 @query(f"SELECT {STEP_SQL} FROM funnel", (SILVER, FUNNEL))
 def step_conversion(spark, d):
     return beh.step_conversion(beh.session_funnel(silver(spark, d)))

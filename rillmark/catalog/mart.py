@@ -460,3 +460,38 @@ def latency_of_all(spark, d):
     """Event time to broker time, over all rows."""
     rows = silver(spark, d).withColumn("arrived", F.col("timestamp") + F.make_dt_interval(mins=F.col("k")))
     return agg.latency_summary(rows, "timestamp", "arrived")
+
+
+# ---- episodes of alerts ---------------------------------------------------------
+
+VERDICTS = """verdicts AS (SELECT device_type AS alert_name, date_trunc('hour', "timestamp") AS triggered_at, CAST(count(*) AS DOUBLE) AS actual_value, count(*) > 5 AS firing
+    FROM silver GROUP BY 1, 2),
+spells AS (SELECT *, sum(CASE WHEN firing AND NOT was THEN 1 ELSE 0 END) OVER (PARTITION BY alert_name ORDER BY triggered_at) AS episode FROM
+    (SELECT *, coalesce(lag(firing) OVER (PARTITION BY alert_name ORDER BY triggered_at), FALSE) AS was FROM verdicts) v),
+episodes AS (SELECT alert_name, CAST(episode AS BIGINT) AS episode, CASE WHEN max(CASE WHEN NOT firing THEN 1 END) IS NULL THEN 'firing' ELSE 'resolved' END AS status,
+    min(triggered_at) FILTER (WHERE firing) AS triggered_at, max(triggered_at) FILTER (WHERE firing) AS last_fired_at,
+    min(triggered_at) FILTER (WHERE NOT firing) AS resolved_at, count(*) FILTER (WHERE firing) AS evaluations,
+    arg_max(actual_value, triggered_at) FILTER (WHERE firing) AS actual_value
+  FROM spells WHERE firing OR was GROUP BY 1, 2)"""
+
+
+def _verdicts(spark, d):
+    """A rule per device, judged every hour that has events: more than five of them fire."""
+    hours = silver(spark, d).groupBy(F.col("device_type").alias("alert_name"), F.date_trunc("hour", "timestamp").alias("triggered_at")).agg(F.count("*").cast("double").alias("actual_value"))
+    status = F.when(F.col("actual_value") > 5, "firing").otherwise("resolved")
+    return hours.select("alert_name", F.lit("warning").alias("severity"), status.alias("status"), F.lit("busy").alias("message"), "actual_value", F.lit(5.0).alias("threshold_value"), "triggered_at")
+
+
+@query("SELECT * FROM episodes", (SILVER, VERDICTS))
+def alert_episodes(spark, d):
+    return mart.alert_episodes(_verdicts(spark, d)).drop("severity", "message", "threshold_value")
+
+
+@query(
+    f"""SELECT alert_name, 'warning' AS severity, 'busy' AS message, actual_value, CAST(5 AS DOUBLE) AS threshold_value, triggered_at,
+      CAST(epoch({AS_OF_SQL} - triggered_at) AS BIGINT) AS age_seconds FROM episodes WHERE status = 'firing'""",
+    (SILVER, VERDICTS),
+)
+def active_alert_episodes(spark, d):
+    """Alerts that still fire, with the age of their episode."""
+    return mart.active_alerts(mart.alert_episodes(_verdicts(spark, d)), AS_OF)

@@ -14,6 +14,7 @@ from rillmark.session import scratch_path
 from rillmark.sources.streams import StreamConfig, read_events_stream, read_files_stream
 from rillmark.sources.tables import Lake, read_table
 from rillmark.streaming.progress import ProgressRecorder, backlog, progress_metrics
+from rillmark.streaming.sessions import rocks_state, sessions_until
 from rillmark.streaming.queries import (
     DRAIN, hourly_stream, session_counts, sliding_counts, start_bronze, start_router, start_silver, start_table,
 )
@@ -78,6 +79,24 @@ def stream_sessions(spark, d):
     )
 
 
+@query(
+    """SELECT user_id, min("timestamp") AS session_start, max("timestamp") AS last_event_ts, count(*) AS events,
+      CASE WHEN arg_max(event_type, ("timestamp", event_id)) = 'checkout_completed' THEN 'event' ELSE 'pause' END AS ended_by FROM
+      (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) AS n FROM
+        (SELECT *, CASE WHEN prev IS NULL OR "timestamp" > prev + INTERVAL 12 HOUR OR prev_type = 'checkout_completed' THEN 1 ELSE 0 END AS opens FROM
+          (SELECT *, lag("timestamp") OVER w AS prev, lag(event_type) OVER w AS prev_type FROM silver WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", event_id)) p) o) s, mark
+    GROUP BY user_id, n, mark.w
+    HAVING max("timestamp") + INTERVAL 12 HOUR <= mark.w OR (max("timestamp") <= mark.w AND arg_max(event_type, ("timestamp", event_id)) = 'checkout_completed')""",
+    (SILVER, MARK),
+)
+def stream_sessions_to_purchase(spark, d):
+    """Sessions that end at a purchase or after a pause, as far as the watermark has closed them."""
+    with rocks_state(spark):
+        out = _drain(sessions_until(_events_stream(spark, d), timedelta(hours=12), "checkout_completed"), spark, "sessions-until")
+    moment = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "last_event_ts")}
+    return out.withColumns(moment)
+
+
 @query("SELECT event_id, event_type FROM silver", (SILVER,))
 def stream_deduplicated(spark, d):
     """Every event sent twice, kept once."""

@@ -13,6 +13,7 @@ from rillmark.catalog.tables import (
 from rillmark.functions.lookup import lookup_join
 from rillmark.operators import links, orders
 from rillmark.operators import warehouse as wh
+from rillmark.operators.history import merge_changes, version_at, versions
 from rillmark.session import scratch_path
 
 KEY = "CAST(strftime({0}, '%Y%m%d') AS INTEGER)".format
@@ -196,3 +197,60 @@ def priced_orders(spark, d):
     tier = F.when(customer % 3 == 0, "new").when(customer % 3 == 1, "regular").otherwise("vip")
     users = customer_rows(spark, d).select(F.col("customer_id").alias("user_id"), tier.alias("tier"))
     return orders.price_orders(rows, users)
+
+
+# ---- history from a change log ------------------------------------------------
+
+CHANGES = """changes AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderdate AS DATE) AS effective_at, o_orderkey AS sequence,
+    o_orderpriority AS priority, o_orderstatus AS order_status FROM orders),
+history AS (SELECT *, lead(effective_at) OVER (PARTITION BY customer_id ORDER BY effective_at) AS expires_at FROM
+    (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY customer_id, effective_at ORDER BY sequence DESC) = 1) c)"""
+
+
+def _history(spark, d, arrivals) -> str:
+    """Every order as a change of its customer, brought in by batches; the path of the history."""
+    changes = given(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("customer_id"), F.col("o_orderdate").cast("date").alias("effective_at"), F.col("o_orderkey").alias("sequence"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("order_status"),
+    )
+    path = scratch_path(spark, "history")
+    for batch in arrivals:
+        merge_changes(path, changes.where(batch), "customer_id", ["priority", "order_status"], buckets=8)
+    return path
+
+
+@query(
+    "SELECT customer_id, effective_at, sequence, priority, order_status, expires_at, expires_at IS NULL AS is_current FROM history", (CHANGES,)
+)
+def customer_history_any_order(spark, d):
+    """Newest changes first, then the oldest, then some of them again, then the rest."""
+    late = F.col("effective_at") >= "1996-01-01"
+    path = _history(spark, d, [late, F.col("effective_at") < "1994-01-01", late & (F.col("sequence") % 3 == 0), ~late])
+    return spark.read.parquet(path).drop("bucket")
+
+
+@query(
+    """SELECT customer_id, priority, effective_at, lead(effective_at) OVER (PARTITION BY customer_id ORDER BY effective_at) AS expires_at,
+      lead(effective_at) OVER (PARTITION BY customer_id ORDER BY effective_at) IS NULL AS is_current
+    FROM (SELECT * FROM history QUALIFY lag(priority) OVER (PARTITION BY customer_id ORDER BY effective_at) IS DISTINCT FROM priority
+      OR row_number() OVER (PARTITION BY customer_id ORDER BY effective_at) = 1) v""",
+    (CHANGES,),
+)
+def customer_versions(spark, d):
+    """Spells of one priority, from changes in two batches by parity."""
+    odd = F.col("sequence") % 2 == 1
+    return versions(spark.read.parquet(_history(spark, d, [odd, ~odd])), "customer_id", ["priority"])
+
+
+@query(
+    """SELECT l.l_orderkey, l.l_linenumber, h.priority, h.order_status FROM
+      (SELECT l_orderkey, l_linenumber, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey) l
+      ASOF LEFT JOIN history h ON l.customer_id = h.customer_id AND l.day >= h.effective_at""",
+    (CHANGES,),
+)
+def lines_with_customer_then(spark, d):
+    """Every order line with the state of its customer on the day of shipping."""
+    heads = given(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("customer_id"))
+    rows = given(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day")).join(heads, "l_orderkey")
+    history = spark.read.parquet(_history(spark, d, [F.lit(True)]))
+    return version_at(rows, history, "customer_id", "day", ["priority", "order_status"]).drop("customer_id", "day")

@@ -54,15 +54,16 @@ def with_previous(
     tie: list[str],
     columns: dict[str, str],
     chunk: Column | str | None = None,
+    large_chunk: Column | str | None = None,
 ) -> DataFrame:
     """Add values of the preceding row of the series: ``columns`` maps new name to source.
 
-    With ``chunk`` all series are cut by it, else large ones only.
+    With ``chunk`` all series are cut by it, else large ones only, by ``large_chunk`` or by time.
     """
     if chunk is None:
         before = _whole(by, ts, tie)
         added = {name: F.when(_known(by), F.lag(source).over(before)) for name, source in columns.items()}
-        return _by_size(df, by, lambda rows: rows.withColumns(added), lambda rows: _previous_by_chunk(rows, by, ts, tie, columns, None))
+        return _by_size(df, by, lambda rows: rows.withColumns(added), lambda rows: _previous_by_chunk(rows, by, ts, tie, columns, large_chunk))
     return _previous_by_chunk(df, by, ts, tie, columns, chunk)
 
 
@@ -107,6 +108,28 @@ def with_running(
     return _running_by_chunk(df, by, ts, tie, columns, chunk)
 
 
+def with_chain(df: DataFrame, by: list[str], ts: str, tie: list[str], steps: list[tuple[str, str, str, dict[str, Column]]]) -> DataFrame:
+    """Running aggregates that build on each other, over one order of the series.
+
+    Each step ``(name, kind, source, derived)`` adds a running aggregate as in
+    ``with_running`` and then the columns ``derived`` from it, which later steps may use as
+    source. Series are counted once; small ones are sorted once for all steps.
+    """
+    upto = _whole(by, ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        for name, kind, source, derived in steps:
+            rows = rows.withColumn(name, F.when(_known(by), _window_form(kind, source).over(upto))).withColumns(derived)
+        return rows
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        for name, kind, source, derived in steps:
+            rows = _running_by_chunk(rows, by, ts, tie, {name: (kind, source)}, None).withColumns(derived)
+        return rows
+
+    return _by_size(df, by, plain, chunked)
+
+
 def _running_by_chunk(df, by, ts, tie, columns, chunk) -> DataFrame:
     chunked = df.withColumn(_CHUNK, chunk_of(df, by, ts, chunk))
     inside = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import cents, money_sum, percent
-from rillmark.functions.ordered import chunk_of, with_previous, with_running
+from rillmark.functions.ordered import chunk_of, with_chain, with_previous, with_running
 from rillmark.functions.ranking import quartile
 from rillmark.schemas import FUNNEL_STAGES
 
@@ -36,6 +36,34 @@ def session_funnel(
     return df.groupBy(*keys).agg(*firsts).select(*keys, *out)
 
 
+def funnel_in_order(
+    df: DataFrame, stages: dict[str, str] = FUNNEL_STAGES, within: timedelta | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """One 0/1 flag per stage and session: the stages up to it occur in this order, other events in between or not.
+
+    Events are ordered by time, then event id. With ``within`` a step may take no longer
+    than that. An event reaches its stage if the latest event that reached the stage before
+    is near enough; the latest is the best, as any other is further away. So each stage is
+    one running value over the session, and a long session is cut into chunks that hand it
+    on. A session without any stage has zeros; rows without a session are left out.
+    """
+    keys, order = ["session_id", *by], list(stages)
+    at = lambda name: f"_at_{name}"
+    here = lambda name: F.col("event_type") == stages[name]
+    rows = df.where(F.col("session_id").isNotNull() & F.col("timestamp").isNotNull())
+    staged = rows.where(F.col("event_type").isin(*stages.values())).select(*keys, "timestamp", "event_id", "event_type")
+    staged = staged.withColumn(at(order[0]), F.when(here(order[0]), F.col("timestamp")))
+    steps = []
+    for before, name in zip(order, order[1:]):
+        last = F.col(f"_last_{before}")
+        near = last.isNotNull() if within is None else F.col("timestamp") <= last + F.lit(within)
+        steps.append((f"_last_{before}", "last", at(before), {at(name): F.when(here(name) & near, F.col("timestamp"))}))
+    reached = with_chain(staged, keys, "timestamp", ["event_id"], steps)
+    flags = reached.groupBy(*keys).agg(*[F.max(F.col(at(name)).isNotNull().cast("int")).alias(name) for name in order])
+    nothing = rows.select(*keys, *[F.lit(0).alias(name) for name in order])
+    return flags.unionByName(nothing).groupBy(*keys).agg(*[F.max(name).alias(name) for name in order])
+
+
 def step_conversion(funnel: DataFrame, stages: dict[str, str] = FUNNEL_STAGES, by: tuple[str, ...] = ()) -> DataFrame:
     """Percentage of sessions that go from each stage to the next."""
     order = list(stages)

@@ -58,9 +58,13 @@ def as_of_join(points: DataFrame, history: DataFrame, by: list[str], ts: str, va
 
 
 def attach_gate(runs: DataFrame, checks: DataFrame) -> DataFrame:
-    """Runs with the verdict of their checks; a run without checks has none."""
+    """Runs with the verdict of their checks; a run without checks has none.
+
+    Checks tell by a flag ``passed``, or by a ``status`` as the jobs store them.
+    """
+    passed = F.col("passed") if "passed" in checks.columns else F.col("status") == "passed"
     verdict = checks.groupBy("run_id").agg(
-        F.count("*").alias("checks"), F.count_if(~F.col("passed")).alias("failed_checks")
+        F.count("*").alias("checks"), F.count_if(~passed).alias("failed_checks")
     )
     joined = lookup_join(runs, verdict, ["run_id"], "left")
     return joined.withColumn("gate_passed", F.col("failed_checks") == 0)

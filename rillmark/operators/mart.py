@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.functions.columns import age_seconds, exact_mean, later_than, money_sum, percent, since, strip_prefix, tag
+from rillmark.functions.ordered import with_previous, with_running
 from rillmark.schemas import SEVERITIES
 
 DAY, HOUR = timedelta(hours=24), timedelta(hours=1)
@@ -107,6 +108,31 @@ def run_metrics(runs: DataFrame, as_of: datetime) -> DataFrame:
     return single.unionByName(whole)
 
 
+def alert_episodes(verdicts: DataFrame) -> DataFrame:
+    """One row per spell of an alert, from its verdicts over time: opened at its first firing, resolved at the first verdict that is not.
+
+    ``triggered_at`` of a verdict is the time of its evaluation; of an episode it is the time
+    it opened. Severity, message and values are those of its last firing, ``evaluations``
+    counts its firings. An episode that has not been resolved is ``firing``, others are
+    ``resolved``. A verdict that came twice for one time counts once, as firing if one is.
+    """
+    firing = F.col("status") == "firing"
+    once = verdicts.groupBy("alert_name", "triggered_at").agg(
+        F.max_by(F.struct("severity", "message", "actual_value", "threshold_value"), firing).alias("_said"), F.max(firing).alias("_firing")
+    )
+    seen = with_previous(once, ["alert_name"], "triggered_at", [], {"_was": "_firing"})
+    was = F.coalesce("_was", F.lit(False))
+    opens = (F.col("_firing") & ~was).cast("int")
+    spells = with_running(seen.withColumns({"_opens": opens, "_ends": ~F.col("_firing") & was}), ["alert_name"], "triggered_at", [], {"episode": ("sum", "_opens")})
+    fired = F.when(F.col("_firing"), F.col("triggered_at"))
+    out = spells.where(F.col("_firing") | F.col("_ends")).groupBy("alert_name", "episode").agg(
+        F.max_by("_said", fired).alias("_said"), F.min(fired).alias("triggered_at"), F.max(fired).alias("last_fired_at"),
+        F.min(F.when(F.col("_ends"), F.col("triggered_at"))).alias("resolved_at"), F.count_if("_firing").alias("evaluations"),
+    )
+    status = F.when(F.col("resolved_at").isNull(), "firing").otherwise("resolved")
+    return out.select("alert_name", "episode", "_said.*", status.alias("status"), "triggered_at", "last_fired_at", "resolved_at", "evaluations")
+
+
 def active_alerts(alerts: DataFrame, as_of: datetime) -> DataFrame:
     """Firing alerts with their age, most severe and newest first."""
     return (
