@@ -10,9 +10,11 @@ from rillmark.catalog.registry import AS_OF, AS_OF_SQL, query
 from rillmark.catalog.tables import GOLD, SILVER, given, gold, kpi_sql, silver
 from rillmark.functions.columns import since
 from rillmark.operators import aggregates as agg
+from rillmark.operators import audience as aud
 from rillmark.operators import behaviour as beh
 from rillmark.operators import layers, orders
 from rillmark.schemas import CATEGORIES
+from rillmark.session import cut_lineage
 
 CENTS = "CAST(sum(CAST(round({0} * 100) AS BIGINT)) AS DOUBLE) / 100"
 STAGES = (("viewed", "page_view"), ("searched", "search"), ("added_cart", "add_to_cart"),
@@ -421,3 +423,61 @@ def search_categories(spark, d):
 )
 def sample_rows(spark, d):
     return layers.sample_rows(silver(spark, d), ["event_id", "event_type", "timestamp"], ["timestamp", "event_id"], 20)
+
+
+# ---- users over spans of days, quantiles: from stored sets and sketches ------------
+
+DAYS = """days AS (SELECT DISTINCT user_id, CAST("timestamp" AS DATE) AS day FROM silver WHERE user_id IS NOT NULL),
+cohorts AS (SELECT user_id, min(day) AS day FROM days GROUP BY 1)"""
+
+
+def _sets(spark, d):
+    """Daily sets from two loads: the users of the second half of the month get numbers behind those of the first."""
+    events, half = silver(spark, d), F.col("timestamp") < "2024-01-16"
+    first = cut_lineage(aud.user_numbers(events.where(half)))
+    return events, cut_lineage(aud.user_numbers(events.where(~half), first))
+
+
+@query(
+    """SELECT e.day, count(DISTINCT x.user_id) AS users FROM (SELECT DISTINCT day FROM days) e JOIN days x ON x.day <= e.day AND x.day > e.day - 7 GROUP BY 1""",
+    (SILVER, DAYS),
+)
+def active_users_seven_days(spark, d):
+    events, numbers = _sets(spark, d)
+    return aud.rolling_active(aud.daily_sets(events, numbers), 7)
+
+
+@query(
+    """SELECT c.day, o.n AS "offset", count(DISTINCT c.user_id) AS cohort_users, count(DISTINCT x.user_id) AS users
+    FROM cohorts c CROSS JOIN (SELECT CAST(unnest([1, 3, 7]) AS INTEGER) AS n) o LEFT JOIN days x ON x.user_id = c.user_id AND x.day = c.day + o.n GROUP BY 1, 2""",
+    (SILVER, DAYS),
+)
+def users_retained_after(spark, d):
+    events, numbers = _sets(spark, d)
+    return aud.retained(aud.cohort_sets(numbers), aud.daily_sets(events, numbers), [1, 3, 7])
+
+
+@query(
+    """SELECT day, TRUE AS near FROM days a WHERE EXISTS (SELECT 1 FROM days b WHERE b.day = a.day + 7) GROUP BY 1""", (SILVER, DAYS),
+)
+def users_back_after_a_week_sketched(spark, d):
+    """Estimates of the overlap of two days, held against the exact sets: within five standard errors of the union."""
+    events, numbers = _sets(spark, d)
+    sets = cut_lineage(aud.daily_sets(events, numbers))
+    exact = aud.retained(sets, sets, [7]).select("day", F.col("users").alias("exact"), F.col("cohort_users"))
+    about = aud.sketched_overlap(aud.daily_sketches(events), 7)
+    bound = 5 * F.col("cohort_users") / F.sqrt(F.lit(2.0**aud.THETA_BITS - 1))
+    return about.join(exact, "day").select("day", (F.abs(F.col("users") - F.col("exact")) <= bound).alias("near"))
+
+
+@query(
+    """SELECT event_type, rank, TRUE AS within FROM (SELECT DISTINCT event_type FROM silver WHERE price IS NOT NULL) t, (SELECT CAST(unnest([0.05, 0.5, 0.95, 0.99]) AS DOUBLE) AS rank) r""",
+    (SILVER,),
+)
+def price_quantiles_merged(spark, d):
+    """Quantiles per event type from sketches per hour, and whether their ranks are within the bound, by counting."""
+    events = silver(spark, d)
+    hourly = agg.quantile_sketches(events, ["event_type", "event_date", F.hour("timestamp").alias("event_hour")], "price")
+    found = cut_lineage(agg.merged_quantiles(hourly, ["event_type"], [0.05, 0.5, 0.95, 0.99]))
+    errors = agg.rank_errors(events, found, ["event_type"], "price")
+    return errors.select("event_type", "rank", (F.col("rank_error") <= agg.RANK_ERROR).alias("within"))

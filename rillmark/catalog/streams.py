@@ -13,6 +13,7 @@ from rillmark.operators.layers import dedupe, split_late, with_lineage
 from rillmark.session import scratch_path
 from rillmark.sources.streams import StreamConfig, read_events_stream, read_files_stream
 from rillmark.sources.tables import Lake, read_table
+from rillmark.streaming.gold import hourly_of, start_gold_cells
 from rillmark.streaming.progress import ProgressRecorder, backlog, progress_metrics
 from rillmark.streaming.sessions import rocks_state, sessions_until
 from rillmark.streaming.queries import (
@@ -198,6 +199,61 @@ def stream_silver_late(spark, d):
     return found.union(copies).union(lost).where("n <> 0")
 
 
+def _brought(spark, lake, rows) -> None:
+    """Messages taken into bronze and through the silver stream, as one batch."""
+    with_lineage(rows).write.mode("append").partitionBy("ingestion_date").parquet(lake.path("bronze_clickstream"))
+    schema = read_table(spark, lake, "bronze_clickstream").schema
+    for running in start_silver(read_files_stream(spark, lake.path("bronze_clickstream"), schema), lake, "1 hour", DRAIN):
+        running.awaitTermination()
+
+
+def _moment():
+    return F.get_json_object(F.col("value").cast("string"), "$.timestamp").cast("timestamp")
+
+
+@query(
+    """SELECT part, count(*) AS n FROM (
+      SELECT CASE WHEN number % 97 = 0 THEN 'rejected' ELSE 'silver' END AS part FROM
+        (SELECT number, unnest(CASE WHEN number % 97 = 0 AND number % 50 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM (SELECT CAST(event_id AS BIGINT) AS number FROM silver) e) m
+      UNION ALL SELECT 'future_time') p
+    GROUP BY part""",
+    (SILVER,),
+)
+def stream_future_stamp(spark, d):
+    """The first batch holds an event of the year 2099; the events behind it are not late for that."""
+    lake, config = _message_lake(spark, d)
+    arrived = spark.read.parquet(f"{config.directory}/clickstream")
+    early = F.coalesce(_moment() < "2024-01-15", F.lit(True))
+    text = F.regexp_replace(F.col("value").cast("string"), '"timestamp":"[^"]*"', '"timestamp":"2099-01-01T00:00:00Z"')
+    ahead = arrived.where(~early & (F.col("offset") % 97 != 0)).orderBy("offset").limit(1).withColumn("value", text.cast("binary"))
+    _brought(spark, lake, arrived.where(early).unionByName(ahead))
+    _brought(spark, lake, arrived.where(~early))
+    reason = F.when(F.array_contains("reasons", "future_time"), "future_time").otherwise("rejected")
+    parts = [
+        read_table(spark, lake, "silver_clickstream").select(F.lit("silver").alias("part")), read_table(spark, lake, "silver_late").select(F.lit("late").alias("part")),
+        read_table(spark, lake, "silver_stream_rejected").select(reason.alias("part")),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT event_date, CAST(hour("timestamp") AS INTEGER) AS event_hour, event_type, device_type, count(*) AS event_count, count(user_id) AS user_events,
+      count(DISTINCT user_id) AS unique_users, CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_value
+    FROM silver WHERE CAST(event_id AS BIGINT) % 97 <> 0 GROUP BY 1, 2, 3, 4""",
+    (SILVER,),
+)
+def gold_with_late_events(spark, d):
+    """Three batches in falling time order, so that most events are late, and the cells brought up after each; few users share an hour."""
+    lake, config = _message_lake(spark, d)
+    arrived = spark.read.parquet(f"{config.directory}/clickstream")
+    part = F.when(_moment() >= "2024-01-20", 0).when(_moment() >= "2024-01-10", 1).otherwise(2)
+    for number in range(3):
+        _brought(spark, lake, arrived.where(part == number))
+        start_gold_cells(spark, lake, DRAIN).awaitTermination()
+    hourly = hourly_of(spark.read.parquet(lake.path("gold_cells")))
+    return hourly.select("event_date", "event_hour", "event_type", "device_type", "event_count", "user_events", "unique_users", "total_value")
+
+
 @query("SELECT 'stream.input.rows' AS metric_name, CAST(count(*) AS DOUBLE) AS total, TRUE AS timed, count(*) * 0 AS slow FROM events")
 def stream_progress(spark, d):
     """Rows of a drained query as seen by the listener, and its batches slower than an hour."""

@@ -231,3 +231,33 @@ def _metric(name: str, value: Column, unit: str, tags: Column | None = None) ->
 
 def _tagged(column: str, name: str) -> Column:
     return F.array(_metric(name, F.col("_events"), "count", F.create_map(F.lit(column), F.col(column))))
+
+
+#: Size parameter of a quantile sketch, and the rank error that is promised for it. The error of one quantile at 99 % confidence is about a quarter of that.
+QUANTILE_K, RANK_ERROR = 800, 0.0133
+
+
+def quantile_sketches(df: DataFrame, by: list[str], value: str, k: int = QUANTILE_K) -> DataFrame:
+    """(by, n, sketch): a mergeable quantile sketch of ``value`` per group; nulls and NaN are left out."""
+    number = F.col(value).cast("double")
+    rows = df.where(number.isNotNull() & ~F.isnan(number)).withColumn("_value", number)
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.kll_sketch_agg_double("_value", k).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, by: list[str], ranks: list[float], k: int = QUANTILE_K) -> DataFrame:
+    """(by, rank, n, value): quantiles of coarser groups from the sketches of finer ones; no value is read again.
+
+    The share of values below ``value`` is within ``RANK_ERROR`` of the asked rank.
+    """
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("_sketch"))
+    at = lambda r: F.struct(F.lit(float(r)).alias("rank"), F.kll_sketch_get_quantile_double("_sketch", F.lit(float(r))).alias("value"))
+    return merged.select(*by, "n", F.inline(F.array(*[at(r) for r in ranks]))).select(*by, "rank", "n", "value")
+
+
+def rank_errors(df: DataFrame, quantiles: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, rank, value, rank_error): how far the rank of each value lies from the one asked for, by counting."""
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    met = rows.join(F.broadcast(quantiles.select(*by, "rank", "value")), by)  # a row per group and rank
+    counted = met.groupBy(*by, "rank", "value").agg(F.count("*").alias("_n"), F.count_if(F.col("_v") < F.col("value")).alias("_less"), F.count_if(F.col("_v") <= F.col("value")).alias("_upto"))
+    low, high = F.col("_less") / F.col("_n"), F.col("_upto") / F.col("_n")
+    return counted.select(*by, "rank", "value", F.greatest(low - F.col("rank"), F.col("rank") - high, F.lit(0.0)).alias("rank_error"))

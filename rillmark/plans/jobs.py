@@ -6,6 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmark.operators.aggregates import gold_rollup, hourly_metrics, kpis, valid_rate
 from rillmark.operators.behaviour import cohort_retention, daily_active, journeys, rfm, session_funnel, step_conversion
 from rillmark.operators.layers import CORRUPT
-from rillmark.operators.mart import ALERT_RULES, alert_rows, evaluate_alerts, run_metrics
+from rillmark.operators.mart import ALERT_RULES, active_alerts, alert_episodes, alert_rows, evaluate_alerts, run_metrics
 from rillmark.operators.quality import (
     VALIDATION_POLICY, WRITE_POLICY, check_gold, checks_of_reports, gate, report, run_suites,
 )
@@ -49,10 +50,11 @@ def bronze_job(
 
 @dataclass(frozen=True)
 class Written:
-    """Rows that a silver run wrote, and messages that it rejected."""
+    """Rows that a silver run wrote, messages that it rejected, and the event dates that it rewrote."""
 
     events: int
     rejected: int
+    days: tuple[date, ...] = ()
 
 
 def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | None = None, full: bool = False) -> Written:
@@ -80,15 +82,21 @@ def silver_job(spark: SparkSession, lake: Lake, ingestion_dates: list[str] | Non
         touched = staged.where(F.size("reasons") == 0).select("event_date").distinct()
         stored = read_table(spark, lake, "silver_clickstream").join(touched, "event_date", "left_semi")
         events = stored.select(*events.columns).unionByName(events)
+    days = event_dates(staged.where(F.size("reasons") == 0))
+    add_pending(spark, lake, days)
     events = first_events(events, stored=True)
-    counts = [Observation("silver"), Observation("rejected")]
-    counted = events.observe(counts[0], F.count("*").alias("rows"))
-    write_partitions(counted, lake.path("silver_clickstream"), ["event_date"], lake.file_format)
-    bad = staged.where(F.size("reasons") > 0).withColumn("ingested_on", F.to_date("ingestion_timestamp"))
-    write_partitions(bad.observe(counts[1], F.count("*").alias("rows")), lake.path("silver_rejected"), ["ingested_on"], lake.file_format)
+    # an observation of an empty frame never arrives, as its plan is optimised away
+    bad, written = staged.where(F.size("reasons") > 0), 0
+    rejected = bad.count()
+    if days:
+        counted = Observation("silver")
+        write_partitions(events.observe(counted, F.count("*").alias("rows")), lake.path("silver_clickstream"), ["event_date"], lake.file_format)
+        written = counted.get["rows"]
+    if rejected:
+        write_partitions(bad.withColumn("ingested_on", F.to_date("ingestion_timestamp")), lake.path("silver_rejected"), ["ingested_on"], lake.file_format)
     target = spark._jvm.org.apache.hadoop.fs.Path(staged_path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return Written(*[c.get["rows"] for c in counts])
+    return Written(written, rejected, tuple(sorted(days)))
 
 
 def open_ingestion_dates(spark: SparkSession, lake: Lake) -> list[str]:
@@ -104,6 +112,24 @@ def open_ingestion_dates(spark: SparkSession, lake: Lake) -> list[str]:
     return sorted(row["day"] for row in days.collect())  # one value per raw partition
 
 
+def add_pending(spark: SparkSession, lake: Lake, days: list[date]) -> None:
+    """Note days of silver that gold has yet to take up; written before silver is, so that a failed run loses none."""
+    spark.createDataFrame([(day,) for day in days], "event_date date").coalesce(1).write.mode("append").parquet(f"{lake.root}/_pending/gold")
+
+
+def pending_days(spark: SparkSession, lake: Lake) -> list[date] | None:
+    """Days that silver has rewritten since gold last took them up; None if that is not known."""
+    try:
+        return sorted(event_dates(spark.read.parquet(f"{lake.root}/_pending/gold")))
+    except AnalysisException:
+        return None
+
+
+def clear_pending(spark: SparkSession, lake: Lake) -> None:
+    """Start an empty list of pending days."""
+    spark.createDataFrame([], "event_date date").coalesce(1).write.mode("overwrite").parquet(f"{lake.root}/_pending/gold")
+
+
 def event_dates(events: DataFrame) -> list[date]:
     """The days that events fall on: one value per day."""
     return [row["event_date"] for row in events.select("event_date").distinct().collect()]
@@ -162,6 +188,8 @@ def gold_job(spark: SparkSession, lake: Lake, run_id: str, days: list[date] | No
     refuse_second_writer(spark, GOLD_QUERY)
     if not approved(spark, lake, run_id, WRITE_POLICY):
         raise PublicationBlocked(f"the quality report of {run_id} is missing or has blocking failures")
+    if days is not None and not days:
+        return 0
     events = typed_events(spark, lake)
     if days is not None:
         events = events.where(F.col("event_date").isin(*days))
@@ -198,6 +226,12 @@ def alerts_job(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:
     return read_table(spark, lake, "alerts").where(F.col("run_at") == run_key(as_of))
 
 
+def current_alerts(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:
+    """Alerts that fire at ``as_of``: one row per open episode of the stored verdicts, aged from its opening."""
+    verdicts = read_table(spark, lake, "alerts").where(F.col("triggered_at") <= F.lit(as_of))
+    return active_alerts(alert_episodes(verdicts), as_of)
+
+
 #: Table -> (time column, how long its rows are kept), for tables partitioned by run time.
 RETENTION = {
     "pipeline_metrics": ("recorded_at", timedelta(days=90)),
@@ -237,7 +271,8 @@ def layer_report(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def run_all(spark: SparkSession, lake: Lake, as_of: datetime | None = None, name: str = "lake_refresh", full: bool = False) -> str:
     """Silver, quality gate, gold; then metrics in any case, a record of this run, alerts and retention.
 
-    Silver reads only raw partitions that it has not seen whole; ``full`` rebuilds it.
+    Silver reads only raw partitions that it has not seen whole, and gold only the days that
+    silver has rewritten since gold last ran; ``full`` rebuilds both. Checks read all of silver.
     """
     given, as_of = as_of, as_of or now_utc()
     started, run_id = now_utc(), new_run_id()
@@ -246,7 +281,10 @@ def run_all(spark: SparkSession, lake: Lake, as_of: datetime | None = None, name
         written = silver_job(spark, lake, full=full)
         if not quality_job(spark, lake, as_of, run_id=run_id):
             raise PublicationBlocked("validation gate: blocking suites failed")
-        gold_job(spark, lake, run_id)
+        # what earlier runs left open is taken up too; a first or full run writes all days
+        pending = pending_days(spark, lake) if exists(spark, lake, "gold_hourly") and not full else None
+        gold_job(spark, lake, run_id, pending)
+        clear_pending(spark, lake)
     except Exception as problem:
         status, error = "failed", f"{type(problem).__name__}: {problem}"
     if exists(spark, lake, "gold_hourly"):

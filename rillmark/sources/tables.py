@@ -20,6 +20,7 @@ LAYOUT = {
     "silver_late": "silver/clickstream_late",
     "silver_stream_rejected": "silver/clickstream_stream_rejected",
     "silver_batches": "silver/clickstream_batches",
+    "gold_cells": "gold/cells",
     "gold_hourly": "gold/hourly_metrics",
     "pipeline_metrics": "metrics/pipeline_metrics",
     "pipeline_runs": "metrics/pipeline_runs",

@@ -49,9 +49,19 @@ def first_events(events: DataFrame, watermark: str | None = None, stored: bool =
     return dedupe_stored(events, EVENT_KEYS, order) if stored else dedupe(events, EVENT_KEYS, order, watermark)
 
 
+#: How far an event time may lie behind the time of its ingestion, as clocks differ.
+AHEAD = "1 day"
+
+
 def judge(raw: DataFrame) -> DataFrame:
-    """Parsed messages with the reasons for which they are no events; an empty list for events."""
-    return with_reasons(parse_events(raw), {"malformed": f"{CORRUPT} is null", **EVENT_RULES})
+    """Parsed messages with the reasons for which they are no events; an empty list for events.
+
+    An event that is dated later than it came in, by more than ``AHEAD``, is rejected as
+    ``future_time``: it would move the line behind which events are late for good.
+    """
+    parsed = parse_events(raw)
+    ahead = {"future_time": f"event_ts is null or event_ts <= ingestion_timestamp + interval {AHEAD}"} if "ingestion_timestamp" in parsed.columns else {}
+    return with_reasons(parsed, {"malformed": f"{CORRUPT} is null", **EVENT_RULES, **ahead})
 
 
 def rejected(raw: DataFrame) -> DataFrame:
