@@ -9,6 +9,10 @@ at home in its cell and visits the neighbouring cells ahead that it could have a
 in, so a pair meets in one cell. Cells with many members are dealt into chunks, and every
 two chunks meet in a group of their own, which bounds what a task holds.
 
+Floats are kept as floats and doubles as doubles. Every vector is scaled by a power of two
+before any norm, so its length is no matter. Only rotated unit coordinates are rounded to
+floats, for the search of candidates, with room for that.
+
 Within a group, block distances are matrix products; candidates that an earlier block
 has as well are left to it, and the others are verified by cosine in double precision.
 A group gives each of its vectors the number of links found and one smaller vector that
@@ -31,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from rillmark.llm.components import components, roots
 from rillmark.llm.frames import forget, stored
@@ -52,19 +57,26 @@ def block_edges(dim: int) -> np.ndarray:
     return np.linspace(0, dim, max(1, round(dim / BLOCK)) + 1).astype(int)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors in double precision, each by a power of two so that its largest component is about 1: exact, and squares neither vanish nor overflow."""
+    vectors = vectors.astype(np.float64)
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def rotated(vectors: np.ndarray) -> np.ndarray:
     """Rotated unit vectors, in double precision, each computed alone so that it is the same in every group."""
     unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
     return np.einsum("ij,jk->ik", unit, rotation(vectors.shape[1]))
 
 
-def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Row numbers and vectors (as double) of each length."""
+def _by_length(batch: pa.RecordBatch, kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row numbers and scaled vectors of each length; ``kind`` is the type of the stored components."""
     packed = batch.column("vector").to_pylist()
-    sizes = np.array([len(p) // 4 for p in packed], np.int64)
+    sizes = np.array([len(p) // np.dtype(kind).itemsize for p in packed], np.int64)
     for dim in np.unique(sizes).tolist():
         rows = np.flatnonzero(sizes == dim)
-        yield dim, rows, np.frombuffer(b"".join(packed[i] for i in rows.tolist()), np.float32).reshape(len(rows), dim).astype(np.float64)
+        yield dim, rows, scaled(np.frombuffer(b"".join(packed[i] for i in rows.tolist()), kind).reshape(len(rows), dim))
 
 
 def _places(vectors: np.ndarray, distance: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -86,10 +98,10 @@ def _places(vectors: np.ndarray, distance: float) -> Iterator[tuple[int, np.ndar
             yield b, near, cell[near, 0] + dx, cell[near, 1] + dy, np.zeros(len(near), bool)
 
 
-def _cell_sizes(distance: float):
+def _cell_sizes(distance: float, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, _, vectors in _by_length(batch):
+            for dim, _, vectors in _by_length(batch, kind):
                 for b, _, x, y, _ in _places(vectors, distance):
                     cells, n = np.unique(np.stack([x, y], axis=1), axis=0, return_counts=True)
                     same = [pa.array(np.full(len(n), v)) for v in (dim, b)]
@@ -101,14 +113,14 @@ def _cell_sizes(distance: float):
 PLACED = "dim bigint, block bigint, x bigint, y bigint, i bigint, j bigint, id bigint, weight bigint, home boolean, chunk bigint, vector binary"
 
 
-def _placed(distance: float, chunks: dict[tuple, int]):
+def _placed(distance: float, chunks: dict[tuple, int], kind: type):
     """A row for each group that a vector takes part in: cell, and the two chunks (i <= j) that meet."""
     names = [f.split(" ")[0] for f in PLACED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
-            for dim, rows, vectors in _by_length(batch):
+            for dim, rows, vectors in _by_length(batch, kind):
                 for b, near, x, y, home in _places(vectors, distance):
                     count = np.array([chunks.get(key, 1) for key in zip([dim] * len(x), [b] * len(x), x.tolist(), y.tolist())], np.int64)
                     own = slot[rows[near]] % np.maximum(count, 1)
@@ -127,9 +139,10 @@ def _placed(distance: float, chunks: dict[tuple, int]):
     return run
 
 
-def _packed_rows(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    """A binary column of equally long float vectors as a matrix."""
-    return np.concatenate([np.frombuffer(c.buffers()[2], np.float32, len(c) * dim, c.offset * dim * 4) for c in column.chunks if len(c)]).reshape(-1, dim)
+def _packed_rows(column: pa.ChunkedArray, dim: int, kind: type) -> np.ndarray:
+    """A binary column of equally long vectors as a matrix."""
+    size = dim * np.dtype(kind).itemsize
+    return np.concatenate([np.frombuffer(c.buffers()[2], kind, len(c) * dim, c.offset * size) for c in column.chunks if len(c)]).reshape(-1, dim)
 
 
 def _near(part: np.ndarray, left: np.ndarray, right: np.ndarray, ahead: bool, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,18 +160,18 @@ def _near(part: np.ndarray, left: np.ndarray, right: np.ndarray, ahead: bool, sh
                 yield left[u[keep] + i], right[v[keep] + j]
 
 
-def _join(distance: float, cosine: float):
+def _join(distance: float, cosine: float, kind: type):
     """Links within one group: (id, links, root) for its vectors that have any."""
 
     def run(table: pa.Table) -> pa.Table:
         dim, block, i, j = (table.column(c)[0].as_py() for c in ("dim", "block", "i", "j"))
         ids, weight = table.column("id").to_numpy(), table.column("weight").to_numpy()
         home, chunk = table.column("home").to_numpy().astype(bool), table.column("chunk").to_numpy()
-        vectors = _packed_rows(table.column("vector"), dim)
+        vectors = scaled(_packed_rows(table.column("vector"), dim, kind))
         edges = block_edges(dim)
         shares = distance * np.diff(edges) / dim * (1 + SLACK)
-        unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
-        part = unit @ rotation(dim)[:, edges[block] : edges[block + 1]].astype(np.float32)
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        part = (unit @ rotation(dim)[:, edges[block] : edges[block + 1]]).astype(np.float32)
         of = lambda where: np.flatnonzero(where)
         if i == j:
             meetings = [(of(home), of(home), True), (of(home), of(~home), False)]
@@ -174,7 +187,7 @@ def _join(distance: float, cosine: float):
                     turn = ids[p] > ids[q]  # by id, so that rounding is the same in every group
                     p, q = np.where(turn, q, p), np.where(turn, p, q)
                     rows, at = np.unique(np.concatenate([p, q]), return_inverse=True)
-                    exact = vectors[rows].astype(np.float64)
+                    exact = vectors[rows]
                     x, y = at[: len(p)], at[len(p) :]
                     points = rotated(exact)
                     apart = np.add.reduceat((points[x] - points[y]) ** 2, edges[:-1], axis=1) <= shares
@@ -202,7 +215,9 @@ def _is_usable(vector: Column) -> Column:
 def cosine_links(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every vector: links of cosine or more, smallest vec_id reached by them."""
     distance = 2 - 2 * cosine
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    # floats are stored as floats; any other number as a double, so that nothing is rounded
+    kind, name = (np.float32, "float") if vectors.schema["embedding"].dataType.elementType == FloatType() else (np.float64, "double")
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(f"array<{name}>").alias("embedding"))
     rows = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     usable = F.coalesce(_is_usable(F.col("embedding")), F.lit(False))
     same = [F.xxhash64("embedding").alias("f1"), F.xxhash64(F.lit(1), F.reverse("embedding")).alias("f2")]
@@ -212,14 +227,14 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     classes = good.groupBy("f1", "f2").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     classes = stored(classes, "vector-classes")
     whole = good.select(F.col("vec_id").alias("id"), "embedding").join(classes.select("id", "weight"), "id")
-    whole = stored(whole.mapInArrow(_packed, "id bigint, weight bigint, slot bigint, vector binary"), "vector-bytes")
+    whole = stored(whole.mapInArrow(_packed(kind), "id bigint, weight bigint, slot bigint, vector binary"), "vector-bytes")
 
-    sizes = whole.mapInArrow(_cell_sizes(distance), "dim bigint, block bigint, x bigint, y bigint, n bigint")
+    sizes = whole.mapInArrow(_cell_sizes(distance, kind), "dim bigint, block bigint, x bigint, y bigint, n bigint")
     # at most a few cells per block, as coordinates of unit vectors are within -1 and 1
     sizes = sizes.groupBy("dim", "block", "x", "y").agg(F.sum("n").alias("n")).where(F.col("n") > CHUNK).collect()
     chunks = {(r["dim"], r["block"], r["x"], r["y"]): -(-r["n"] // CHUNK) for r in sizes}
-    groups = whole.mapInArrow(_placed(distance, chunks), PLACED).groupBy("dim", "block", "x", "y", "i", "j")
-    found = stored(groups.applyInArrow(_join(distance, cosine), "id bigint, links bigint, root bigint"), "vector-links")
+    groups = whole.mapInArrow(_placed(distance, chunks, kind), PLACED).groupBy("dim", "block", "x", "y", "i", "j")
+    found = stored(groups.applyInArrow(_join(distance, cosine, kind), "id bigint, links bigint, root bigint"), "vector-links")
 
     counted = found.groupBy("id").agg(F.sum("links").alias("links"))
     reached = components(found.select("id", "root"))
@@ -235,10 +250,13 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from rillmark.llm.words import mixed
+def _packed(kind: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from rillmark.llm.words import mixed
 
-    for batch in batches:
-        vectors = [np.asarray(v, np.float32).tobytes() for v in batch.column("embedding").to_pylist()]
-        slot = (mixed(batch.column("id").to_numpy().astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("weight"), pa.array(slot), pa.array(vectors, pa.binary())], names=["id", "weight", "slot", "vector"])
+        for batch in batches:
+            vectors = [np.asarray(v, kind).tobytes() for v in batch.column("embedding").to_pylist()]
+            slot = (mixed(batch.column("id").to_numpy().astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("weight"), pa.array(slot), pa.array(vectors, pa.binary())], names=["id", "weight", "slot", "vector"])
+
+    return run
