@@ -186,7 +186,10 @@ def cuts(counted: DataFrame, words: int, range_words: int) -> list[bytes]:
 
 
 def routed(docs: DataFrame, frequent: np.ndarray, between: list[bytes], depth: int) -> DataFrame:
-    """(part, lang, suffixes, weights): suffixes of a batch for a range, each text with a line feed behind it; equal ones once, with their number."""
+    """(part, lang, bytes, n, suffixes, weights): suffixes of a batch for a range, each text with a line feed behind it; equal ones once, with their number.
+
+    Neighbours share their first words, so both columns are compressed before the shuffle.
+    """
     packed = np.packbits(frequent)
     width = 4 * depth + 4
     bounds = np.array(between, f"S{width}")
@@ -233,13 +236,14 @@ def routed(docs: DataFrame, frequent: np.ndarray, between: list[bytes], depth: i
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[edge].astype(np.int32)), pa.array([names[k] for k in lang_at[edge]], pa.string()),
-                    pa.array([out[behind[a] : behind[b]].tobytes() for a, b in zip(edge, ends)], pa.binary()),
-                    pa.array([weight[a:b].tobytes() for a, b in zip(edge, ends)], pa.binary()),
+                    pa.array((behind[ends] - behind[edge]).astype(np.int64)), pa.array((ends - edge).astype(np.int64)),
+                    pa.array([pa.compress(out[behind[a] : behind[b]], "zstd", asbytes=True) for a, b in zip(edge, ends)], pa.binary()),
+                    pa.array([pa.compress(weight[a:b], "zstd", asbytes=True) for a, b in zip(edge, ends)], pa.binary()),
                 ],
-                names=["part", "lang", "suffixes", "weights"],
+                names=["part", "lang", "bytes", "n", "suffixes", "weights"],
             )
 
-    return docs.mapInArrow(run, "part int, lang string, suffixes binary, weights binary")
+    return docs.mapInArrow(run, "part int, lang string, bytes bigint, n bigint, suffixes binary, weights binary")
 
 
 def spans(data: np.ndarray, starts: np.ndarray, behind: np.ndarray) -> np.ndarray:
@@ -344,8 +348,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, range
         out = {f.name: [] for f in schema}
         for name in table.column("lang").unique().to_pylist():
             rows = table.filter(pc.equal(table.column("lang"), name))
-            weights = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in rows.column("weights")]).astype(np.int64)
-            data = b"".join(x.as_buffer() for x in rows.column("suffixes"))
+            packed = zip(rows.column("weights"), rows.column("suffixes"), rows.column("n").to_pylist(), rows.column("bytes").to_pylist())
+            both = [(pa.decompress(w.as_buffer(), 4 * n, "zstd"), pa.decompress(x.as_buffer(), size, "zstd")) for w, x, n, size in packed]
+            weights = np.concatenate([np.frombuffer(w, "<u4") for w, _ in both]).astype(np.int64)
+            data = b"".join(x for _, x in both)
+            del both
             own = int(hashes([name.encode()])[0])
             for phrase, n, total in range_counts(data, weights, [c[1:] for c in sides if c[0] == own], least, depth):
                 for column, value in zip(out.values(), (name, phrase.decode(), n, total)):
