@@ -17,7 +17,7 @@ from rillmark.streaming.gold import hourly_of, start_gold_cells
 from rillmark.streaming.progress import ProgressRecorder, backlog, progress_metrics
 from rillmark.streaming.sessions import rocks_state, sessions_until
 from rillmark.streaming.queries import (
-    DRAIN, hourly_stream, session_counts, sliding_counts, start_bronze, start_router, start_silver, start_table,
+    DRAIN, carts_with_checkouts, hourly_stream, session_counts, sliding_counts, start_bronze, start_router, start_silver, start_table,
 )
 
 
@@ -98,6 +98,21 @@ def stream_sessions_to_purchase(spark, d):
     return out.withColumns(moment)
 
 
+@query(
+    """SELECT a.session_id, a.event_id AS add_id, a."timestamp" AS added_at, a.product_id, CAST(round(a.price * 100) AS BIGINT) AS price_cents,
+      c.event_id AS checkout_id, c."timestamp" AS completed_at
+    FROM silver a CROSS JOIN (SELECT least(max("timestamp") FILTER (WHERE event_type = 'add_to_cart'), max("timestamp") FILTER (WHERE event_type = 'checkout_completed'))
+        - INTERVAL 1 HOUR AS w FROM silver) m
+      LEFT JOIN silver c ON c.event_type = 'checkout_completed' AND c.session_id = a.session_id AND c."timestamp" BETWEEN a."timestamp" AND a."timestamp" + INTERVAL 2 HOUR
+    WHERE a.event_type = 'add_to_cart' AND (c.event_id IS NOT NULL OR a."timestamp" + INTERVAL 2 HOUR < w)""",
+    (SILVER,),
+)
+def stream_carts_with_checkouts(spark, d):
+    """Two streams of the events: cart adds with their checkouts, and abandoned ones as far as the watermark tells."""
+    out = _drain(carts_with_checkouts(_events_stream(spark, d), _events_stream(spark, d)), spark, "carts")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("added_at", "completed_at")})
+
+
 @query("SELECT event_id, event_type FROM silver", (SILVER,))
 def stream_deduplicated(spark, d):
     """Every event sent twice, kept once."""

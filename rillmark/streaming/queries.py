@@ -213,6 +213,25 @@ def session_counts(events: DataFrame, gap: str, ts: str = "event_ts", watermark:
     )
 
 
+def carts_with_checkouts(
+    adds: DataFrame, checkouts: DataFrame, within: str = "2 hours", ts: str = "event_ts", watermark: str = "1 hour"
+) -> DataFrame:
+    """Cart adds with the checkouts of their session up to ``within`` later; an add without one comes with nulls.
+
+    Both frames are streams of events. A pair comes as soon as both events are there. An
+    abandoned add comes once the watermarks of both have passed its range, after which
+    neither side is kept: state is what happened within the range and the watermark. Events
+    without a session or time never meet and are not waited for.
+    """
+    known = F.col("session_id").isNotNull() & F.col(ts).isNotNull()
+    left = adds.where((F.col("event_type") == "add_to_cart") & known).withWatermark(ts, watermark)
+    left = left.select("session_id", F.col("event_id").alias("add_id"), F.col(ts).alias("added_at"), "product_id", cents(F.col("price")).alias("price_cents"))
+    right = checkouts.where((F.col("event_type") == "checkout_completed") & known).withWatermark(ts, watermark)
+    right = right.select(F.col("session_id").alias("_session"), F.col("event_id").alias("checkout_id"), F.col(ts).alias("completed_at"))
+    in_range = F.col("completed_at").between(F.col("added_at"), F.col("added_at") + F.expr(f"interval {within}"))
+    return left.join(right, (F.col("session_id") == F.col("_session")) & in_range, "left_outer").drop("_session")
+
+
 def route(routes: dict[str, tuple[Column, str]]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that sends rows to tables by predicate.
 

@@ -14,7 +14,7 @@ from rillmark.operators import links, mart
 from rillmark.operators.history import cut_intervals, merge_changes, version_at, versions
 from rillmark.session import scratch_path
 from rillmark.sources.streams import read_files_stream
-from rillmark.streaming.queries import DRAIN
+from rillmark.streaming.queries import DRAIN, carts_with_checkouts
 from rillmark.streaming.sessions import dropped_rows, rocks_state, sessions_until
 
 T0 = datetime(2024, 1, 1)
@@ -78,6 +78,34 @@ def test_sessions_in_shuffled_batches_and_a_restart(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == found
 
 
+def test_carts_meet_checkouts(spark, tmp_path):
+    """Shuffled batches and a restart give the rows of the batch join; state holds the range, not the history."""
+    rng = random.Random(8)
+    kind = "session_id string, event_id string, event_type string, event_ts timestamp, product_id string, price double"
+    pick = lambda: rng.choice(["add_to_cart", "add_to_cart", "checkout_completed", "page_view"])
+    data = [(f"s{rng.randrange(12)}", str(i), pick(), T0 + timedelta(minutes=rng.randrange(3000)), "p", 1.5) for i in range(600)]
+    data += [(None, "n", "add_to_cart", T0, "p", 1.0), ("s1", "m", "add_to_cart", None, "p", 1.0)]
+    arrival = sorted(data, key=lambda e: (e[3] or T0) + timedelta(minutes=rng.randrange(50)))
+    batches = [arrival[a : a + 70] for a in range(0, len(arrival), 70)]
+    stream = lambda: read_files_stream(spark, f"{tmp_path}/in/*", spark.createDataFrame([], kind).schema, files_per_batch=1)
+    for k, batch in enumerate(batches):
+        spark.createDataFrame(batch, kind).coalesce(1).write.parquet(f"{tmp_path}/in/b{k}")
+        if k in (3, len(batches) - 1):
+            out = carts_with_checkouts(stream(), stream(), "90 minutes").select("add_id", "checkout_id")
+            query = out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ckpt").option("path", f"{tmp_path}/out").trigger(**DRAIN).start()
+            query.awaitTermination()
+    adds = [e for e in data if e[0] and e[3] and e[2] == "add_to_cart"]
+    done = [e for e in data if e[0] and e[3] and e[2] == "checkout_completed"]
+    line = min(max(e[3] for e in adds), max(e[3] for e in done)) - timedelta(hours=1)
+    reach = timedelta(minutes=90)
+    want = [(a[1], c[1]) for a in adds for c in done if c[0] == a[0] and a[3] <= c[3] <= a[3] + reach]
+    met = {a for a, _ in want}
+    want += [(a[1], None) for a in adds if a[1] not in met and a[3] + reach < line]
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == sorted(want, key=str)
+    kept = sum(int(o["numRowsTotal"]) for o in query.lastProgress["stateOperators"])
+    assert kept <= sum(e[3] >= line - 2 * reach for e in adds + done) < 200
+
+
 # ---- funnel in order --------------------------------------------------------------
 
 STAGES = {"viewed": "view", "carted": "cart", "bought": "buy"}
