@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from rillmark.catalog.layers import GOOD, SENT
 from rillmark.catalog.registry import AS_OF, query
 from rillmark.catalog.streams import _message_lake
-from rillmark.catalog.tables import SILVER
+from rillmark.catalog.tables import SILVER, silver
 from rillmark.plans import jobs
+from rillmark.session import scratch_path
+from rillmark.sinks.compaction import compact_files
 from rillmark.sources.tables import read_table
 from rillmark.streaming.queries import DRAIN
 
@@ -61,3 +63,16 @@ def gold_of_some_days(spark, d):
     for part in ([x for x in days if x < days[0] + timedelta(days=10)], [x for x in days if x >= days[0] + timedelta(days=20)]):
         jobs.gold_job(spark, lake, run.run_id, part)
     return read_table(spark, lake, "gold_hourly").select("event_date", "event_hour", "event_type", "device_type", "event_count")
+
+
+@query("SELECT event_date, count(*) AS n, CAST(1 AS BIGINT) AS files, CAST(sum(CAST(event_id AS BIGINT)) AS BIGINT) AS ids FROM silver GROUP BY 1", (SILVER,))
+def packed_small_files(spark, d):
+    """Events written in four loads, then the small files of every day packed, and once more for nothing."""
+    path = scratch_path(spark, "small-files")
+    events = silver(spark, d).select("event_id", "event_type", "price", "event_date")
+    for load in range(4):
+        events.where(F.pmod(F.col("event_id").cast("bigint"), F.lit(4)) == load).repartition(2).write.mode("append").partitionBy("event_date").parquet(path)
+    if not compact_files(spark, path) or compact_files(spark, path):
+        raise RuntimeError("a second run must find nothing to pack")
+    rows = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    return rows.groupBy("event_date").agg(F.count("*").alias("n"), F.countDistinct("file").alias("files"), F.sum(F.col("event_id").cast("bigint")).alias("ids"))
