@@ -193,8 +193,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row in gated:
                 spelled = [FOLD[words.data[a:b]].tobytes() for a, b in zip(words.begin[first[row] : first[row + 1]], words.end[first[row] : first[row + 1]])]
                 text = b" ".join(spelled).decode()
+                before, upto = 0, 0  # detections stand by their start, so blanks are counted once
                 for a, b, rule in detections(text):
-                    made.append({"label": rule.label, "form": rule.form, "first_word": text.count(" ", 0, a), "n_words": text.count(" ", a, b) + 1})
+                    before, upto = before + text.count(" ", upto, a), a
+                    made.append({"label": rule.label, "form": rule.form, "first_word": before, "n_words": text.count(" ", a, b) + 1})
                     score = max(score, rule.confidence)
             labels = sorted({*plain, *(d["label"] for d in made)})
             size = int(first[row + 1] - first[row])

@@ -93,3 +93,18 @@ def test_versions_and_signs_beside_words(documents):
     found = {r["doc_id"]: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
     for k, (text, label) in enumerate(texts.items()):
         assert label in found[k]["labels"] and found[k]["score"] >= 0.5, text
+
+
+def test_a_text_of_many_mentions(spark, documents):
+    """100,000 mentions in one text: places are right, and found in seconds."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    text = "mit license word " * n
+    started = time.perf_counter()
+    row = scan_licenses(documents([(1, text)])).select("n_words", "n_base", "last_word", F.size("detections").alias("d"), F.element_at("detections", -1).alias("last")).first()
+    assert time.perf_counter() - started < 60
+    assert (row["n_words"], row["n_base"], row["last_word"]) == (3 * n, n, 3 * (n - 1))
+    assert row["d"] >= n and row["last"]["first_word"] == 3 * (n - 1)
