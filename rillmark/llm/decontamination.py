@@ -5,9 +5,11 @@ edits per word of the item. The CGK embedding walks along a sequence: step j put
 word under the walk and moves on if a random bit of that word and j says so. Two
 sequences a few edits apart fall back in step, so their outputs differ in few places.
 Sampling a few output places gives a hash that near sequences share with fair
-probability, and repetitions with other bits and places raise the recall. For every item
-length class the number of repetitions is set on the driver, by the recall of randomly
-edited items, to reach ``recall``.
+probability, and repetitions with other bits and places raise the recall. An item is
+walked from several anchors spread over its whole length, so edits that crowd one end leave
+the others alone. For every item length class the number of repetitions is set on the
+driver, by the recall of items edited anywhere, in front, in the middle or at the end,
+each of which has to reach ``recall``; where ``MOST_REPETITIONS`` do not, it is an error.
 
 Every word of every text starts a window. A walk only reads what its places need: a
 window whose first sampled word is no item's is given up there. Windows that share a
@@ -38,9 +40,12 @@ from rillmark.llm.words import ALPHANUMERIC, Words, mixed, words_of
 
 RATE, RECALL = 0.1, 0.98
 SHORTEST = 5
-#: Length classes, each walked for as many steps as its shortest item has words.
+#: Length classes, each walked from its anchors for as many steps as its shortest item has words.
 CLASSES = (5, 10, 20)
-PLACES, MOST_REPETITIONS = 3, 32
+PLACES, MOST_REPETITIONS = 3, 64
+#: Parts of an item that its trial edits fall on, edited copies for each, and the most words of all of them.
+PARTS = ((0.0, 1.0), (0.0, 0.2), (0.4, 0.6), (0.8, 1.0))
+TRIALS, TRIAL_WORDS = 400, 1_000_000
 GROUP_WORDS = 2_000_000
 STARTS = 1 << 19
 MARGIN = 32
@@ -50,8 +55,9 @@ class Repetition(NamedTuple):
     seed: int
     places: tuple[int, ...]
     passes: list[np.ndarray]  # for each place, which low 16 bits an item's word (then its hash so far) may have
-    keys: np.ndarray  # sorted hashes of the items' words at all places
+    keys: np.ndarray  # sorted hashes of the items' words at all places, from every anchor
     items: np.ndarray  # the item of each key
+    anchors: np.ndarray  # and where in the item its walk began
 
 
 class Index(NamedTuple):
@@ -91,11 +97,18 @@ def _folded(key: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mixed(key * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _hashes(items: list[np.ndarray], seed: int, places: tuple[int, ...]) -> list[np.ndarray]:
-    """For the sequences: the word at the first place, and the hash of the words at the places so far for each further one."""
-    words = _padded(np.concatenate(items))
-    at, bits = np.cumsum([0, *[len(x) for x in items[:-1]]]).astype(np.int32), _bits(words, seed)
-    key, out, step = np.zeros(len(items), np.uint64), [], 0
+def anchors_of(n: int, steps: int, rate: float) -> np.ndarray:
+    """Where walks of an item of ``n`` words begin. A walk moves on at every other step or so, hence the last one."""
+    if edits(n, rate) == 0:
+        return np.zeros(1, np.int64)
+    return np.unique(np.linspace(0, n - steps // 2, max(2, n // steps)).astype(np.int64))
+
+
+def _hashes(words: np.ndarray, at: np.ndarray, seed: int, places: tuple[int, ...]) -> list[np.ndarray]:
+    """For walks from ``at``: the word at the first place, and the hash of the words at the places so far for each further one."""
+    words, at = _padded(words), at.astype(np.int32)
+    bits = _bits(words, seed)
+    key, out, step = np.zeros(len(at), np.uint64), [], 0
     for place in places:
         at, step = _walk(bits, at, step, place), place
         key = _folded(key, words[at])
@@ -107,11 +120,13 @@ def _low(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def _edited(item: np.ndarray, n: int, draw: np.random.Generator) -> np.ndarray:
-    """The item after n random substitutions, deletions and insertions of words."""
+def _edited(item: np.ndarray, n: int, draw: np.random.Generator, part: tuple[float, float] = (0.0, 1.0)) -> np.ndarray:
+    """The item after n random substitutions, deletions and insertions of words within a part of it."""
     out = item.tolist()
+    low = int(part[0] * len(out))
+    wide = max(1, n, int(part[1] * len(out)) - low)
     for _ in range(n):
-        kind, at = draw.integers(3), int(draw.integers(max(1, len(out))))
+        kind, at = draw.integers(3), min(low + int(draw.integers(wide)), len(out) - 1)
         new = int(draw.integers(1 << 62))
         if kind == 0:
             out[at] = new
@@ -122,8 +137,12 @@ def _edited(item: np.ndarray, n: int, draw: np.random.Generator) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+def _of_item(keys: np.ndarray, items: np.ndarray) -> np.ndarray:
+    return _folded(keys, items.astype(np.uint64))
+
+
 def build(ids: list[int], items: list[np.ndarray], rate: float = RATE, recall: float = RECALL, seed: int = 3) -> Index:
-    """Hashes of all items, with as many repetitions per length class as the recall of edited items needs."""
+    """Hashes of all items from all anchors, with as many repetitions per length class as the recall of edited items needs."""
     draw = np.random.default_rng(seed)
     repetitions = []
     for k, steps in enumerate(CLASSES):
@@ -131,28 +150,43 @@ def build(ids: list[int], items: list[np.ndarray], rate: float = RATE, recall: f
         own = [i for i, x in enumerate(items) if len(x) >= steps and (longest is None or len(x) < longest)]
         if not own:
             continue
-        tried = [own[i] for i in draw.integers(len(own), size=400)]
-        near = [_edited(items[i], edits(len(items[i]), rate), draw) for i in tried]
-        missed = np.ones(len(tried), bool)
+        first = np.cumsum([0, *[len(items[i]) for i in own]])
+        words = np.concatenate([items[i] for i in own])
+        anchors = [anchors_of(len(items[i]), steps, rate) for i in own]
+        of, anchor = np.repeat(np.array(own), [len(x) for x in anchors]), np.concatenate(anchors)
+        begin = np.repeat(first[:-1], [len(x) for x in anchors]) + anchor
+
+        tried = [own[i] for i in draw.integers(len(own), size=TRIALS)]
+        within = np.cumsum([len(items[i]) for i in tried]) <= TRIAL_WORDS // len(PARTS)
+        tried = [i for i, fits in zip(tried, within) if fits] or [min(own, key=lambda i: len(items[i]))]
+        near = [_edited(items[i], edits(len(items[i]), rate), draw, part) for part in PARTS for i in tried]
+        copy = np.repeat(np.arange(len(near)), [len(x) for x in near])
+        item, near = np.array(tried * len(PARTS)), np.concatenate(near)
+        missed = np.ones((len(PARTS), len(tried)), bool)
         for r in range(MOST_REPETITIONS):
             places = tuple(sorted(draw.choice(steps, PLACES, replace=False).tolist()))
             salt = 1 + k * 1000 + r
-            so_far = _hashes([items[i] for i in own], salt, places)
+            so_far = _hashes(words, begin, salt, places)
             keys, passes = so_far[-1], [np.zeros(1 << 16, bool) for _ in places]
             for table, hashes in zip(passes, so_far):
                 table[_low(hashes)] = True
             order = np.argsort(keys, kind="stable")
-            repetitions.append(Repetition(salt, places, passes, keys[order], np.array(own)[order]))
-            by_item = dict(zip(own, keys.tolist()))
-            hit = _hashes(near, salt, places)[-1] == np.array([by_item[i] for i in tried], np.uint64)
-            missed &= ~hit
-            if missed.mean() <= 1 - recall:
+            repetitions.append(Repetition(salt, places, passes, keys[order], of[order], anchor[order]))
+            # texts are walked from every word, and so are the edited copies
+            hit = np.isin(_of_item(_hashes(near, np.arange(len(near)), salt, places)[-1], item[copy]), _of_item(keys, of))
+            missed.ravel()[copy[hit]] = False
+            if missed.mean(axis=1).max() <= 1 - recall:
                 break
+        else:
+            raise ValueError(f"a recall of {recall} at {rate} edits a word is not reached for items of {steps} words and more: {1 - missed.mean(axis=1).max():.3f}")
     return Index(ids, items, repetitions)
 
 
 def _candidates(index: Index, words: Words) -> np.ndarray:
-    """Distinct (start word, item) pairs that share a hash, sorted."""
+    """Distinct (word where the item would start, item, text), sorted, of walks that share a hash with one of the item's.
+
+    That word may lie before the text's first one, or be off by the edits in front of the anchor.
+    """
     found = []
     hashes = _padded(words.hash)
     low = _low(hashes)
@@ -175,8 +209,9 @@ def _candidates(index: Index, words: Words) -> np.ndarray:
             if len(hit):
                 n = count[hit]
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                found.append(np.stack([np.repeat(start[hit], n), r.items[np.repeat(lowest[hit], n) + nth]], axis=1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+                key, begin = np.repeat(lowest[hit], n) + nth, np.repeat(start[hit], n)
+                found.append(np.stack([begin - r.anchors[key], r.items[key], words.row[begin]], axis=1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
 def best_distances(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -200,22 +235,22 @@ def matches(index: Index, words: Words, rate: float) -> list[tuple[int, int, int
     for item, begin, end in zip(items.tolist(), at.tolist(), [*at[1:].tolist(), len(pairs)]):
         sequence = index.items[item]
         most = edits(len(sequence), rate)
-        starts = pairs[begin:end, 0]
+        starts, texts = pairs[begin:end, 0], pairs[begin:end, 2]
         width, known_words = len(sequence) + 2 * most, np.unique(sequence)
         for a in range(0, len(starts), 4096):
-            own = starts[a : a + 4096]
-            low, high = first[words.row[own]], first[words.row[own] + 1]
+            own, rows = starts[a : a + 4096], texts[a : a + 4096]
+            low, high = first[rows], first[rows + 1]
             at = own[:, None] - most + np.arange(width)
             inside = (at >= low[:, None]) & (at < high[:, None])
             windows = np.where(inside, words.hash[np.clip(at, 0, len(words.hash) - 1)], np.uint64(0))
             # all but ``most`` words of the item must stand in the window
             place = np.minimum(np.searchsorted(known_words, windows), len(known_words) - 1)
             enough = (known_words[place] == windows).sum(axis=1) >= len(sequence) - most
-            own, windows = own[enough], windows[enough]
-            for start, distance in zip(own.tolist(), best_distances(sequence, windows).tolist()):
+            own, rows, windows = own[enough], rows[enough], windows[enough]
+            for start, row, distance in zip(own.tolist(), rows.tolist(), best_distances(sequence, windows).tolist()):
                 if distance <= most:
-                    key = (int(words.row[start]), item)
-                    where = start - int(first[words.row[start]])
+                    key = (row, item)
+                    where = max(0, start - int(first[row]))
                     known = out.get(key, (distance, where, 0))
                     out[key] = (min(known[0], distance), min(known[1], where), known[2] + 1)
     return [(row, item, *rest) for (row, item), rest in sorted(out.items())]

@@ -93,3 +93,33 @@ def test_repetitions_follow_the_recall():
     items = [words[k : k + 40] for k in range(12)]
     few, many = (len(build(list(range(12)), items, recall=r).repetitions) for r in (0.5, 0.99))
     assert 1 <= few < many <= decontamination.MOST_REPETITIONS
+
+
+@pytest.mark.parametrize("place", ["front", "middle", "end", "anywhere"])
+def test_recall_wherever_the_edits_are(place):
+    draw = np.random.default_rng(7)
+    names = [f"{w}{k}" for w in WORDS for k in range(40)]
+    lengths = (5, 9, 10, 14, 19, 20, 25, 30, 39, 40, 60, 100, 150, 200)
+    items = [list(draw.choice(names, n)) for n in lengths for _ in range(15)]
+    index = build(list(range(len(items))), [words_of(pa.array([" ".join(x)]), ALPHANUMERIC).hash for x in items])
+    texts = []
+    for item in items:
+        words, n = list(item), edits(len(item), 0.1)
+        wide = max(n, len(item) // 5)
+        low = {"front": 0, "middle": (len(item) - wide) // 2, "end": len(item) - wide, "anywhere": 0}[place]
+        for _ in range(n):
+            at = min(low + int(draw.integers(len(item) if place == "anywhere" else wide)), len(words) - 1)
+            words[at : at + int(draw.integers(0, 2))] = list(draw.choice(names, int(draw.integers(0, 2))))
+        texts.append(" ".join([*draw.choice(names, int(draw.integers(0, 30))), *words, *draw.choice(names, int(draw.integers(0, 30)))]))
+    found = {(row, item) for row, item, *_ in decontamination.matches(index, words_of(pa.array(texts), ALPHANUMERIC), 0.1)}
+    caught = [(k, k) in found for k in range(len(items))]
+    for a in range(0, len(items), 15 * len(lengths) // 2):
+        part = caught[a : a + 15 * len(lengths) // 2]
+        assert sum(part) >= 0.95 * len(part)
+
+
+def test_a_recall_out_of_reach_is_an_error(monkeypatch):
+    words = words_of(pa.array([" ".join(WORDS)]), ALPHANUMERIC).hash
+    monkeypatch.setattr(decontamination, "MOST_REPETITIONS", 1)
+    with pytest.raises(ValueError, match="recall"):
+        build([1], [words[:20]], recall=1.0)
