@@ -10,7 +10,9 @@ from rillmark.catalog.registry import AS_OF, AS_OF_SQL, query
 from rillmark.catalog.tables import CHECKS, GOLD, LINES, METRICS, RUNS, SILVER
 from rillmark.catalog.tables import alerts, check_history, given, gold, lines, messages, metric_history, runs, silver
 from rillmark.operators import quality as q
+from rillmark.operators.check_states import merged_suites
 from rillmark.operators.layers import with_event_time
+from rillmark.plans.quality_states import refresh_states
 from rillmark.session import scratch_path
 from rillmark.sinks.mart import write_report
 from rillmark.sources.tables import latest_report
@@ -169,6 +171,18 @@ def quality_suites(spark, d):
     return _flat(q.run_suites(silver(spark, d), AS_OF))
 
 
+@query("SELECT * FROM suite_rows", (SILVER, SUITES))
+def quality_suites_merged(spark, d):
+    """The suites from stored states: half of the events first, all later, so days are read again only where files came."""
+    path, root = scratch_path(spark, "checked-events"), scratch_path(spark, "check-states")
+    events = silver(spark, d)
+    middle = events.select(F.expr("timestampadd(SECOND, int(timestampdiff(SECOND, min(timestamp), max(timestamp)) / 2), min(timestamp))")).first()[0]
+    for part in (F.coalesce(F.col("timestamp") < F.lit(middle), F.lit(True)), F.col("timestamp") >= F.lit(middle)):
+        events.where(part).write.mode("append").partitionBy("event_date").parquet(path)
+        states = refresh_states(spark, path, root, "event_date", lambda df: df.select(*events.columns))
+    return _flat(merged_suites(states.rows, states.parents, AS_OF))
+
+
 SUITE_SUM = """suite_sums AS (SELECT suite, count(*) AS expectations, count(*) FILTER (WHERE passed) AS ok,
     count(*) FILTER (WHERE NOT passed) AS bad FROM suite_rows GROUP BY 1)"""
 

@@ -35,7 +35,7 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
 
 
-def _data_files(spark: SparkSession, path: str) -> dict[str, list[tuple[str, int]]]:
+def data_files(spark: SparkSession, path: str) -> dict[str, list[tuple[str, int]]]:
     """Folder -> (file, bytes) of a table; hidden names are left out. As long as the list that any reader makes."""
     fs, to_path = _fs(spark, path)
     found: dict[str, list[tuple[str, int]]] = {}
@@ -55,7 +55,7 @@ def _data_files(spark: SparkSession, path: str) -> dict[str, list[tuple[str, int
 def plan_compaction(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, good_share: float = GOOD_SHARE) -> list[Pack]:
     """Packs of at least two small files, in order of name, with ``target_bytes`` at most."""
     packs = []
-    for folder, files in sorted(_data_files(spark, path).items()):
+    for folder, files in sorted(data_files(spark, path).items()):
         pack, size = [], 0
         for name, length in [*sorted(f for f in files if f[1] < good_share * target_bytes), (None, target_bytes)]:
             if pack and size + length > target_bytes:

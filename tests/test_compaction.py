@@ -25,14 +25,14 @@ def state(spark, path):
 
 def test_packed_as_planned(spark, table):
     before, files = state(spark, table)
-    sizes = sorted(n for part in compaction._data_files(spark, table).values() for _, n in part)
+    sizes = sorted(n for part in compaction.data_files(spark, table).values() for _, n in part)
     target = 4 * sizes[0] + 2000
     packs = plan_compaction(spark, table, target)
     assert all(2 <= len(p.files) <= 4 for p in packs) and {p.folder.rsplit("/", 1)[1] for p in packs} == {"day=0", "day=1", "day=2"}
     assert compact_files(spark, table, target) == packs
     after, left = state(spark, table)
     assert after == before and len(left) == len(files) - sum(len(p.files) - 1 for p in packs)
-    large = max((n, f) for part in compaction._data_files(spark, table).values() for f, n in part)[1]
+    large = max((n, f) for part in compaction.data_files(spark, table).values() for f, n in part)[1]
     assert large in {f.replace("file:///", "file:/") for f in files}  # the good one is not rewritten
     assert compact_files(spark, table, 1 << 30) and len(state(spark, table)[1]) == 3
     assert compact_files(spark, table, 1 << 30) == [] and state(spark, table)[0] == before
