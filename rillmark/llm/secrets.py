@@ -8,7 +8,9 @@ compressor primed by a dictionary of identifiers. Other copies of the candidate
 blanked in the surroundings, so a secret that is said twice is found twice. Words, paths
 and placeholders are in the dictionary or in the surroundings and cost few bytes; random
 strings cost nearly their entropy. Every string that starts within the reach behind a
-sensitive word is measured, also behind one that was rejected or is part of a fixed span.
+sensitive word is measured, also behind one that was rejected or is part of a fixed span;
+a string with assignments in it is measured whole, then value by value. The body of a private key
+block is measured as one string, whatever its length.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned
 each; texts of any length are scanned whole; offsets are code points, end exclusive;
@@ -42,15 +44,20 @@ HEX[48:58] = HEX[97:103] = True
 SENSITIVE = (
     b"password", b"passwd", b"passphrase", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"api key", b"access_key",
     b"access key", b"private_key", b"private key", b"credential", b"bearer", b"authorization", b"signing", b"client_id", b"session_id",
-    b"accesskey", b"access-key", b"privatekey", b"private-key", b"clientid", b"sessionid",
+    b"accesskey", b"access-key", b"privatekey", b"private-key", b"clientid", b"sessionid", b"key",
 )
 #: Before and behind a word: no letter, or a change of case (secretKey, AWSSecret, AWSsecret).
 EDGE = rb"|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|(?<=[A-Z][A-Z])(?=[a-z])"
 WORD = re.compile(rb"(?:(?<![A-Za-z])%s)(?i:(?:%s)s?)(?:(?![A-Za-z])%s)" % (EDGE, b"|".join(map(re.escape, SENSITIVE)), EDGE))
 REACH, LEAST = 32, 16
 RUN = re.compile(rb"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d}" % LEAST)
-#: A value in the run that holds the word itself: privateKey=...
+#: A value in the run that holds the word itself: privateKey=...; and up to the next name of that run.
 VALUE = re.compile(rb"[A-Za-z0-9+/_.-]{0,%d}=+([A-Za-z0-9+/_.-][A-Za-z0-9+/_.=-]{%d,})" % (REACH - 1, LEAST - 1))
+PART = re.compile(rb"[A-Za-z0-9+/_.-]{0,%d}=+([A-Za-z0-9+/_.-]{%d,}=*)" % (REACH - 1, LEAST))
+#: The name of the next value of a run, behind a mark that may stand in values too.
+NEXT_NAME = re.compile(rb"[+/.-][A-Za-z_]{2,40}=+\Z")
+#: The lines of a private key in its usual armour.
+BLOCK = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----\s*+([A-Za-z0-9+/=]{%d,}+(?:\s++[A-Za-z0-9+/=]++)*+)" % LEAST)
 RUN_REST = re.compile(rb"[A-Za-z0-9+/_.=-]*")
 MARK = "[SECRET]"
 NOVELTY = 0.6
@@ -119,13 +126,17 @@ def _fixed(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, int
 
 
 def _candidates(text: bytes) -> list[tuple[int, int]]:
-    """All runs, and values behind ``=`` in the run of the word, that start within the reach behind a sensitive word, on its line."""
-    found: dict[int, int] = {}
+    """All runs, and values behind ``=`` in the run of the word, that start within the reach behind a sensitive word, on its line; key blocks."""
+    found = {m.start(1): m.end(1) for m in BLOCK.finditer(text)}
+    run_end = 0
     for word in WORD.finditer(text):
         at = word.end()
         line = text.find(b"\n", at, at + REACH + 1)
-        if m := VALUE.match(text, at):
-            found[m.start(1)] = m.end(1)
+        if at >= run_end and (m := VALUE.match(text, at)):
+            run_end = found[m.start(1)] = m.end(1)
+        elif at < run_end and (m := PART.match(text, at, run_end)):
+            name = NEXT_NAME.search(text, max(m.start(1) + LEAST, m.end(1) - 48), m.end(1)) if m.end(1) < run_end else None
+            found[m.start(1)] = name.start() if name else m.end(1)
         last = at + REACH if line < 0 else line - 1  # where a run may start
         while at <= last and (m := RUN.search(text, at, last + LEAST)):
             at = found.get(m.start()) or RUN_REST.match(text, m.end()).end()

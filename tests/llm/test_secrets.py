@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -87,3 +88,41 @@ def test_sensitive_words_in_camel_case(documents):
     for k, form in enumerate(forms + others):
         hit = [s for s in found[k] if s["kind"] == "novel" and s["start"] <= form.find("{}") and form.find("{}") + len(key) <= s["end"]]
         assert len(hit) == (k < len(forms)) == len(found[k]), form
+
+
+def test_bare_keys_and_key_blocks(documents):
+    key = "zQ8xT1vLr4Yw9KpB2mNd7HsJ"
+    body = "\n".join(base64.b64encode(hashlib.sha384(bytes([k])).digest()).decode() for k in range(12)) + "\nAb3="
+    texts = [
+        f'"aws_key": "{key}"', f"deploy-key {key}", f"encryptionKey: {key}",
+        f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----\nplain text",
+        f"-----BEGIN PUBLIC KEY-----\n{'A' * 64}\n-----END PUBLIC KEY-----", "monkey business_of_international_organisations",
+        "the key to configuration_of_the_application_server is patience",
+    ]
+    found = {r["doc_id"]: r["spans"] for r in find_secrets(documents(list(enumerate(texts)))).collect()}
+    for k in range(3):
+        assert [texts[k][s["start"] : s["end"]] for s in found[k]] == [key], texts[k]
+    assert [texts[3][s["start"] : s["end"]] for s in found[3]] == [body]
+    assert not found[4] and not found[5] and not found[6]
+
+
+def test_long_runs_of_assignments_take_linear_time():
+    import time
+
+    import pyarrow as pa
+
+    from rillmark.llm.secrets import spans_of
+
+    def seconds(text):
+        start = time.perf_counter()
+        found = spans_of(pa.array([text], pa.large_string()))
+        return time.perf_counter() - start, sum(b - a for a, _, b in found.get(0, []))
+
+    keys = [base64.b64encode(hashlib.sha256(str(k).encode()).digest(), b"zZ").decode()[:24] for k in range(24_000)]
+    for part in ("privateKey={}+", "privateKey=repeated_value_repeated+", "token=repeated_value+"):
+        text = "".join(part.format(key) for key in keys)
+        short, _ = seconds(text[: len(text) // 8])
+        long, n = seconds(text)
+        assert long < 30 and long < 30 * max(short, 0.05), part
+        # values of one run are found like values on lines of their own
+        assert n >= 0.9 * seconds(text.replace("+", "\n"))[1] or "{}" not in part
