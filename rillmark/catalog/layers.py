@@ -13,6 +13,7 @@ from rillmark.functions.columns import json_tag, normalise_text, strip_prefix
 from rillmark.operators import layers
 from rillmark.operators.orders import nest_items
 from rillmark.session import scratch_path
+from rillmark.sinks.key_index import insert_indexed, repeated_keys
 from rillmark.sinks.mart import metric_rows
 from rillmark.sinks.messages import to_messages
 from rillmark.sinks.tables import append_new, append_rows, apply_retention, write_compacted, write_partitions
@@ -211,6 +212,30 @@ def inserted_if_absent(spark, d):
     return spark.read.parquet(path).groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+@query("SELECT user_id, min(event_date) AS first_date FROM silver GROUP BY 1", (SILVER,))
+def inserted_by_key_index(spark, d):
+    """Users by the day they are first seen on, in three loads of which the last brings nothing new: keys are unique over all days."""
+    path = scratch_path(spark, "indexed")
+    seen = silver(spark, d).where("user_id is not null")
+    early = seen.where(F.col("event_date") < "2024-01-16")
+    loads = [rows.groupBy("user_id").agg(F.min("event_date").alias("event_date")) for rows in (early, seen, seen)]
+    added = [insert_indexed(rows, path, ["user_id"], ["event_date"]) for rows in loads]
+    if added[2].rows:
+        raise RuntimeError("a load that is repeated must add nothing")
+    return spark.read.schema(loads[0].schema).parquet(path).select("user_id", F.col("event_date").alias("first_date"))
+
+
+@query("SELECT event_id, count(*) AS n FROM sent GROUP BY 1 HAVING count(*) > 1", (SILVER, SENT))
+def repeated_over_partitions(spark, d):
+    """Events that were sent twice and stored on two days: uniqueness over the whole table, from the index of its keys."""
+    path = scratch_path(spark, "repeated")
+    events = silver(spark, d).select("event_id", "event_date")
+    again = events.where(F.col("event_id").cast("bigint") % 50 == 0).withColumn("event_date", F.date_add("event_date", 40))
+    events.union(again).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
+    table = spark.read.schema(events.schema).parquet(path)
+    return repeated_keys(table, path, ["event_id"], ["event_date"]).withColumnRenamed("rows", "n")
+
+
 @query(f"SELECT run_id, started_at FROM runs WHERE started_at >= {AS_OF_SQL} - INTERVAL 7 DAY", (RUNS,))
 def retained_runs(spark, d):
     return apply_retention(runs(spark, d), "started_at", timedelta(days=7), AS_OF).select("run_id", "started_at")

@@ -185,7 +185,13 @@ def start_gold(events: DataFrame, lake: Lake, watermark: str = "1 hour", trigger
     keys = ["event_date", "event_hour", "event_type", "device_type"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        insert_new(batch, lake.path("gold_hourly"), keys, ["event_date"])
+        batch.persist()
+        try:
+            oldest = batch.agg(F.min("event_date")).first()[0]  # a key has its day, so earlier days need no look
+            if oldest:
+                insert_new(batch, lake.path("gold_hourly"), keys, ["event_date"], F.lit(oldest))
+        finally:
+            batch.unpersist()
 
     writer = hourly_stream(events, "event_ts", watermark).writeStream.foreachBatch(write).outputMode("append")
     return writer.option("checkpointLocation", lake.checkpoint("gold")).queryName(GOLD_QUERY).trigger(**(trigger or EVERY_10_SECONDS)).start()
