@@ -72,20 +72,48 @@ def tokens_of(url: Column) -> Column:
     return F.when((F.col("host") != "") | (F.col("path") != ""), found).otherwise(F.array().cast("array<string>"))
 
 
+def token_classes(transactions: DataFrame, least: float, verdict: str) -> DataFrame:
+    """(token, class): tokens that stand in the same labelled pages have one class, named by the least of them.
+
+    ``transactions``: (nth, tokens, label). Only tokens of at least ``least`` pages of the
+    verdict, as others are in no rule; so there are at most pages / least times the tokens
+    of a URL. Sets of pages are told by their size and two 64-bit fingerprints.
+    """
+    seen = transactions.select("nth", "label", F.explode(F.array_distinct("tokens")).alias("token"))
+    mark = lambda seed: F.bit_xor(F.xxhash64("nth", F.lit(seed)))
+    sets = seen.groupBy("token").agg(F.count_if(F.col("label") == verdict).alias("both"), F.count("*").alias("n"), mark(1).alias("x"), mark(2).alias("y"))
+    sets = sets.where(F.col("both") >= least - 1e-6)
+    names = sets.groupBy("n", "x", "y").agg(F.min("token").alias("class"))
+    return sets.join(names, ["n", "x", "y"]).select("token", "class")
+
+
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, verdict: str = "block") -> DataFrame:
-    """(tokens, anchor, support, confidence) of combinations that go along with ``verdict``.
+    """(tokens, anchor, support, confidence, members) of combinations that go along with ``verdict``.
 
-    ``labelled``: (tokens, label). The anchor is the rarest token of a combination.
+    ``labelled``: (tokens, label). Tokens that always stand together among the labelled
+    pages are mined as one, so a deep path is one item and not all its subsets; ``members``
+    has the tokens behind each of ``tokens``, any of which will do in a URL. The anchor is
+    the rarest token of a combination.
     """
-    mark = "verdict="
-    rows = stored(labelled.select(F.array_append("tokens", F.concat(F.lit(mark), "label")).alias("items")), "url-transactions")
+    mark = "verdict=" + verdict
+    rows = stored(labelled.select(F.monotonically_increasing_id().alias("nth"), "tokens", "label"), "url-transactions")
     total = rows.count()
+    none = labelled.sparkSession.createDataFrame([], "tokens array<string>, anchor string, support double, confidence double, members array<array<string>>")
     if total < LEAST:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, anchor string, support double, confidence double")
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST / total)), minConfidence=confidence).fit(rows).freqItemsets
-    found = stored(found.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
+        return none
+    least = min(total, max(support * total, LEAST))
+    classes = stored(token_classes(rows, least, verdict), "url-classes")
+    seen = rows.select("nth", "label", F.explode("tokens").alias("token")).join(F.broadcast(classes), "token")
+    items = seen.groupBy("nth", "label").agg(F.sort_array(F.collect_set("class")).alias("items"))
+    items = stored(items.select(F.when(F.col("label") == verdict, F.array_append("items", F.lit(mark))).otherwise(F.col("items")).alias("items")), "url-items")
     forget(rows)
-    having = found.where(F.array_contains("items", mark + verdict)).select(F.array_remove("items", mark + verdict).alias("items"), F.col("freq").alias("both"))
+    kept_rows = items.count()
+    if not kept_rows:
+        return none
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, least / kept_rows), minConfidence=confidence).fit(items).freqItemsets
+    found = stored(found.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
+    forget(items)
+    having = found.where(F.array_contains("items", mark)).select(F.array_remove("items", mark).alias("items"), F.col("freq").alias("both"))
     rules = having.where(F.size("items") > 0).join(found, "items")
     rules = rules.select("items", (F.col("both") / total).alias("support"), (F.col("both") / F.col("freq")).alias("confidence"))
     rules = stored(rules.where(F.col("confidence") >= confidence), "url-rules")
@@ -95,19 +123,23 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     needless = shorter.join(general, "part").where(F.col("surely") >= F.col("confidence")).select("items").distinct()
     kept = rules.join(needless, "items", "left_anti")
     single = found.where(F.size("items") == 1).select(F.element_at("items", 1).alias("anchor"), "freq")
-    anchored = kept.withColumn("anchor", F.explode("items")).join(single, "anchor")
-    anchored = anchored.groupBy("items", "support", "confidence").agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor"))
-    return anchored.select(F.col("items").alias("tokens"), "anchor", "support", "confidence")
+    members = classes.groupBy(F.col("class").alias("anchor")).agg(F.sort_array(F.collect_list("token")).alias("own"))  # of one class: tokens of one URL
+    anchored = kept.withColumn("anchor", F.explode("items")).join(single, "anchor").join(members, "anchor")
+    ordered = F.sort_array(F.collect_list(F.struct("anchor", "own")))
+    anchored = anchored.groupBy("items", "support", "confidence").agg(F.min_by("anchor", F.struct("freq", "anchor")).alias("anchor"), ordered.alias("parts"))
+    return anchored.select(F.col("parts.anchor").alias("tokens"), "anchor", "support", "confidence", F.col("parts.own").alias("members"))
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, confidence, by): URLs (url, tokens) with a matching rule, and their surest one."""
-    rules = stored(rules, "url-index").select("anchor", F.col("tokens").alias("wanted"), "confidence")
+    own = F.element_at("members", F.array_position("tokens", F.col("anchor")).cast("int"))
+    rules = stored(rules.select(F.explode(own).alias("anchor"), "members", "confidence"), "url-index")
     index = F.broadcast(rules) if rules.count() <= BROADCAST_RULES else rules
     listed = urls.withColumn("anchor", F.explode("tokens")).join(index, "anchor")
-    whole = listed.where(F.size(F.array_except("wanted", "tokens")) == 0)
-    surest = F.max_by(F.struct("confidence", "wanted"), F.struct("confidence", F.array_join("wanted", " "))).alias("best")
-    return whole.groupBy("url").agg(surest).select("url", "best.confidence", F.array_join("best.wanted", " ").alias("by"))
+    whole = listed.where(F.forall("members", lambda m: F.arrays_overlap(m, F.col("tokens"))))
+    held = F.array_join(F.transform("members", lambda m: F.array_min(F.array_intersect(m, F.col("tokens")))), " ")
+    surest = F.max(F.struct("confidence", held.alias("by"))).alias("best")
+    return whole.groupBy("url").agg(surest).select("url", "best.confidence", "best.by")
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:

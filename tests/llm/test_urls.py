@@ -1,5 +1,5 @@
 import re
-from itertools import combinations
+from itertools import combinations, product
 
 from rillmark.llm import urls
 from rillmark.llm.urls import RULES, filter_urls, mined_rules
@@ -55,6 +55,36 @@ def test_mined_rules_equal_brute_force(spark):
     assert got == kept and got
 
 
+def test_tokens_that_stand_together_are_one(spark):
+    """Rules with classes, expanded, are the rules over all tokens; and they block the same URLs."""
+    sets = [["a", "A", "b"], ["a", "A", "b", "c", "C"], ["a", "A", "c", "C"], ["b", "c", "C"], ["a", "A"], ["d", "b"], ["d"], ["c", "C", "d", "a", "A"]] * 8
+    marks = ["block" if "a" in s and ("b" in s or "c" in s) else "allow" for s in sets]
+    marks[0] = marks[8] = "allow"
+    rules = mined_rules(spark.createDataFrame(list(zip(sets, marks)), "tokens array<string>, label string"), 0.05, 0.7)
+    got = {tuple(sorted(one)): (r["support"], r["confidence"]) for r in rules.collect() for one in product(*r["members"])}
+    every = {}
+    for k in range(1, 5):
+        for items in combinations("aAbcCd", k):
+            hit = [m for s, m in zip(sets, marks) if set(items) <= set(s)]
+            both = hit.count("block")
+            if len(hit) and both >= urls.LEAST and both >= 0.05 * len(sets) and both / len(hit) >= 0.7:
+                every[tuple(sorted(items))] = (both / len(sets), both / len(hit))
+    kept = {i: v for i, v in every.items() if not any(set(j) < set(i) and len(j) == len(i) - 1 and every[j][1] >= v[1] for j in every)}
+    assert got == kept and any({"A", "C"} == set(i) for i in got)
+    asked = [list(items) for k in range(1, 4) for items in combinations("aAbcCd", k)]
+    frame = spark.createDataFrame([("".join(t), t) for t in asked], "url string, tokens array<string>")
+    blocked = {r["url"] for r in urls.blocked_urls(frame, rules).collect()}
+    assert blocked == {"".join(t) for t in asked if any(set(i) <= set(t) for i in kept)}
+
+
+def test_a_deep_path_ends(spark):
+    """Forty segments that always stand together: subsets of them are not listed."""
+    deep = "/".join(f"s{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40))
+    rows = [(k, f"http://bad.com/{deep}/{k}" if k < 30 else f"http://good{k % 7}.org/x/{k}") for k in range(230)]
+    found = filter_urls(pages(spark, rows), labels(spark, [(k, int(k >= 30), 0) for k in range(230)])).collect()
+    assert all(r["verdict"] == ("block" if r["page_id"] < 30 else "allow") for r in found)
+
+
 def test_labels_make_rules_for_other_pages(spark):
     rows = [(k, f"http://{'bad' if k % 2 else 'good'}.site{k % 5}.com/en/{k}") for k in range(200)]
     judged = labels(spark, [(k, 0 if k % 2 else 1, None) for k in range(150)])
