@@ -60,6 +60,25 @@ def window_starts(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row, start, np.minimum(WINDOW, first[1:][row] - start)
 
 
+def windows_beside(first: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word and length of every full window that starts less than STRIDE words beside a window that starts at ``near``.
+
+    Starts that ``window_starts`` gives already are left out.
+    """
+    of = np.searchsorted(first, near, side="right") - 1
+    last = np.maximum(first[of + 1] - WINDOW, first[of])
+    marks = np.zeros(int(first[-1]) + 1, np.int64)
+    a, b = np.maximum(near - STRIDE + 1, first[of]), np.minimum(near + STRIDE - 1, last)
+    some = a <= b
+    np.add.at(marks, a[some], 1)
+    np.add.at(marks, b[some] + 1, -1)
+    start = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+    row = np.searchsorted(first, start, side="right") - 1
+    fresh = (start - first[row]) % STRIDE != 0
+    row, start = row[fresh], start[fresh]
+    return row, start, np.minimum(WINDOW, first[row + 1] - start)
+
+
 def window_ids(number: np.ndarray, start: np.ndarray, length: np.ndarray, pad: int) -> np.ndarray:
     """(windows, WINDOW) word numbers; ``pad`` behind the end of a text."""
     steps = np.arange(WINDOW)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmark.llm import quality as q
 from rillmark.llm import toxicity as x
-from rillmark.llm.recurrent import STRIDE, WINDOW, Network, distinct_words, window_ids, window_starts
+from rillmark.llm.recurrent import STRIDE, WINDOW, Network, distinct_words, window_ids, window_starts, windows_beside
 from rillmark.llm.words import ALPHANUMERIC, word_hash, words_of
 
 BAD = "grok blem snarf".split()
@@ -84,6 +84,37 @@ def test_windows_overlap_and_cover():
         assert (length[own] <= WINDOW).all() and (np.diff(start[own]) == STRIDE).all()
 
 
+def test_windows_beside_are_all_full_ones_around():
+    sizes = [0, 1, 32, 33, 40, 64, 0, 200, 0]
+    first = words_of(pa.array([" ".join(["w"] * n) for n in sizes]), ALPHANUMERIC).first()
+    _, start, _ = window_starts(first)
+    for near in (start, start[::3], start[:0]):
+        row, beside, length = windows_beside(first, near)
+        expected = set()
+        for a in near.tolist():
+            i = max(k for k in range(len(sizes)) if first[k] <= a and sizes[k])
+            expected |= {b for b in range(max(first[i], a - STRIDE + 1), min(a + STRIDE, first[i + 1] - WINDOW + 1)) if (b - first[i]) % STRIDE}
+        assert beside.tolist() == sorted(expected)
+        assert (length == WINDOW).all() and (first[row] <= beside).all() and (beside + WINDOW <= first[row + 1]).all()
+
+
+def test_passages_cut_by_windows_score_as_in_all_windows(spark, documents):
+    """Toxic passages of 17 to 32 words, each toxic by several words, at every offset of a clean text."""
+    draw = np.random.default_rng(5)
+    clean = lambda n: [f"w{k}" for k in draw.integers(0, 400, n)]
+    passage = lambda n: [str(draw.choice(BAD)) if draw.random() < 0.15 else w for w in clean(n)]
+    rows = [(k, " ".join([*clean(60), *(passage(24) if k % 3 == 0 else clean(24)), *clean(60)]), int(k % 3 == 0), 1) for k in range(600)]
+    net = x.fit(documents([r[:2] for r in rows]), labels(spark, rows), F.lit(True))
+    planted = [" ".join([*clean(40 + k % STRIDE), *passage(17 + k % 16), *clean(90)]) for k in range(160)] + [" ".join(clean(150)) for _ in range(160)]
+    words = words_of(pa.array(planted), ALPHANUMERIC)
+    every, near = x.worst_windows(net, words, 0.0), x.worst_windows(net, words)
+    assert ((near >= x.FLAGGED) == (every >= x.FLAGGED)).mean() >= 0.99 and (near <= every + 1e-6).all()
+    single = x.worst_windows(net, words_of(pa.array([planted[3]]), ALPHANUMERIC), 0.0)[0]
+    text = planted[3].split()
+    alone = max(x.worst_windows(net, words_of(pa.array([" ".join(text[a : a + WINDOW])]), ALPHANUMERIC))[0] for a in range(len(text) - WINDOW + 1))
+    assert single >= alone - 1e-6
+
+
 def test_gradients_equal_differences():
     words = words_of(pa.array(["ab cd ef gh ij " * 4, "xx yy zz"]), ALPHANUMERIC)
     distinct, number = distinct_words(words)
