@@ -2,8 +2,9 @@
 
 A rule is a hand-written regular expression over the words of a text (letters and
 digits, lower case, one blank between), with keywords that every match holds, a
-priority and a confidence. Rules are written per license and per form: tag, grant,
-reference, title, mention. Keywords are looked up by word hash for all words of a batch
+priority and a confidence. Rules are written per license and per form: tag, expression
+(members of an SPDX expression beside the first or beside a name with a version), notice (sentences of the license's own text),
+grant, reference, title, mention, identifier (an SPDX name with a version, standing alone). Keywords are looked up by word hash for all words of a batch
 at once, so a regular expression only runs on texts that can match it. Signs beyond ASCII are part
 of a word but, as for the expressions, not of a keyword ("MIT license" in curly marks). Detections that
 lie inside another one of the same or a higher priority are suppressed; of two with the
@@ -52,8 +53,8 @@ LICENSES = (
     ("apache-1.1", r"apache 1 1", r"apache software license(?: version)? v?1 1", ("apache", "1")),
     ("mit", r"mit", r"mit (?:license|licence|x11 license)", ("mit",)),
     ("mit-0", r"mit 0", r"mit no attribution(?: license)?", ("mit", "attribution")),
-    ("bsd-2-clause", r"bsd 2 clause", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)(?: license)?", ("bsd|freebsd",)),
-    ("bsd-3-clause", r"bsd 3 clause", r"(?:bsd (?:3|three) clause|new bsd|modified bsd)(?: license)?", ("bsd",)),
+    ("bsd-2-clause", r"bsd 2 clause", r"(?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?", ("bsd|freebsd",)),
+    ("bsd-3-clause", r"bsd 3 clause", r"(?:bsd (?:3|three) clause|(?:3|three) clause bsd|new bsd|modified bsd)(?: licen[cs]e)?", ("bsd",)),
     ("bsd-any", r"bsd", r"bsd (?:style )?licen[cs]e", ("bsd",)),
     ("mpl-2.0", r"mpl 2 0", r"mozilla public license(?: v| version)? v?2(?: 0)?", ("mozilla", "2|v2")),
     ("mpl-1.1", r"mpl 1 1", r"mozilla public license(?: v| version)? v?1 1", ("mozilla", "1")),
@@ -97,6 +98,30 @@ FORMS = (
 )
 
 
+#: label, sentence of the license's own text or of its notice as a regular expression over words, keywords. Fixed values.
+NOTICES = (
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("hereby", "charge")),
+    ("boost-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", ("hereby", "organization")),
+    ("isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", ("hereby", "fee")),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", ("hereby", "agreement")),
+    ("bsd-any", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution",)),
+    ("bsd-3-clause", r"may be used to endorse or promote products derived from this software without specific prior written permission", ("endorse",)),
+    ("zlib", r"in no event will the authors be held liable for any damages arising from the use of this software", ("liable", "arising")),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", ("applicable", "basis")),
+    ("gpl-3.0", r"redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3", ("redistribute", "gnu")),
+    ("gpl-2.0", r"redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2", ("redistribute", "gnu")),
+    ("lgpl-3.0", r"modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3", ("lesser", "gnu")),
+    ("lgpl-2.1", r"modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1", ("lesser", "gnu")),
+    ("agpl-3.0", r"modify it under the terms of the gnu affero general public license as published by the free software foundation", ("affero", "gnu")),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla",)),
+    ("epl-2.0", r"made available under the terms of the eclipse public license(?: v)? 2 0", ("eclipse",)),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", ("unencumbered",)),
+    ("cc0-1.0", r"(?:has|have) waived all copyright and related or neighboring rights", ("waived",)),
+    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", ("verbatim",)),
+    ("python-2.0", r"psf is making python available to licensee on an as is basis", ("licensee",)),
+)
+
+
 class Rule(NamedTuple):
     label: str
     form: str
@@ -106,21 +131,36 @@ class Rule(NamedTuple):
     confidence: float
 
 
+def _rule(label: str, form: str, text: str, keys: tuple[str, ...], priority: int, confidence: float) -> Rule:
+    return Rule(label, form, re.compile(rf"\b(?:{text})\b"), tuple(frozenset(k.split("|")) for k in keys), priority, confidence)
+
+
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """All rules in order of priority, then as written."""
     made = [
-        Rule(label, form, re.compile(r"\b" + text.format(tag=tag, name=name) + r"\b"), tuple(frozenset(k.split("|")) for k in (*needs, *(keys if form != "tag" else ()))), priority, confidence)
+        _rule(label, form, text.format(tag=tag, name=name), (*needs, *(keys if form != "tag" else ())), priority, confidence)
         for form, text, needs, priority, confidence in FORMS
         for label, tag, name, keys in LICENSES
     ]
+    any_tag = "|".join(tag for _, tag, _, _ in LICENSES)
+    versioned = "|".join(tag for label, tag, _, _ in LICENSES if label not in NOT_ALONE and " " in tag)
+    for label, tag, _, _ in LICENSES:
+        keys = ("or|and", tag.split()[0])
+        made.append(_rule(label, "expression", rf"spdx licen[cs]e identifier (?:{any_tag}) (?:or|and) {tag}", ("spdx", "identifier", *keys), 4, 1.0))
+        made.append(_rule(label, "expression", rf"(?:{versioned}) (?:or|and) {tag}|{tag} (?:or|and) (?:{versioned})", keys, 0, 0.8))
+    made += [_rule(label, "notice", text, keys, 4, 0.95) for label, text, keys in NOTICES]
+    made += [_rule(label, "identifier", tag, (tag.split()[0],), 1, 0.5) for label, tag, _, _ in LICENSES if label not in NOT_ALONE and " " in tag]
     return tuple(sorted(made, key=lambda r: -r.priority))
 
 
+#: Their SPDX names are plain words in some language, or say nothing alone.
+NOT_ALONE = ("mit-0", "proprietary")
 #: A rule can only match where one of these words occurs.
 ANCHORS = (
     "license licence licensed gpl lgpl agpl spdx cc cc0 mit bsd unlicense freebsd wtfpl reserved domain creative apache mozilla gnu "
-    "gpl2 gpl3 gplv2 gplv3 lgpl2 lgpl3 lgplv2 lgplv3 agpl3 agplv3 license2 license3 licensev2 licensev3"
+    "gpl2 gpl3 gplv2 gplv3 lgpl2 lgpl3 lgplv2 lgplv3 agpl3 agplv3 license2 license3 licensev2 licensev3 "
+    "hereby redistribution endorse liable applicable unencumbered waived licensee eclipse gfdl mpl epl cddl cpl bsl artistic psf ofl eupl odbl pddl"
 ).split()
 ANCHOR = re.compile(r"\b(?:%s)\b" % "|".join(ANCHORS))
 

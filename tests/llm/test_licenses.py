@@ -95,6 +95,22 @@ def test_versions_and_signs_beside_words(documents):
         assert label in found[k]["labels"] and found[k]["score"] >= 0.5, text
 
 
+def test_identifiers_expressions_and_notices(documents):
+    texts = {
+        "Apache-2.0": ["apache-2.0"], "BSL-1.0": ["boost-1.0"], "EPL-2.0, see NOTICE": ["epl-2.0"], "3-clause BSD license": ["bsd-3-clause"], "two-clause BSD": ["bsd-2-clause"],
+        "SPDX-License-Identifier: Apache-2.0 OR MIT": ["apache-2.0", "mit"], "SPDX-License-Identifier: (MIT AND ISC OR BSD-2-Clause)": ["bsd-2-clause", "isc", "mit"],
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files": ["mit"],
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:": ["bsd-any"],
+        "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3": ["gpl-3.0"],
+        "This is free and unencumbered software released into the public domain.": ["unlicense"],
+        "Mit 0 Fehlern, 2 oder mit 3": [], "one or mit": [], "the fee is hereby granted": [],
+    }
+    found = {r["doc_id"]: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
+    for k, (text, labels) in enumerate(texts.items()):
+        own = [x for x in found[k]["labels"] if x not in found[k]["base_labels"]]
+        assert own == labels and (found[k]["score"] >= 0.5) == bool(labels), text
+
+
 def test_a_text_of_many_mentions(spark, documents):
     """100,000 mentions in one text: places are right, and found in seconds."""
     import time
