@@ -5,7 +5,7 @@ labelled documents and then scores windows of every document where the document
 document's score is that of its worst window. Windows that overlap by half are scored first; wherever
 one of them scores ``NEAR`` or more, the windows beside it are scored from every word on
 (three quarters of any window's words stand together in one of the first kind).
-``near=0`` scores all overlapping windows everywhere, at six times the time.
+``near=0`` scores all overlapping windows everywhere, at five times the time.
 
 Defined results: a null text counts as empty, and a text without words scores 0; repeated
 rows are scored each and alike; texts of any length are scored whole; labels that are
