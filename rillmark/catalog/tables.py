@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.catalog.registry import AS_OF, AS_OF_SQL
@@ -254,17 +254,32 @@ RESOURCES = """resources AS (SELECT device_type AS host, CASE WHEN k % 2 = 0 THE
 # ---- orders, customers, products ------------------------------------------------
 
 
-def lines(spark, sf_dir) -> DataFrame:
-    """Order lines with customer and time of their order."""
-    items = given(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    heads = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+def customer_id_of_order() -> Column:
+    return F.col("o_custkey").cast("string")
+
+
+def product_id_of_line() -> Column:
+    return F.concat(F.lit("prod_"), F.col("l_partkey").cast("string"))
+
+
+def order_items(spark, sf_dir) -> DataFrame:
+    """Order lines as given, under the name that orders have for their key."""
+    return given(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+
+
+def order_heads(spark, sf_dir) -> DataFrame:
+    return given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def lines_of(items: DataFrame, heads: DataFrame, *more: str, keys_from: DataFrame | None = None) -> DataFrame:
+    """Order lines with customer and time of their order, and the columns ``more`` of either; texts and amounts are made behind the join."""
     quantity = F.col("l_quantity").cast("int")
     unit = (F.floor(cents(F.col("l_extendedprice")) / quantity).cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
     gross = quantity * unit
-    return lookup_join(items, heads, ["o_orderkey"], "inner").select(
+    return lookup_join(items, heads, ["o_orderkey"], "inner", keys_from=keys_from).select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.concat(F.lit("prod_"), F.col("l_partkey").cast("string")).alias("product_id"),
+        customer_id_of_order().alias("customer_id"),
+        product_id_of_line().alias("product_id"),
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
@@ -273,9 +288,15 @@ def lines(spark, sf_dir) -> DataFrame:
         (gross * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,2)").alias("discount_amount"),
         (gross * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,2)").alias("tax_amount"),
         F.col("o_orderdate").alias("sold_at"),
+        *more,
     )
 
 
+def lines(spark, sf_dir) -> DataFrame:
+    """Order lines with customer and time of their order."""
+    return lines_of(order_items(spark, sf_dir), order_heads(spark, sf_dir))
+
+
 LINES = """line_base AS (SELECT *, CAST(l_quantity AS INTEGER) AS q,
     CAST((CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT)) * 0.01 AS DECIMAL(18,2)) AS unit
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

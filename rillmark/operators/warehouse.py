@@ -118,8 +118,8 @@ def dim_product(dim: DataFrame | None, incoming: DataFrame, order: list[str] | N
     )
 
 
-def fact_measures(lines: DataFrame) -> DataFrame:
-    """Order lines with the key of their day and the line total: the sales fact without dimension keys."""
+def fact_measures(lines: DataFrame, *more: str) -> DataFrame:
+    """Order lines with the key of their day and the line total: the sales fact without dimension keys; ``more`` columns stay."""
     return lines.select(
         "transaction_id",
         date_key(F.col("sold_at")).alias("date_key"),
@@ -131,18 +131,40 @@ def fact_measures(lines: DataFrame) -> DataFrame:
         "tax_amount",
         line_total(F.col("quantity"), F.col("unit_price"), F.col("discount_amount"), F.col("tax_amount")).alias("total_amount"),
         F.col("sold_at").alias("transaction_timestamp"),
+        *more,
     )
 
 
-def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales fact: order lines with dimension keys of their day and the line total."""
-    versions = customers.select("customer_id", "customer_key", "effective_date", "expiration_date")
-    rows = fact_measures(lines)
-    placed = with_dim_as_of(rows, versions, "customer_id", "transaction_timestamp").drop("effective_date", "expiration_date")
-    keyed = lookup_join(placed, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=lines)
-    return keyed.select(
-        "transaction_id", "date_key", "customer_key", "customer_id", "product_key", "product_id", "quantity", "unit_price",
-        "discount_amount", "tax_amount", "total_amount", "transaction_timestamp",
+def with_customer_key(rows: DataFrame, customers: DataFrame, moment: str, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """``customer_key`` and ``attributes`` of the customer version of the day; of orders this is one look for all their lines."""
+    versions = customers.select("customer_id", "customer_key", "effective_date", "expiration_date", *attributes)
+    return with_dim_as_of(rows, versions, "customer_id", moment).drop("effective_date", "expiration_date")
+
+
+def with_product_key(rows: DataFrame, products: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+    return lookup_join(rows, products.select("product_id", "product_key"), ["product_id"], "left", keys_from=keys_from)
+
+
+def key_known(rows: DataFrame, of: str) -> DataFrame:
+    """``<of>_known`` in the place of ``<of>_key``, for those who need no more: 32 digits a row that no later shuffle carries."""
+    return rows.withColumn(f"{of}_known", F.col(f"{of}_key").isNotNull()).drop(f"{of}_key")
+
+
+def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Sales fact: order lines with dimension keys of their day and the line total.
+
+    A key that was looked up before lines met their orders (``with_customer_key``, ``with_product_key``,
+    or ``key_known`` of it) is taken as it is. ``more`` are further columns of the lines to keep.
+    """
+    found = {of: next((c for c in (f"{of}_key", f"{of}_known") if c in lines.columns), None) for of in ("customer", "product")}
+    rows = fact_measures(lines, *[c for c in found.values() if c], *more)
+    if not found["customer"]:
+        rows = with_customer_key(rows, customers, "transaction_timestamp")
+    if not found["product"]:
+        rows = with_product_key(rows, products, keys_from=lines)
+    return rows.select(
+        "transaction_id", "date_key", found["customer"] or "customer_key", "customer_id", found["product"] or "product_key", "product_id", "quantity",
+        "unit_price", "discount_amount", "tax_amount", "total_amount", "transaction_timestamp", *more,
     )
 
 
