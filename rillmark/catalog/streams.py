@@ -143,7 +143,8 @@ def stream_routed(spark, d):
 def _message_lake(spark, d) -> tuple[Lake, StreamConfig]:
     """Messages as files of the envelope, ready to be streamed."""
     root = scratch_path(spark, "lake")
-    messages(spark, d).repartition(4, "offset").write.parquet(f"{root}/in/clickstream")
+    # without a number adaptive execution sizes the files: as many as there are cores, and more of them when they get large
+    messages(spark, d).repartition("offset").write.parquet(f"{root}/in/clickstream")
     return Lake(root), StreamConfig(kind="files", directory=f"{root}/in")
 
 

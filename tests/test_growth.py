@@ -75,3 +75,14 @@ def test_sales_fact_of_odd_keys(spark, entry, shop):
     known = {"1", "2", "3", "6"}
     expected = [(order, product, tier, order in known and product in ("prod_1", "prod_2")) for order, tier in tiers for product in ("prod_1", "prod_2", "prod_7", None)]
     assert found == sorted(expected, key=str)
+
+
+def test_message_files_grow_in_number(spark):
+    """Events are written into files of a bounded size, so that no task reads a fixed share of them."""
+    from rillmark.catalog.streams import _message_lake
+
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.shuffle.partitions": "64"}
+    with settings(spark, **small):
+        _, config = _message_lake(spark, "/root/testdata/sf0.001")
+    written = spark.read.parquet(f"{config.directory}/clickstream")
+    assert len(written.inputFiles()) > 4 and written.count() == 1020
