@@ -86,3 +86,25 @@ def test_message_files_grow_in_number(spark):
         _, config = _message_lake(spark, "/root/testdata/sf0.001")
     written = spark.read.parquet(f"{config.directory}/clickstream")
     assert len(written.inputFiles()) > 4 and written.count() == 1020
+
+
+def test_waiting_events_share_state_rows(spark, tmp_path):
+    """State grows by a row per user and arrival, whatever the number of events; PACK bounds a row."""
+    from datetime import timedelta
+
+    from rillmark.sources.streams import read_files_stream
+    from rillmark.streaming import sessions
+    from rillmark.streaming.queries import DRAIN
+
+    t0 = datetime(2024, 1, 1)
+    data = [(f"u{k % 2}", str(k), "view", t0 + timedelta(seconds=k)) for k in range(2 * sessions.PACK + 2)]
+    schema = "user_id string, event_id string, event_type string, event_ts timestamp"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = read_files_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+    out = sessions.sessions_until(stream, timedelta(hours=1), "buy", watermark="2 hours")
+    with sessions.rocks_state(spark):
+        query = out.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/ckpt").trigger(**DRAIN).start()
+    query.awaitTermination()
+    state = spark.read.format("statestore").option("stateVarName", "arrived").load(f"{tmp_path}/ckpt")
+    sizes = sorted(len(r["at"]) for r in state.select("list_element.at").collect())
+    assert sizes == [1, 1, sessions.PACK, sessions.PACK]
