@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillmark.functions.columns import cents
-from rillmark.operators.layers import CORRUPT, EVENT_RULES, dedupe, dedupe_stored, parse_events, split_invalid, with_lineage, with_reasons
+from rillmark.operators.layers import BROADCAST_KEYS, CORRUPT, EVENT_RULES, dedupe, dedupe_stored, parse_events, split_invalid, with_lineage, with_reasons
+from rillmark.session import cut_lineage
 from rillmark.sources.tables import Lake
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
@@ -45,10 +49,39 @@ EVENT_KEYS = ["session_id", "event_id"]
 
 def first_events(events: DataFrame, watermark: str | None = None, stored: bool = False) -> DataFrame:
     """Each event once: the first by time, and by place in the log where times are equal. ``stored``: the rows can be read twice."""
-    order = ["event_ts", *[c for c in ("kafka_partition", "kafka_offset") if c in events.columns]]
+    order = place_of(events)
     return dedupe_stored(events, EVENT_KEYS, order) if stored else dedupe(events, EVENT_KEYS, order, watermark)
 
 
+def place_of(events: DataFrame) -> list[str]:
+    """The columns by which the first copy of an event is told."""
+    return ["event_ts", *[c for c in ("kafka_partition", "kafka_offset") if c in events.columns]]
+
+
+def changes(stored: DataFrame, events: DataFrame) -> tuple[list[date], DataFrame]:
+    """Event dates on which ``first_events`` of both together may differ from what is stored, and the events that matter for it.
+
+    Events of a key that is stored once, all of them at its stored place, change nothing and
+    are left out. These keys are told in one narrow aggregation; copies are compared for
+    the others alone. A key whose copies have several dates counts for all of them.
+    """
+    place = place_of(events)
+    narrow = lambda df, there: df.select(*EVENT_KEYS, *place, "event_date", F.lit(there).alias("_there"))
+    both = narrow(stored, 1).unionByName(narrow(events, 0))
+    one_place = [F.coalesce(F.min(c) == F.max(c), F.lit(True)) & F.count(c).isin(F.lit(0), F.count("*")) for c in place]
+    keys = both.groupBy(*EVENT_KEYS).agg(((F.sum("_there") == 1) & reduce(and_, one_place)).alias("_settled"))
+    open_keys = cut_lineage(keys.where(~F.col("_settled")).select(*EVENT_KEYS))
+    if open_keys.count() <= BROADCAST_KEYS:
+        open_keys = F.broadcast(open_keys)
+    first, there = F.struct(*place), F.col("_there") == 1
+    per_key = both.join(open_keys, EVENT_KEYS, "left_semi").groupBy(*EVENT_KEYS).agg(
+        F.count_if(there).alias("_stored"), F.min(first).alias("_first"), F.min(F.when(there, first)).alias("_held"), F.collect_set("event_date").alias("_days"),
+    )
+    differ = per_key.where((F.col("_stored") != 1) | (F.col("_first") < F.col("_held")) | (F.size("_days") > 1))
+    days = [row["day"] for row in differ.select(F.explode("_days").alias("day")).distinct().collect()]  # one value per day
+    return days, events.join(open_keys, EVENT_KEYS, "left_semi").select(*events.columns)
+
+
 #: How far an event time may lie behind the time of its ingestion, as clocks differ.
 AHEAD = "1 day"
 

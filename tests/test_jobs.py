@@ -228,3 +228,42 @@ def test_day_by_day_equals_one_run(spark, tmp_path):
     jobs.gold_job(spark, parts, runs[1], days[10:])
     gold = [rows(read_table(spark, lake, "gold_hourly")) for lake in (whole, parts)]
     assert gold[0] == gold[1]
+
+
+def test_days_that_stay_the_same_are_not_rewritten(spark, tmp_path):
+    """A run over messages that silver holds compares them and keeps the files; a new event or an earlier copy rewrites its day, and copies count once."""
+    lake = Lake(str(tmp_path))
+
+    def bring(*sent):
+        text = '{{"event_id":"{0}","timestamp":"2024-01-0{1}T0{2}:00:00Z","user_id":"u","session_id":"s{1}","event_type":"page_view","device_type":"mobile","price":{3}}}'
+        data = [(text.format(*s[:4]), datetime(2024, 2, 1), s[4], s[5], "2024-02-01") for s in sent]
+        raw = spark.createDataFrame(data, "value string, ingestion_timestamp timestamp, kafka_partition int, kafka_offset bigint, ingestion_date string")
+        raw.write.mode("append").partitionBy("ingestion_date").parquet(lake.path("bronze_clickstream"))
+        return jobs.silver_job(spark, lake)
+
+    def files():
+        found = read_table(spark, lake, "silver_clickstream").select("event_date", F.col("_metadata.file_path").alias("file")).distinct().collect()
+        return {str(r["event_date"])[-1]: r["file"] for r in found}
+
+    def stored():
+        return rows(read_table(spark, lake, "silver_clickstream").select("event_id", F.hour("event_ts"), "price", "kafka_partition", "kafka_offset"))
+
+    first = bring(("a", 1, 1, 1.0, None, 5), ("a", 1, 1, 1.5, None, 7), ("b", 1, 2, 2.0, 0, 6), ("c", 2, 3, 3.0, 0, 8), ("d", 3, 4, 4.0, 1, None))
+    before, held = files(), stored()
+    assert first.events == len(held) == 4 and ("a", 1, 1.0, None, 5) in held
+    again = bring()
+    assert again == first and files() == before and stored() == held
+    assert bring(("c", 2, 3, 3.5, 0, 9)) == first and files() == before and stored() == held  # a later copy
+    earlier = bring(("c", 2, 3, 2.5, 0, 1))
+    after = files()
+    assert earlier == first and after["2"] != before["2"] and (after["1"], after["3"]) == (before["1"], before["3"])
+    assert stored() == sorted([r for r in held if r[0] != "c"] + [("c", 3, 2.5, 0, 1)], key=str)
+    more = bring(("e", 3, 5, 5.0, 1, 4))
+    assert more.events == 5 and more.days == first.days and files()["3"] != after["3"] and len(stored()) == 5
+    # a new event that is sent twice
+    last = bring(("b", 1, 2, 2.0, 0, 6), ("x", 1, 1, 6.0, 0, 20), ("x", 1, 1, 6.0, 0, 21))
+    assert last.events == 6 and [r[0] for r in stored()] == ["a", "b", "c", "d", "e", "x"]
+    # copies that something else stored are put right, as they always were
+    read_table(spark, lake, "silver_clickstream").where("event_id = 'x'").write.mode("append").partitionBy("event_date").parquet(lake.path("silver_clickstream"))
+    assert len(stored()) == 7
+    assert bring().events == 6 and [r[0] for r in stored()] == ["a", "b", "c", "d", "e", "x"]
